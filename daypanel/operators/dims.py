@@ -40,9 +40,9 @@ def lookup_left_join(df: DataFrame, lookup: DataFrame, key: str, columns: Sequen
 
     Rows whose key is NULL match nothing and are spread over all tasks.
     """
-    salted = df.withColumn(
-        _SALT, F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD))).otherwise(F.lit(0))
-    )
+    hashable = [name for name, dtype in df.dtypes if "map<" not in dtype and "variant" not in dtype]
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(SPREAD))
+    salted = df.withColumn(_SALT, F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
     right = lookup.where(F.col(key).isNotNull()).select(key, *columns).withColumn(_SALT, F.lit(0).cast("bigint"))
     return salted.join(right, [key, _SALT], "left").select(*[F.col(c) for c in df.columns], *columns)
 
@@ -72,6 +72,7 @@ def assign_dense_ids(df: DataFrame, order: Sequence[str], id_name: str, start: C
         _PART: F.spark_partition_id(),
         _SEQ: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)),
     })
+    # One task, but over one row per partition only.
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         fixed.groupBy(F.spark_partition_id().alias(_PART)).agg(F.count("*").alias("n"))
@@ -83,17 +84,18 @@ def assign_dense_ids(df: DataFrame, order: Sequence[str], id_name: str, start: C
 
 
 def upsert_dimension(dim: DataFrame, facts: DataFrame, key: str, id_name: str, attributes: Sequence[str],
-                     order: Sequence[str]) -> DataFrame:
+                     order: Sequence[str], id_order: Sequence[str] | None = None) -> DataFrame:
     """``dim`` plus a row for every key of ``facts`` that it lacks.
 
-    New ids continue after the largest existing one in order of first appearance; a new row's
-    attributes are those of the first row, in ``order``, of its key.  ``order`` together with the
-    key must be a total order of the new keys' first rows.
+    A new row's attributes are those of its key's first row in ``order``.  New ids continue after
+    the largest existing one, sorted by ``id_order`` (default: ``order``, then the key) of those
+    first rows; it must tell new keys apart.  Runs the job of :func:`assign_dense_ids`.
     """
-    misses = facts.join(dim.select(key).distinct(), key, "left_anti")
-    first = first_row_attributes(misses, key, list(dict.fromkeys([*attributes, *order])), order)
+    wanted = [c for c in dict.fromkeys([*attributes, *order]) if c != key]
+    misses = facts.select(key, *wanted).join(dim.select(key), key, "left_anti")
+    first = first_row_attributes(misses, key, wanted, order)
     top = dim.agg(F.coalesce(F.max(id_name), F.lit(0))).scalar()
-    new = assign_dense_ids(first, [*order, key] if key not in order else list(order), id_name, top)
+    new = assign_dense_ids(first, list(id_order or [*order, key]), id_name, top)
     return dim.unionByName(new.select(id_name, key, *attributes), allowMissingColumns=True)
 
 

@@ -114,9 +114,9 @@ def _build_cases(case_series: Sequence[DataFrame], location_rows: DataFrame, fip
     dimension = _write(locations.select(*case_facts.CDATASET_LOC), root, build_id, "cdataset_loc")
     check_table(dimension, "cdataset_loc", ["locid"], case_facts.CDATASET_LOC_REQUIRED)
     keys = _write(case_facts.location_keys(locations, fips), root, build_id, "location_keys_staged")
-    observed = case_facts.observed_facts(series, keys)
     # One row per key before any window relies on it.
-    check_table(observed, "case series", ["source_ord", *case_facts.CDATASET_RAW_KEY], [])
-    facts = _write(case_facts.fill_facts(observed), root, build_id, "cdataset_raw")
+    check_table(series, "case series", case_facts.SERIES_KEY, [])
+    facts = case_facts.fill_facts(case_facts.observed_facts(series, keys))
+    facts = _write(facts, root, build_id, "cdataset_raw")
     check_table(facts, "cdataset_raw", case_facts.CDATASET_RAW_KEY, case_facts.CDATASET_RAW_REQUIRED)
     return {"cdataset_loc": dimension, "cdataset_raw": facts}

@@ -16,6 +16,7 @@ from daypanel.sources.contract import ROW_ORDER
 
 DAY = "date_julian"
 HORIZON = "horizon"
+SERIES_KEY = [SOURCE, "dataset", "location_key", DAY]
 
 # Columns of the fact table by their role on an added day, and in table order.
 COUNTS = [f"{p}_{m}" for p in ("absolute", "delta") for m in ("confirmed", "deaths", "recovered", "infected")]

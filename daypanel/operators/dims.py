@@ -35,16 +35,24 @@ def first_row_attributes(df: DataFrame, key: str, attributes: Sequence[str], ord
     return df.groupBy(key).agg(first).select(key, *[F.col(f"first.{a}").alias(a) for a in attributes])
 
 
-def lookup_left_join(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+def lookup_left_join(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str],
+                     spread_nulls: bool = True) -> DataFrame:
     """Left join to a lookup that may hold several rows per key; every match is kept.
 
-    Rows whose key is NULL match nothing and are spread over all tasks.
+    Rows whose key is NULL match nothing.  With ``spread_nulls`` a shuffled join deals them out to all
+    tasks; pass False where the key is known to be present, which leaves the join on the key alone.
     """
+    right = lookup.where(F.col(key).isNotNull()).select(key, *columns)
+    if not spread_nulls:
+        return df.join(right, key, "left").select(*df.columns, *columns)
     hashable = [name for name, dtype in df.dtypes if "map<" not in dtype and "variant" not in dtype]
     spread = F.pmod(F.xxhash64(*hashable), F.lit(SPREAD))
-    salted = df.withColumn(_SALT, F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
-    right = lookup.where(F.col(key).isNotNull()).select(key, *columns).withColumn(_SALT, F.lit(0).cast("bigint"))
-    return salted.join(right, [key, _SALT], "left").select(*[F.col(c) for c in df.columns], *columns)
+    left = df.withColumn(_SALT, F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
+    # 64 bits shifted out are 0, which the optimizer does not know: a plain 0 would be folded out of the
+    # join keys, and with it the spreading.
+    zero = F.shiftrightunsigned(F.shiftrightunsigned(F.xxhash64(key), 32), 32)
+    right = right.withColumn(_SALT, zero)
+    return left.join(right, [key, _SALT], "left").select(*df.columns, *columns)
 
 
 def population_fallback(df: DataFrame, lookup: DataFrame, key: str, population: str, found: str) -> DataFrame:

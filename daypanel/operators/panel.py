@@ -4,7 +4,9 @@ How the two window operators stay balanced.  An entity is never one indivisible
 axis is cut into blocks of ``split_days`` days and the windows run per (entity, block), so a
 group holds at most ``split_days + 1`` days however long or hot the entity is.  What crosses a
 block border is carried explicitly (one repeated row, or one border day per block), so the
-results are those of the unsplit window.  ``split_days=None`` runs the unsplit window; since an
+results are those of the unsplit window.  The one shuffle by (entity, block) is asked for
+explicitly: a window would also accept rows that already lie together by entity alone.
+``split_days=None`` runs the unsplit window; since an
 entity has one row per day its group is then bounded by the calendar, and a table already
 bucketed by entity needs no shuffle at all.
 """
@@ -54,6 +56,7 @@ def prev_day_delta(df: DataFrame, entity: Sequence[str], day: str, measures: Map
     spread = F.pmod(F.xxhash64(*entity, day, *measures), F.lit(SPREAD)).cast("int")
     block = F.when(keyed, _block(day, split_days) + F.col(_GHOST) * split_days).otherwise(spread)
     blocked = df.withColumn(_GHOST, F.explode(copies)).withColumn(_BLOCK, block)
+    blocked = blocked.repartition(*[F.col(c) for c in entity], F.col(_BLOCK))
     prev = Window.partitionBy(*entity, _BLOCK).orderBy(day).rangeBetween(-1, -1)
     return blocked.withColumns(deltas(prev)).where(F.col(_GHOST) == 0).drop(_GHOST, _BLOCK)
 
@@ -72,23 +75,55 @@ def forward_fill_gaps(df: DataFrame, entity: Sequence[str], day: str, *,
     subquery); a column name or expression gives it per row, see :func:`with_group_horizon`.
     filled: name of an optional BOOLEAN output column that marks added rows.
     """
-    if horizon is None:
-        limit = df.agg(F.max(day)).scalar()
-    else:
-        limit = F.col(horizon) if isinstance(horizon, str) else horizon
+    limit = df.agg(F.max(day)).scalar() if horizon is None else horizon
+    dated = with_next_day(df, entity, day, _NEXT, split_days)
+    return fill_to_next(dated, day, _NEXT, limit, zero=zero, null=null, advance=advance, filled=filled).drop(_NEXT)
+
+
+def with_next_day(df: DataFrame, entity: Sequence[str], day: str, name: str = "next_day",
+                  split_days: int | None = SPLIT_DAYS) -> DataFrame:
+    """Add the entity's next observed day, NULL on its last.  A NULL entity or day fails the job."""
     no_key = F.raise_error(F.lit(f"NULL in panel key {[*entity, day]}")).cast("int")
-    source = df.withColumn(_HORIZON, F.when(_all_known([*entity, day]), limit).otherwise(no_key))
-    with_next = _with_next_day(source, entity, day, split_days)
-    last = F.coalesce(F.col(_NEXT) - 1, F.col(_HORIZON))
+
+    def checked(following: Column) -> Column:
+        return F.when(_all_known([*entity, day]), following).otherwise(no_key)
+
+    if split_days is None:
+        return df.withColumn(name, checked(F.lead(day).over(Window.partitionBy(*entity).orderBy(day))))
+    # Inside a block: the next row.  For a block's last row: the first day of the entity's next block,
+    # from a per-block summary that reads only the key and day columns.
+    blocked = df.withColumn(_BLOCK, _block(day, split_days))
+    following = (
+        blocked.groupBy(*entity, _BLOCK).agg(F.min(day).alias(_FIRST))
+        .withColumn(_NEXT_FIRST, F.lead(_FIRST).over(Window.partitionBy(*entity).orderBy(_BLOCK)))
+        .drop(_FIRST)
+    )
+    inside = Window.partitionBy(*entity, _BLOCK).orderBy(day)
+    joined = (
+        blocked.repartition(*[F.col(c) for c in entity], F.col(_BLOCK))
+        .withColumn(name, F.lead(day).over(inside))
+        .join(following, [*entity, _BLOCK], "left")
+    )
+    return joined.select(*df.columns, checked(F.coalesce(name, _NEXT_FIRST)).alias(name))
+
+
+def fill_to_next(df: DataFrame, day: str, next_day: str, horizon: str | Column, *,
+                 zero: Sequence[str] = (), null: Sequence[str] = (), advance: Sequence[str] = (),
+                 filled: str | None = None) -> DataFrame:
+    """Repeat every row up to the day before ``next_day``, or up to the horizon where that is NULL.
+
+    Row by row, without a shuffle; the roles are those of :func:`forward_fill_gaps`.
+    """
+    # The horizon is attached once: a scalar subquery repeated in an expression stays one column.
+    limited = df.withColumn(_HORIZON, F.col(horizon) if isinstance(horizon, str) else horizon)
+    last = F.coalesce(F.col(next_day) - 1, F.col(_HORIZON))
     steps = F.sequence(F.lit(0), F.greatest(last - F.col(day), F.lit(0)).cast("int"))
     k = F.col(_STEP)
     types = dict(df.dtypes)
 
     def on_fill(name: str) -> Column:
         c = F.col(name)
-        if name == day:
-            return (c + k).cast(types[name]).alias(name)
-        if name in advance:
+        if name == day or name in advance:
             return (c + k).cast(types[name]).alias(name)
         if name in zero:
             return F.when(k > 0, F.lit(0).cast(types[name])).otherwise(c).alias(name)
@@ -97,7 +132,7 @@ def forward_fill_gaps(df: DataFrame, entity: Sequence[str], day: str, *,
         return c
 
     flag = [(k > 0).alias(filled)] if filled else []
-    exploded = with_next.select(*df.columns, F.explode(steps).alias(_STEP))
+    exploded = limited.select(*df.columns, F.explode(steps).alias(_STEP))
     return exploded.select(*[on_fill(c) for c in df.columns], *flag)
 
 
@@ -159,20 +194,3 @@ def _all_known(columns: Sequence[str]) -> Column:
 def _block(day: str, split_days: int) -> Column:
     """First day of the block a day lies in."""
     return (F.col(day) - F.pmod(F.col(day), F.lit(split_days))).cast("int")
-
-
-def _with_next_day(df: DataFrame, entity: Sequence[str], day: str, split_days: int | None) -> DataFrame:
-    """Add the entity's next observed day, NULL on its last."""
-    if split_days is None:
-        return df.withColumn(_NEXT, F.lead(day).over(Window.partitionBy(*entity).orderBy(day)))
-    # Inside a block: the next row.  For a block's last row: the first day of the entity's next block,
-    # from a per-block summary that reads only the key and day columns.
-    blocked = df.withColumn(_BLOCK, _block(day, split_days))
-    inside = blocked.withColumn(_NEXT, F.lead(day).over(Window.partitionBy(*entity, _BLOCK).orderBy(day)))
-    following = (
-        blocked.groupBy(*entity, _BLOCK).agg(F.min(day).alias(_FIRST))
-        .withColumn(_NEXT_FIRST, F.lead(_FIRST).over(Window.partitionBy(*entity).orderBy(_BLOCK)))
-        .drop(_FIRST)
-    )
-    joined = inside.join(following, [*entity, _BLOCK], "left")
-    return joined.withColumn(_NEXT, F.coalesce(_NEXT, _NEXT_FIRST)).drop(_NEXT_FIRST, _BLOCK)

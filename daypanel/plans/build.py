@@ -116,7 +116,6 @@ def _build_cases(case_series: Sequence[DataFrame], location_rows: DataFrame, fip
     keys = _write(case_facts.location_keys(locations, fips), root, build_id, "location_keys_staged")
     # One row per key before any window relies on it.
     check_table(series, "case series", case_facts.SERIES_KEY, [])
-    facts = case_facts.fill_facts(case_facts.observed_facts(series, keys))
-    facts = _write(facts, root, build_id, "cdataset_raw")
+    facts = _write(case_facts.facts(series, keys), root, build_id, "cdataset_raw")
     check_table(facts, "cdataset_raw", case_facts.CDATASET_RAW_KEY, case_facts.CDATASET_RAW_REQUIRED)
     return {"cdataset_loc": dimension, "cdataset_raw": facts}

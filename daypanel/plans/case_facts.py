@@ -10,12 +10,13 @@ from daypanel.functions.calendar import julian_day, julian_from_ymd, parse_day
 from daypanel.functions.numeric import require_value
 from daypanel.functions.text import null_to_empty, null_to_zero
 from daypanel.operators.dims import assign_dense_ids, last_wins_lookup, lookup_left_join, upsert_dimension
-from daypanel.operators.panel import forward_fill_gaps, per_capita
+from daypanel.operators.panel import fill_to_next, per_capita, with_next_day
 from daypanel.sources.case_series import MANDATORY, OPTIONAL, SOURCE, align_schema, union_sources
 from daypanel.sources.contract import ROW_ORDER
 
 DAY = "date_julian"
 HORIZON = "horizon"
+NEXT = "next_day"
 SERIES_KEY = [SOURCE, "dataset", "location_key", DAY]
 
 # Columns of the fact table by their role on an added day, and in table order.
@@ -110,22 +111,23 @@ def fips_population(loc_lookup_rows: DataFrame) -> DataFrame:
     return last_wins_lookup(loc_lookup_rows, "fips", "population", ROW_ORDER)
 
 
+def facts(series: DataFrame, keys: DataFrame) -> DataFrame:
+    """A row for every day of every dataset and location, in table order.
+
+    The days to fill are found before the locations are joined, from the sources' key columns alone;
+    the rows multiply only after the join.
+    """
+    dated = with_next_day(series, SERIES_KEY[:-1], DAY, NEXT)
+    filled = fill_to_next(
+        observed_facts(dated, keys), DAY, NEXT, HORIZON,
+        zero=ZERO_ON_FILL, null=NULL_ON_FILL, advance=ADVANCE_ON_FILL,
+    )
+    return filled.select(*[F.col(c).cast("bigint") if c in ADVANCE_ON_FILL else F.col(c) for c in CDATASET_RAW])
+
+
 def observed_facts(series: DataFrame, keys: DataFrame) -> DataFrame:
     """The observed rows as stored: location id, population, counts without NULL, rates per 100k."""
     located = series.join(keys, "location_key", "inner")
     population = F.coalesce("factbook_population", "county_population")
     known = located.withColumn("factbook_population", population)
     return null_to_zero(per_capita(known, RATES, "factbook_population"), COUNTS)
-
-
-def fill_facts(observed: DataFrame) -> DataFrame:
-    """A row for every day of every dataset and location, in table order.
-
-    The window is keyed by the location's key: where the join to the dimension had to shuffle by it,
-    the rows already lie right.
-    """
-    filled = forward_fill_gaps(
-        observed, [SOURCE, "dataset", "location_key"], DAY,
-        zero=ZERO_ON_FILL, null=NULL_ON_FILL, advance=ADVANCE_ON_FILL, horizon=HORIZON,
-    )
-    return filled.select(*[F.col(c).cast("bigint") if c in ADVANCE_ON_FILL else F.col(c) for c in CDATASET_RAW])

@@ -85,7 +85,7 @@ def nytcounties(nytcounties_raw: DataFrame, loc_lookup: DataFrame, days: Days =
         raw = on_days(raw, first - 1, last)
     with_delta = prev_day_delta(raw, ["state", "county"], DAY, COUNTY_DELTAS)
     coded = _within(with_delta, days).where(F.col("fips").isNotNull())
-    with_population = lookup_left_join(coded, loc_lookup, "fips", ["population"])
+    with_population = lookup_left_join(coded, loc_lookup, "fips", ["population"], spread_nulls=False)
     leading = ["population", *COUNTY_DELTAS.values()]
     return with_date_parts(with_population.select(*leading, *nytcounties_raw.columns))
 

@@ -45,9 +45,9 @@ def durable(df: DataFrame) -> DataFrame:
 def ingest_session(spark: SparkSession) -> SparkSession:
     """A sibling session in which text sources are read strictly.
 
-    Header names must match in letter case, conversions raise instead of giving NULL, and every
-    column is parsed even when a query needs few of them, so that a malformed row cannot hide
-    behind column pruning.  The caller's session is left as it is.
+    Header names must match in letter case, conversions raise instead of giving NULL, and lines are
+    split into all their fields even when a query needs few of them, so that a row of wrong length
+    cannot hide behind column pruning.  The caller's session is left as it is.
     """
     strict = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",

@@ -82,6 +82,7 @@ def scan_contract(spark: SparkSession, contract: SourceContract, path: str, with
     """
     reader = _reader(ingest_session(spark), contract, multi_line).schema(contract.schema)
     df = reader.option("mode", "FAILFAST").csv(path)
+    df = df.where(~_never(contract))
     return _with_order(df) if with_order else df
 
 
@@ -127,7 +128,7 @@ def triage_contract(spark: SparkSession, contract: SourceContract, path: str,
         _reader(ingest_session(spark), contract, False)
         .schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
     )
-    bad = F.col(_CORRUPT).isNotNull()
+    bad = F.col(_CORRUPT).isNotNull() | _never(contract)
     if allow_extra:
         bad = bad & _undecodable(contract)
     good = rows.where(~bad).select(*contract.schema.names)
@@ -146,6 +147,16 @@ def _quoting(contract: SourceContract) -> dict[str, str]:
     return {"quote": '"', "escape": '"' if contract.doubled_quotes else "\u0000"}
 
 
+def _never(contract: SourceContract) -> Column:
+    """False, in terms of every typed column.
+
+    The reader only converts the columns that a query needs and would miss a malformed value in
+    any other.  This needs them all, and the optimizer cannot know that a number shifted right
+    without its sign is never negative.
+    """
+    return F.shiftrightunsigned(F.xxhash64(*contract.schema.names), 1) < 0
+
+
 def _undecodable(contract: SourceContract) -> Column:
     """Whether a flagged row is wrong beyond having surplus fields: too short, or a field that lost its value."""
     line = F.col(_CORRUPT)

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from daypanel.operators.panel import SPREAD
-from daypanel.session import durable
+from daypanel.session import durable, sized
 
 _PART = "__part"
 _SEQ = "__seq"
@@ -97,10 +97,17 @@ def upsert_dimension(dim: DataFrame, facts: DataFrame, key: str, id_name: str, a
 
     A new row's attributes are those of its key's first row in ``order``.  New ids continue after
     the largest existing one, sorted by ``id_order`` (default: ``order``, then the key) of those
-    first rows; it must tell new keys apart.  Runs the job of :func:`assign_dense_ids`.
+    first rows; it must tell new keys apart.
+
+    Runs jobs.  The facts are read twice: once for their distinct keys, reduced in each task, and
+    once for the rows of new keys; with no new key the dimension is returned as it is.
     """
+    keys = facts.select(key).where(F.col(key).isNotNull()).distinct()
+    new_keys, count = sized(keys.join(dim.select(key), key, "left_anti"))
+    if count == 0:
+        return dim
     wanted = [c for c in dict.fromkeys([*attributes, *order]) if c != key]
-    misses = facts.select(key, *wanted).join(dim.select(key), key, "left_anti")
+    misses = facts.select(key, *wanted).join(new_keys, key, "left_semi")
     first = first_row_attributes(misses, key, wanted, order)
     top = dim.agg(F.coalesce(F.max(id_name), F.lit(0))).scalar()
     new = assign_dense_ids(first, list(id_order or [*order, key]), id_name, top)

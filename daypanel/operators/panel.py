@@ -20,7 +20,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from daypanel.functions.numeric import rate
-from daypanel.session import durable
+from daypanel.session import BROADCAST_ROWS, sized
 
 SPLIT_DAYS = 366
 SPREAD = 4096
@@ -69,7 +69,7 @@ def forward_fill_gaps(df: DataFrame, entity: Sequence[str], day: str, *,
 
     A missing day repeats the latest observation, except that ``zero`` columns become 0, ``null``
     columns NULL, and ``advance`` columns grow by one per filled day (NULL stays NULL).  Nothing is
-    added before an entity's first row.  A NULL entity or day fails the job.
+    added before an entity's first row.  A NULL or duplicate entity and day fails the job.
 
     horizon: last day to fill to.  Default is the latest day of the whole table (one scalar
     subquery); a column name or expression gives it per row, see :func:`with_group_horizon`.
@@ -82,11 +82,21 @@ def forward_fill_gaps(df: DataFrame, entity: Sequence[str], day: str, *,
 
 def with_next_day(df: DataFrame, entity: Sequence[str], day: str, name: str = "next_day",
                   split_days: int | None = SPLIT_DAYS) -> DataFrame:
-    """Add the entity's next observed day, NULL on its last.  A NULL entity or day fails the job."""
-    no_key = F.raise_error(F.lit(f"NULL in panel key {[*entity, day]}")).cast("int")
+    """Add the entity's next observed day, NULL on its last.
+
+    A NULL entity or day fails the job, and so does a second row for the same entity and day: it
+    would be the next row in order, so the check costs nothing.
+    """
+    key = [*entity, day]
+    no_key = F.raise_error(F.lit(f"NULL in panel key {key}")).cast("int")
+    found_twice = F.concat(F.lit(f"duplicate panel key {key}: "), F.concat_ws(", ", *[F.col(c).cast("string") for c in key]))
 
     def checked(following: Column) -> Column:
-        return F.when(_all_known([*entity, day]), following).otherwise(no_key)
+        return (
+            F.when(~_all_known(key), no_key)
+            .when(following == F.col(day), F.raise_error(found_twice).cast("int"))
+            .otherwise(following)
+        )
 
     if split_days is None:
         return df.withColumn(name, checked(F.lead(day).over(Window.partitionBy(*entity).orderBy(day))))
@@ -137,16 +147,14 @@ def fill_to_next(df: DataFrame, day: str, next_day: str, horizon: str | Column,
 
 
 def with_group_horizon(df: DataFrame, group: Sequence[str], day: str, name: str = "horizon",
-                       broadcast_rows: int = 100_000) -> DataFrame:
+                       broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Add the latest day of each row's group, for ``forward_fill_gaps(horizon=name)``.
 
-    Runs one job: the maxima (partially aggregated, one row per group) are checkpointed so that
-    their number is known.  Up to ``broadcast_rows`` groups are broadcast; more are joined by
-    shuffle, where adaptive execution splits a hot group.
+    Runs a job for the maxima, which are partially aggregated and one row per group.  Up to
+    ``broadcast_rows`` groups are broadcast; more are joined by shuffle, where adaptive execution
+    splits a hot group.
     """
-    maxima = durable(df.groupBy(*group).agg(F.max(day).alias(name)))
-    if maxima.count() <= broadcast_rows:
-        maxima = F.broadcast(maxima)
+    maxima, _ = sized(df.groupBy(*group).agg(F.max(day).alias(name)), broadcast_rows)
     return df.join(maxima, list(group), "left").select(*df.columns, name)
 
 

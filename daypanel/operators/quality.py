@@ -103,7 +103,12 @@ def stop_on(label: str, violations: DataFrame, shown: int = 20) -> None:
 
 
 def publish_gate(df: DataFrame, label: str, key: Sequence[str], required: Sequence[str] = ()) -> None:
-    """Stop unless the key is unique and the required columns are complete.  Runs jobs."""
-    stop_on(f"{label}: duplicate key", unique_violations(df, key))
+    """Stop unless the key is unique and the required columns are complete.  Runs one job."""
+    def described(violations: DataFrame, rule: str, detail: Sequence[str]) -> DataFrame:
+        return violations.select(F.lit(rule).alias("rule"), F.to_json(F.struct(*detail)).alias("found"))
+
+    broken = described(unique_violations(df, key), "duplicate key", [*key, "row_count"])
     if required:
-        stop_on(f"{label}: NULL in required column", not_null_violations(df, required).where("null_count > 0"))
+        incomplete = not_null_violations(df, required).where("null_count > 0")
+        broken = broken.unionAll(described(incomplete, "NULL in required column", ["column_name", "null_count"]))
+    stop_on(label, broken)

@@ -54,10 +54,10 @@ def build(spark: SparkSession, landing: Landing, root: str, minimum_rows: Mappin
     for name, contract in CONTRACTS.items():
         ordered = contract in (LOC_LOOKUP, LOCATION_MAP)
         staged[name] = _ingest(spark, contract, landing.text[name], root, build_id, ordered)
-        if contract is LOCATION_MAP:
-            continue
-        check_table(staged[name], contract.name, contract.key, contract.required)
-        tables[name] = staged[name]
+        # The location map may repeat a key: its last row is the one that is looked up.
+        if contract is not LOCATION_MAP:
+            publish_gate(staged[name], name, contract.key)
+            tables[name] = staged[name]
     fips = case_facts.fips_population(staged["loc_lookup"])
     tables["loc_lookup"] = _write(staged["loc_lookup"].drop(*ROW_ORDER), root, build_id, "loc_lookup")
     tables |= _build_cases(landing.case_series, staged["location_map"], fips, root, build_id)
@@ -66,10 +66,6 @@ def build(spark: SparkSession, landing: Landing, root: str, minimum_rows: Mappin
     return tables
 
 
-def check_table(df: DataFrame, name: str, key: Sequence[str], required: Sequence[str]) -> None:
-    publish_gate(df, name, key, required)
-
-
 def gates(tables: Mapping[str, DataFrame], minimum_rows: Mapping[str, int],
           expectations: Sequence[Expectation]) -> None:
     """Row-count and point-value gates over the tables and views."""
@@ -97,25 +93,27 @@ def _ingest(spark: SparkSession, contract: SourceContract, path: str, root: str,
     rows = read_contract(spark, contract, path, with_order=ordered)
     target = f"{contract.name}_staged" if ordered else contract.name
     location = store.table_path(root, build_id, target)
-    store.write_table(rows, location)
+    store.write_table(rows, location, required=contract.required)
     return store.read_table(spark, location, rows)
 
 
-def _write(df: DataFrame, root: str, build_id: str, name: str) -> DataFrame:
-    return store.write_table(df, store.table_path(root, build_id, name), store.PARTITIONS.get(name, ()))
+def _write(df: DataFrame, root: str, build_id: str, name: str, required: Sequence[str] = ()) -> DataFrame:
+    path = store.table_path(root, build_id, name)
+    return store.write_table(df, path, store.PARTITIONS.get(name, ()), required=required)
 
 
 def _build_cases(case_series: Sequence[DataFrame], location_rows: DataFrame, fips: DataFrame, root: str,
                  build_id: str) -> dict[str, DataFrame]:
     series = case_facts.prepare_sources(case_series)
+    stop_on("case series", case_facts.series_violations(case_facts.series_spans(series)))
     locations = case_facts.extend_locations(case_facts.base_locations(location_rows), series)
     # Written once, with the key that the facts are looked up by; the stored dimension leaves it out.
     locations = _write(locations, root, build_id, "cdataset_loc_staged")
-    dimension = _write(locations.select(*case_facts.CDATASET_LOC), root, build_id, "cdataset_loc")
-    check_table(dimension, "cdataset_loc", ["locid"], case_facts.CDATASET_LOC_REQUIRED)
+    dimension = locations.select(*case_facts.CDATASET_LOC)
+    dimension = _write(dimension, root, build_id, "cdataset_loc", case_facts.CDATASET_LOC_REQUIRED)
+    publish_gate(dimension, "cdataset_loc", ["locid"])
     keys = _write(case_facts.location_keys(locations, fips), root, build_id, "location_keys_staged")
-    # One row per key before any window relies on it.
-    check_table(series, "case series", case_facts.SERIES_KEY, [])
-    facts = _write(case_facts.facts(series, keys), root, build_id, "cdataset_raw")
-    check_table(facts, "cdataset_raw", case_facts.CDATASET_RAW_KEY, case_facts.CDATASET_RAW_REQUIRED)
+    # Gap filling refuses duplicate keys, and no two sources cover the same days: the key is unique.
+    facts = case_facts.facts(series, keys)
+    facts = _write(facts, root, build_id, "cdataset_raw", case_facts.CDATASET_RAW_REQUIRED)
     return {"cdataset_loc": dimension, "cdataset_raw": facts}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from daypanel.functions.calendar import julian_day, julian_from_ymd, parse_day
 from daypanel.functions.numeric import require_value
@@ -72,6 +72,26 @@ def prepare_sources(sources: Sequence[DataFrame]) -> DataFrame:
     return union_sources(prepared)
 
 
+def series_spans(series: DataFrame) -> DataFrame:
+    """Per dataset, location and source: the days its filled rows will cover.  Reduced in each task."""
+    stated = julian_day(parse_day("date"))
+    return series.groupBy("dataset", "location_key", SOURCE).agg(
+        F.min(DAY).alias("first_day"),
+        F.greatest(F.max(DAY), F.max(HORIZON)).alias("last_day"),
+        F.count_if(stated != F.col(DAY)).alias("unlike_dates"),
+    )
+
+
+def series_violations(spans: DataFrame) -> DataFrame:
+    """Spans that break a rule: two sources cover the same days, or ``date`` differs from its year, month and day.
+
+    Checked on the spans, this spares a comparison of all filled rows with each other.
+    """
+    earlier = Window.partitionBy("dataset", "location_key").orderBy("first_day", SOURCE)
+    covered = F.coalesce(F.lag("last_day").over(earlier) >= F.col("first_day"), F.lit(False))
+    return spans.withColumn("covered_twice", covered).where("covered_twice or unlike_dates > 0")
+
+
 def base_locations(location_rows: DataFrame) -> DataFrame:
     """The location map with ids 1, 2, 3, ... in file order; ``location_rows`` carries ``ROW_ORDER``."""
     return assign_dense_ids(location_rows, ROW_ORDER, "locid").drop(*ROW_ORDER)

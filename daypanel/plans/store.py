@@ -9,9 +9,12 @@ file system Spark can write to will do.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+from daypanel.operators.quality import QualityError
 
 # Fixed value: version of the stored schema.
 SCHEMA_VERSION = "2"
@@ -21,6 +24,7 @@ TABLES = [
     "build_meta", "loc_lookup", "nytcounties_raw", "harveycodata_raw", "covidtracking_raw", "owid_raw",
     "rtlive_raw", "cdataset_loc", "cdataset_raw",
 ]
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 _LOG = "published"
 _LOG_SCHEMA = "build_id string, published_at timestamp"
 
@@ -33,12 +37,37 @@ def table_path(root: str, build_id: str, name: str) -> str:
     return f"{root}/builds/{build_id}/{name}"
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> DataFrame:
-    """Write a table and return it as read back.  ``mode="append"`` adds rows to an existing table."""
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists",
+                required: Sequence[str] = ()) -> DataFrame:
+    """Write a table and return it as read back.  ``mode="append"`` adds rows to an existing table.
+
+    required: columns that must not hold NULL.  They are counted while the rows pass by on their way
+    to the files, and a NULL raises :class:`QualityError` after the write; the table is then there,
+    but no caller goes on to publish it.
+    """
+    nulls = Observation()
+    if required:
+        df = df.observe(nulls, *[F.count_if(F.col(c).isNull()).alias(c) for c in required])
+    with _open_writers(df.sparkSession, partition_by):
+        df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    found = {c: n for c, n in nulls.get.items() if n} if required else {}
+    if found:
+        raise QualityError(f"{path}: NULL in required column: {found}")
     return read_table(df.sparkSession, path, df)
 
 
+@contextmanager
+def _open_writers(spark: SparkSession, partition_by: Sequence[str]) -> Iterator[None]:
+    """Let a task keep a file open per partition value, instead of sorting all its rows by that value."""
+    before = spark.conf.get(_WRITERS)
+    if partition_by:
+        spark.conf.set(_WRITERS, "100")
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS, before)
+
+
 def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
     """A stored table; ``like`` gives the column order and types, which spares Spark reading a footer."""
     if like is None:

@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+BROADCAST_ROWS = 100_000
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -42,6 +43,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def sized(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """``df`` made durable, with its row count; marked for broadcast if it has at most ``broadcast_rows``.
+
+    For small results whose size no statistics tell in advance.  Above the bound the join that uses
+    it is left to Catalyst.
+    """
+    fixed = durable(df)
+    count = fixed.count()
+    return (F.broadcast(fixed) if count <= broadcast_rows else fixed), count
+
+
 def ingest_session(spark: SparkSession) -> SparkSession:
     """A sibling session in which text sources are read strictly.
 

@@ -1,0 +1,215 @@
+"""The whole job over invented sources."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from daypanel.operators.panel import with_next_day
+from daypanel.operators.quality import QualityError
+from daypanel.plans import store
+from daypanel.plans.build import HARVEY_EXPECTATIONS, MINIMUM_ROWS, Landing, build, build_and_register
+from daypanel.plans.case_facts import CDATASET_LOC, CDATASET_RAW, prepare_sources, series_spans, series_violations
+from daypanel.plans.views import VIEWS, view
+from daypanel.sources import contracts
+from daypanel.sources.case_series import MANDATORY, OPTIONAL
+
+JD = 2458923  # 2020-03-14
+
+
+def _line(contract, **values):
+    defaults = {"text": "", "int": "", "real": "", "u32": "", "u64": ""}
+    return contract.separator.join(str(values.get(f.header, defaults[f.kind])) for f in contract.fields)
+
+
+def _file(tmp_path, contract, *rows):
+    path = tmp_path / contract.name
+    ignored = contract.separator * len(contract.ignored)
+    lines = [contract.separator.join(contract.header)] + [_line(contract, **r) + ignored for r in rows]
+    path.write_text("\n".join(lines) + "\n")
+    return str(path)
+
+
+RT = {"index": 1, "mean": 1, "median": 1, "lower_80": 1, "upper_80": 1, "infections": 1, "test_adjusted_positive": 1,
+      "test_adjusted_positive_raw": 1, "positive": 1.5, "tests": 2}
+
+
+def _text(tmp_path, **changes):
+    rows = {
+        "loc_lookup": [
+            {"UID": 1, "FIPS": 20079, "Population": 100}, {"UID": 2, "FIPS": 20079, "Population": 200},
+            {"UID": 3, "FIPS": 20001},
+        ],
+        "nytcounties_raw": [
+            {"date": "2020-03-14", "county": "H", "state": "K", "fips": 20079, "cases": 1, "deaths": 0},
+            {"date": "2020-03-15", "county": "H", "state": "K", "fips": 20079, "cases": 4, "deaths": 1},
+            {"date": "2020-03-15", "county": "U", "state": "K", "cases": 4},
+        ],
+        "harveycodata_raw": [
+            {"date": "2020-07-19", "kdhe_neg_results": 52, "kdhe_pos_results": 1},
+            {"date": "2020-08-15", "kdhe_neg_results": 49, "kdhe_pos_results": 21, "harveyco_tot_results": 32,
+             "harveyco_pos_results": 4},
+            {"date": "2020-06-30", "harveyco_recovered": 20, "harveyco_confirmed": 41},
+        ],
+        "covidtracking_raw": [
+            {"date": "20200314", "state": "KS", "fips": 20, "positive": 1}, {"date": "20200314", "state": "MO", "fips": 29},
+        ],
+        "owid_raw": [
+            {"iso_code": "USA", "location": "US", "date": "2020-03-14", "total_cases_per_million": 3, "new_tests": 1, "total_tests": 2},
+            {"iso_code": "", "location": "International", "date": "2020-03-14"},
+        ],
+        "rtlive_raw": [{"date": "2020-03-14", "region": "KS", **RT}],
+        "location_map": [
+            {"key": "a", "type": "county", "us_county_fips": 20079}, {"key": "b", "type": "country"},
+            {"key": "a", "type": "county again", "us_county_fips": 20079},
+        ],
+    } | changes
+    return {name: _file(tmp_path, contracts.CONTRACTS[name], *rows[name]) for name in contracts.CONTRACTS}
+
+
+def _series(spark, rows, optional=()):
+    """Case-series rows (dataset, key, date, confirmed, population); all other columns follow simple rules."""
+    base = spark.createDataFrame(rows, "dataset string, location_key string, date string, absolute_confirmed long, factbook_population long")
+    day = F.to_date("date")
+    given = {
+        **{c: F.col(c) for c in base.columns},
+        "date_year": F.year(day), "date_month": F.month(day), "date_day": F.dayofmonth(day),
+        "day_index_0": F.lit(5), "day_index_1": F.lit(4), "day_index_10": F.lit(3),
+        "location_type": F.concat(F.lit("type "), F.col("date")), "delta_confirmed": F.lit(2).cast("long"),
+        "delta_pct_confirmed": F.lit(0.5),
+    }
+    fields = [*MANDATORY, *[f for f in OPTIONAL if f.name in optional]]
+    return base.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+
+
+@pytest.fixture
+def landed(spark, tmp_path):
+    sources = [
+        _series(spark, [("d1", "x", "2020-03-14", 10, None), ("d1", "a", "2020-03-12", 7, None), ("d1", "a", "2020-03-14", None, 0)]),
+        _series(spark, [("d2", "y", "2020-03-14", 1, 1000), ("d2", "b", "2020-03-13", 1, None), ("d3", "x", "2020-03-15", 1, None)],
+                optional=["province", "absolute_recovered"]),
+    ]
+    return Landing(_text(tmp_path), sources)
+
+
+def test_the_whole_job(spark, tmp_path, landed, rows):
+    root = str(tmp_path / "store")
+    names = build_and_register(
+        spark, landed, root, minimum_rows={"cdataset": 9, "harveycodata": 3}, expectations=HARVEY_EXPECTATIONS
+    )
+    assert set(VIEWS) <= set(names)
+    tables = store.open_tables(spark, root)
+    widths = {"cdataset": 58, "harveycodata": 14, "nytcounties": 13, "rtlive": 19, "covidtracking": 59, "covidtracking_us": 43, "owid": 71}
+    assert {v: len(view(v, tables).columns) for v in VIEWS} == widths
+    assert sorted(tables["cdataset_raw"].columns) == sorted(CDATASET_RAW) and len(CDATASET_RAW) == 45
+    assert tables["cdataset_loc"].columns == CDATASET_LOC
+    assert rows(tables["build_meta"]) == [("schemaver", "2")]
+
+    # The map's rows keep their ids, also the one whose key comes again; new keys follow source by source.
+    assert rows(tables["cdataset_loc"], "locid", "xtype", "subregion", "us_state_code", "us_state_name", "us_county_fips") == [
+        (1, "county", "", "", "", 20079), (2, "country", "", "", "", None), (3, "county again", "", "", "", 20079),
+        (4, "type 2020-03-14", "", "", None, None), (5, "type 2020-03-14", "", "", None, None),
+    ]
+    facts = rows(tables["cdataset_raw"], "dataset", "locid", "date_julian", "absolute_confirmed", "delta_confirmed",
+                 "delta_pct_confirmed", "day_index_0", "absolute_pop100k_confirmed", "delta_pop100k_confirmed", "factbook_population")
+    assert facts == [
+        ("d1", 3, JD - 2, 7, 2, 0.5, 5, 3500.0, 1000.0, 200),
+        ("d1", 3, JD - 1, 7, 0, None, 6, 3500.0, None, 200),
+        ("d1", 3, JD, 0, 2, 0.5, 5, None, None, 0),
+        ("d1", 4, JD, 10, 2, 0.5, 5, None, None, None),
+        ("d2", 2, JD - 1, 1, 2, 0.5, 5, None, None, None),
+        ("d2", 2, JD, 1, 0, None, 6, None, None, None),
+        ("d2", 2, JD + 1, 1, 0, None, 7, None, None, None),
+        ("d2", 5, JD, 1, 2, 0.5, 5, 100.0, 200.0, 1000),
+        ("d2", 5, JD + 1, 1, 0, None, 6, 100.0, None, 1000),
+        ("d3", 4, JD + 1, 1, 2, 0.5, 5, None, None, None),
+    ]
+    counties = spark.sql("select date, population, cases_new, deaths_new from nytcounties order by 1, 2").collect()
+    assert [tuple(r) for r in counties] == [
+        ("2020-03-14", 100, None, None), ("2020-03-14", 200, None, None), ("2020-03-15", 100, 3, 1), ("2020-03-15", 200, 3, 1),
+    ]
+    us = spark.sql("select date, date_julian, positive, pending, inclueCurrently from covidtracking_us").collect()
+    assert [tuple(r) for r in us] == [("2020-03-14", JD, 1, None, None)]
+    world = spark.sql("select iso_code, total_cases_per_100k, new_tests, total_tests from owid").collect()
+    assert [tuple(r) for r in world] == [("USA", 0.3, 1.0, 2.0)]
+    assert [r[0] for r in spark.sql("select distinct dataset from cdataset order by dataset").collect()] == ["d1", "d2", "d3"]
+
+
+def test_a_broken_build_is_not_published(spark, tmp_path, landed):
+    root = str(tmp_path / "store")
+    build(spark, landed, root)
+    first = store.published_build(spark, root)
+    with pytest.raises(QualityError, match="too few rows"):
+        build(spark, landed, root, minimum_rows=MINIMUM_ROWS)
+    assert store.published_build(spark, root) == first
+    build(spark, landed, root)
+    assert store.published_build(spark, root) != first
+
+
+def test_duplicate_keys_stop_the_build(spark, tmp_path, landed):
+    double = [{"date": "2020-03-14", "county": "H", "state": "K", "cases": 1}] * 2
+    broken = Landing(_text(tmp_path, nytcounties_raw=double), landed.case_series)
+    with pytest.raises(QualityError, match="nytcounties_raw: .*duplicate key"):
+        build(spark, broken, str(tmp_path / "s1"))
+    twice = Landing(_text(tmp_path), [_series(spark, [("d1", "x", "2020-03-14", 1, None)] * 2)])
+    with pytest.raises(Exception, match="duplicate panel key"):
+        build(spark, twice, str(tmp_path / "s2"))
+    # The same dataset and location in two sources collide in the fact table.
+    one = _series(spark, [("d1", "x", "2020-03-14", 1, None)])
+    with pytest.raises(QualityError, match="case series: .*covered_twice"):
+        build(spark, Landing(_text(tmp_path), [one, one]), str(tmp_path / "s3"))
+
+
+def test_sources_may_follow_each_other(spark, rows):
+    def spans(*sources):
+        return series_spans(prepare_sources([_series(spark, s) for s in sources]))
+
+    march = [("d", "x", "2020-03-14", 1, None), ("d", "x", "2020-03-16", 1, None)]
+    assert series_violations(spans(march, [("d", "x", "2020-03-17", 1, None)])).count() == 0
+    assert series_violations(spans([("d", "x", "2020-03-17", 1, None)], march)).count() == 0
+    assert series_violations(spans(march, [("d", "x", "2020-03-16", 1, None)])).count() == 1
+    assert series_violations(spans(march, [("e", "x", "2020-03-16", 1, None)])).count() == 0
+
+
+def test_dates_must_agree(spark):
+    unlike = prepare_sources([_series(spark, [("d", "x", "2020-03-14", 1, None)]).withColumn("date_day", F.lit(15))])
+    assert [r.unlike_dates for r in series_violations(series_spans(unlike)).collect()] == [1]
+
+
+def test_missing_values_stop_the_build(spark, tmp_path, landed):
+    hole = _series(spark, [("d1", "x", "2020-03-14", 1, None)]).withColumn("day_index_1", F.lit(None).cast("int"))
+    with pytest.raises(QualityError, match="NULL in required column: {'day_index_1': 1}"):
+        build(spark, Landing(landed.text, [hole]), str(tmp_path / "s"))
+
+
+def test_wrong_figures_stop_the_build(spark, tmp_path, landed):
+    wrong = [{"date": "2020-07-19", "kdhe_neg_results": 51}]
+    with pytest.raises(QualityError, match="unexpected value"):
+        build(spark, Landing(_text(tmp_path, harveycodata_raw=wrong), landed.case_series), str(tmp_path / "s"),
+              expectations=HARVEY_EXPECTATIONS)
+
+
+def test_day_spans_read_only_their_days(spark, tmp_path, landed, rows):
+    tables = build(spark, landed, str(tmp_path / "store"))
+    span = view("nytcounties", tables, days=("2020-03-15", dt.date(2020, 3, 15)))
+    assert rows(span, "date", "cases_new") == [("2020-03-15", 3), ("2020-03-15", 3)]
+    plan = span._jdf.queryExecution().executedPlan().toString()
+    assert f"GreaterThanOrEqual(date_julian,{JD})" in plan and f"LessThanOrEqual(date_julian,{JD + 1})" in plan
+    one = view("cdataset", tables, days=("2020-03-14", "2020-03-14"))
+    assert f"EqualTo(date_julian,{JD})" in one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 4
+
+
+def test_dataset_filter_prunes_folders(spark, tmp_path, landed):
+    tables = build(spark, landed, str(tmp_path / "store"))
+    plan = view("cdataset", tables).where("dataset = 'd1'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dataset" in plan
+
+
+def test_missing_key_or_bad_date_stops_the_build(spark):
+    for row in (("d", None, "2020-03-14", 1, None), (None, "x", "2020-03-14", 1, None)):
+        with pytest.raises(Exception):
+            prepared = prepare_sources([_series(spark, [row])])
+            with_next_day(prepared, ["source_ord", "dataset", "location_key"], "date_julian").collect()
+    with pytest.raises(Exception):
+        prepare_sources([_series(spark, [("d", "x", "2020-03-32", 1, None)])]).collect()

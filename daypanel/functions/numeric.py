@@ -11,13 +11,20 @@ UINT32_MAX = 4294967295
 
 
 def round_half_away(value: Column) -> Column:
-    """DOUBLE -> BIGINT, halves away from zero; NaN becomes 0 and out-of-range values the nearest bound."""
-    rounded = F.round(value)
+    """DOUBLE -> BIGINT, halves away from zero; NaN becomes 0 and out-of-range values the nearest bound.
+
+    Exact: what remains of a double after its floor is itself a double.  Unlike SQL's ``round`` this
+    builds no decimal number per row.
+    """
+    size = F.abs(value)
+    whole = F.floor(size)
+    rounded = whole + (size - whole.cast("double") >= 0.5).cast("bigint")
     return (
         F.when(F.isnan(value), F.lit(0).cast("bigint"))
-        .when(rounded >= F.lit(float(INT64_MAX)), F.lit(INT64_MAX))
-        .when(rounded <= F.lit(float(INT64_MIN)), F.lit(INT64_MIN))
-        .otherwise(rounded.cast("bigint"))
+        .when(value >= F.lit(float(INT64_MAX)), F.lit(INT64_MAX))
+        .when(value <= F.lit(float(INT64_MIN)), F.lit(INT64_MIN))
+        .when(value < 0, -rounded)
+        .otherwise(rounded)
     )
 
 

@@ -15,6 +15,7 @@ from daypanel.operators.quality import Expectation, point_expectations, publish_
 from daypanel.operators.summaries import row_counts
 from daypanel.plans import case_facts, store
 from daypanel.plans.views import VIEWS, register_views, view
+from daypanel.sources.case_series import scan_case_series
 from daypanel.sources.contract import ROW_ORDER, SourceContract, read_contract
 from daypanel.sources.contracts import CONTRACTS, LOC_LOOKUP, LOCATION_MAP
 
@@ -41,6 +42,12 @@ class Landing:
     text: Mapping[str, str]
     case_series: Sequence[DataFrame] = field(default_factory=tuple)
 
+    @classmethod
+    def of_folder(cls, spark: SparkSession, folder: str, case_series: Sequence[str], fmt: str = "parquet") -> Landing:
+        """Text sources in ``folder/<contract name>``, case series in ``folder/case_series/<name>``."""
+        text = {name: f"{folder}/{name}" for name in CONTRACTS}
+        return cls(text, [scan_case_series(spark, f"{folder}/case_series/{name}", fmt) for name in case_series])
+
 
 def build(spark: SparkSession, landing: Landing, root: str, minimum_rows: Mapping[str, int] | None = None,
           expectations: Sequence[Expectation] = ()) -> dict[str, DataFrame]:
@@ -94,7 +101,7 @@ def _ingest(spark: SparkSession, contract: SourceContract, path: str, root: str,
     target = f"{contract.name}_staged" if ordered else contract.name
     location = store.table_path(root, build_id, target)
     store.write_table(rows, location, required=contract.required)
-    return store.read_table(spark, location, rows)
+    return store.read_table(spark, location, rows.schema)
 
 
 def _write(df: DataFrame, root: str, build_id: str, name: str, required: Sequence[str] = ()) -> DataFrame:

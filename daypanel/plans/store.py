@@ -13,17 +13,15 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from daypanel.operators.quality import QualityError
+from daypanel.plans.schemas import SCHEMAS
 
 # Fixed value: version of the stored schema.
 SCHEMA_VERSION = "2"
 
 PARTITIONS = {"cdataset_raw": ["dataset"]}
-TABLES = [
-    "build_meta", "loc_lookup", "nytcounties_raw", "harveycodata_raw", "covidtracking_raw", "owid_raw",
-    "rtlive_raw", "cdataset_loc", "cdataset_raw",
-]
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 _LOG = "published"
 _LOG_SCHEMA = "build_id string, published_at timestamp"
@@ -53,7 +51,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     found = {c: n for c, n in nulls.get.items() if n} if required else {}
     if found:
         raise QualityError(f"{path}: NULL in required column: {found}")
-    return read_table(df.sparkSession, path, df)
+    return read_table(df.sparkSession, path, df.schema)
 
 
 @contextmanager
@@ -68,11 +66,11 @@ def _open_writers(spark: SparkSession, partition_by: Sequence[str]) -> Iterator[
         spark.conf.set(_WRITERS, before)
 
 
-def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
-    """A stored table; ``like`` gives the column order and types, which spares Spark reading a footer."""
-    if like is None:
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A stored table; a known schema gives the column order and spares Spark reading a footer."""
+    if schema is None:
         return spark.read.parquet(path)
-    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def write_meta(spark: SparkSession, path: str) -> DataFrame:
@@ -94,4 +92,4 @@ def published_build(spark: SparkSession, root: str) -> str:
 def open_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The stored tables of the published build."""
     build_id = published_build(spark, root)
-    return {name: read_table(spark, table_path(root, build_id, name)) for name in TABLES}
+    return {name: read_table(spark, table_path(root, build_id, name), schema) for name, schema in SCHEMAS.items()}

@@ -17,14 +17,15 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master without the setting gets a folder of its own; on a cluster a missing
     setting is an error, since a machine-local folder would lose data with its executor.
     """
-    named = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(_CHECKPOINT_DIR)
+    context = spark.sparkContext
+    named = spark.conf.get(_CHECKPOINT_DIR, None) or context.getConf().get(_CHECKPOINT_DIR)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="daypanel-")
-    spark.conf.set(_CHECKPOINT_DIR, own)
-    return own
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="daypanel-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -37,9 +38,9 @@ def durable(df: DataFrame) -> DataFrame:
 
     Runs a job.  A lost executor cannot make later stages see other rows or another order.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    context, folder = df.sparkSession.sparkContext, shared_dir(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

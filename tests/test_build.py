@@ -5,11 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from daypanel.__main__ import main
 from daypanel.operators.panel import with_next_day
 from daypanel.operators.quality import QualityError
 from daypanel.plans import store
 from daypanel.plans.build import HARVEY_EXPECTATIONS, MINIMUM_ROWS, Landing, build, build_and_register
 from daypanel.plans.case_facts import CDATASET_LOC, CDATASET_RAW, prepare_sources, series_spans, series_violations
+from daypanel.plans.schemas import SCHEMAS
 from daypanel.plans.views import VIEWS, view
 from daypanel.sources import contracts
 from daypanel.sources.case_series import MANDATORY, OPTIONAL
@@ -135,6 +137,27 @@ def test_the_whole_job(spark, tmp_path, landed, rows):
     assert [r[0] for r in spark.sql("select distinct dataset from cdataset order by dataset").collect()] == ["d1", "d2", "d3"]
 
 
+def test_declared_schemas_are_what_is_stored(spark, tmp_path, landed):
+    tables = build(spark, landed, str(tmp_path / "store"))
+    assert list(SCHEMAS) and set(SCHEMAS) == set(tables)
+    for name, schema in SCHEMAS.items():
+        assert [(f.name, f.dataType.simpleString()) for f in schema] == tables[name].dtypes, name
+
+
+def test_the_command_line_job(spark, tmp_path, landed):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for name, path in landed.text.items():
+        (folder / name).write_bytes(open(path, "rb").read())
+    for name, df in zip(["one", "two"], landed.case_series):
+        df.write.orc(str(folder / "case_series" / name))
+    arguments = [str(folder), str(tmp_path / "out"), "--case-series", "one", "two", "--case-series-format", "orc"]
+    counts = {r.table_name: r.row_count for r in main([*arguments, "--no-gates"]).collect()}
+    assert counts["cdataset_raw"] == 10 and counts["cdataset_loc"] == 5
+    with pytest.raises(QualityError, match="too few rows"):
+        main(arguments)
+
+
 def test_a_broken_build_is_not_published(spark, tmp_path, landed):
     root = str(tmp_path / "store")
     build(spark, landed, root)

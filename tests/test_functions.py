@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,10 +59,23 @@ def test_parsing_is_strict(spark, ansi):
 
 
 def test_rounding(spark):
-    values = [2.5, -2.5, 0.49999999999999994, None, -0.5, 1e300, -1e300, float("nan"), float("inf")]
+    top, bottom = numeric.INT64_MAX, numeric.INT64_MIN
+    cases = {
+        2.5: 3, -2.5: -3, 0.49999999999999994: 0, None: None, -0.5: -1, -0.0: 0, 1.4999999999999998: 1,
+        4503599627370495.5: 4503599627370496, 4503599627370497.0: 4503599627370497, 9.2e18: 9200000000000000000,
+        1e300: top, -1e300: bottom, float("inf"): top, float("-inf"): bottom, float("nan"): 0,
+    }
+    df = spark.createDataFrame([(v,) for v in cases], "v double")
+    got = [r[0] for r in df.select(numeric.round_half_away(F.col("v"))).collect()]
+    assert got == list(cases.values())
+
+
+def test_rounding_like_decimal_arithmetic(spark):
+    rng = random.Random(0)
+    values = [rng.choice([-1, 1]) * rng.choice([rng.random(), rng.randrange(10**6) / 4, rng.uniform(0, 1e15)]) for _ in range(5000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     got = [r[0] for r in df.select(numeric.round_half_away(F.col("v"))).collect()]
-    assert got == [3, -3, 0, None, -1, numeric.INT64_MAX, numeric.INT64_MIN, 0, numeric.INT64_MAX]
+    assert got == [int(Decimal(v).quantize(Decimal(1), ROUND_HALF_UP)) for v in values]
 
 
 def test_empty_and_null(spark):

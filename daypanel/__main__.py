@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from daypanel.operators.summaries import row_counts
 from daypanel.plans.build import HARVEY_EXPECTATIONS, MINIMUM_ROWS, Landing, build
+from daypanel.session import tune
 
 
 def main(arguments: list[str] | None = None) -> DataFrame:
@@ -19,6 +20,7 @@ def main(arguments: list[str] | None = None) -> DataFrame:
     parser.add_argument("--no-gates", action="store_true", help="skip the row-count and expected-value gates")
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("daypanel").getOrCreate()
+    tune(spark)
     landing = Landing.of_folder(spark, options.landing, options.case_series, options.case_series_format)
     gates = {} if options.no_gates else {"minimum_rows": MINIMUM_ROWS, "expectations": HARVEY_EXPECTATIONS}
     return row_counts(build(spark, landing, options.out, **gates))

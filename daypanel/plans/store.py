@@ -9,20 +9,19 @@ file system Spark can write to will do.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from daypanel.operators.quality import QualityError
 from daypanel.plans.schemas import SCHEMAS
+from daypanel.session import tuned
 
 # Fixed value: version of the stored schema.
 SCHEMA_VERSION = "2"
 
 PARTITIONS = {"cdataset_raw": ["dataset"]}
-_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 _LOG = "published"
 _LOG_SCHEMA = "build_id string, published_at timestamp"
 
@@ -46,7 +45,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     nulls = Observation()
     if required:
         df = df.observe(nulls, *[F.count_if(F.col(c).isNull()).alias(c) for c in required])
-    with _open_writers(df.sparkSession, partition_by):
+    with tuned(df.sparkSession):
         df.write.mode(mode).partitionBy(*partition_by).parquet(path)
     found = {c: n for c, n in nulls.get.items() if n} if required else {}
     if found:
@@ -54,18 +53,6 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     return read_table(df.sparkSession, path, df.schema)
 
 
-@contextmanager
-def _open_writers(spark: SparkSession, partition_by: Sequence[str]) -> Iterator[None]:
-    """Let a task keep a file open per partition value, instead of sorting all its rows by that value."""
-    before = spark.conf.get(_WRITERS)
-    if partition_by:
-        spark.conf.set(_WRITERS, "100")
-    try:
-        yield
-    finally:
-        spark.conf.set(_WRITERS, before)
-
-
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A stored table; a known schema gives the column order and spares Spark reading a footer."""
     if schema is None:

@@ -81,8 +81,7 @@ def scan_contract(spark: SparkSession, contract: SourceContract, path: str, with
     with_order: add ``ROW_ORDER``, columns that sort the rows as they stand in the files.
     """
     reader = _reader(ingest_session(spark), contract, multi_line).schema(contract.schema)
-    df = reader.option("mode", "FAILFAST").csv(path)
-    df = df.where(~_never(contract))
+    df = _needing_all(reader.option("mode", "FAILFAST").csv(path))
     return _with_order(df) if with_order else df
 
 
@@ -128,7 +127,8 @@ def triage_contract(spark: SparkSession, contract: SourceContract, path: str,
         _reader(ingest_session(spark), contract, False)
         .schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
     )
-    bad = F.col(_CORRUPT).isNotNull() | _never(contract)
+    rows = _needing_all(rows)
+    bad = F.col(_CORRUPT).isNotNull()
     if allow_extra:
         bad = bad & _undecodable(contract)
     good = rows.where(~bad).select(*contract.schema.names)
@@ -147,14 +147,14 @@ def _quoting(contract: SourceContract) -> dict[str, str]:
     return {"quote": '"', "escape": '"' if contract.doubled_quotes else "\u0000"}
 
 
-def _never(contract: SourceContract) -> Column:
-    """False, in terms of every typed column.
+def _needing_all(df: DataFrame) -> DataFrame:
+    """``df`` itself, but with every column needed.
 
-    The reader only converts the columns that a query needs and would miss a malformed value in
-    any other.  This needs them all, and the optimizer cannot know that a number shifted right
-    without its sign is never negative.
+    The reader only converts the columns that a query needs and would miss a malformed value in any
+    other.  To keep rows with at least no value is to keep them all: it looks at nothing, yet the
+    optimizer sees every column in it.
     """
-    return F.shiftrightunsigned(F.xxhash64(*contract.schema.names), 1) < 0
+    return df.na.drop(thresh=0)
 
 
 def _undecodable(contract: SourceContract) -> Column:

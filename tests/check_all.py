@@ -1,5 +1,6 @@
 """Run every query against its SQL counterpart: ``python tests/check_all.py [folder] [name ...]``."""
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -16,7 +17,8 @@ if __name__ == "__main__":
     wanted = sys.argv[2:] or list(queries())
     spark = (
         SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", os.environ.get("CHECK_TZ", "UTC")).getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
     con, oracle, failed = connect(sf_dir), oracle_sql(), []

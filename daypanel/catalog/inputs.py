@@ -46,10 +46,13 @@ def dated_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few entities on a long time axis: order count per priority and day."""
-    orders = table(spark, sf_dir, "orders")
-    return orders.groupBy("o_orderpriority", julian_day(F.col("o_orderdate").cast("date")).alias("jd")).agg(
+def order_panel(spark: SparkSession, sf_dir: str, by_nation: bool = False) -> DataFrame:
+    """Few entities on a long time axis: order count per priority (and the customer's nation) and day."""
+    orders, entity = table(spark, sf_dir, "orders"), ["o_orderpriority"]
+    if by_nation:
+        customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+        orders, entity = orders.join(customers, "o_custkey"), ["c_nationkey", *entity]
+    return orders.groupBy(*entity, julian_day(F.col("o_orderdate").cast("date")).alias("jd")).agg(
         F.count("*").alias("n")
     )
 

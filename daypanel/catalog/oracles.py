@@ -79,9 +79,11 @@ ORACLES["gap_fill_by_dataset"] = f"""
 ORACLES["gap_fill_datasets_together"] = f"""
     with {PT}, {_spine(['event_type', 'user_id'], '(select max(jd) from P)')} {_BY_TYPE}"""
 ORACLES["gap_fill_long"] = f"""
-    with {ORDERS.replace('P as', 'Q as')}, P as (select * from Q where n >= 4),
-    {_spine(['o_orderpriority'], '(select max(jd) from P)')}
-    select o_orderpriority, jd, n, k > 0 as is_filled from filled"""
+    with P as (
+        select c_nationkey, o_orderpriority, {jd('cast(o_orderdate as date)')} as jd, count(*) as n
+        from orders join customer on o_custkey = c_custkey group by all),
+    {_spine(['c_nationkey', 'o_orderpriority'], '(select max(jd) from P)')}
+    select c_nationkey, o_orderpriority, jd, case when k > 0 then 0 else n end as n, k > 0 as is_filled from filled"""
 ORACLES["gap_fill_then_delta"] = f"""
     with {P}, {_spine(['user_id'], '(select max(jd) from P)')}, f as (select user_id, jd, n, cents from filled)
     select a.*, {_delta('cents', ['user_id'], 'f')} from f a"""
@@ -202,6 +204,9 @@ ORACLES["contract_scan_lookup"] = f"with {_LOOKUP} select * from lookup"
 _FIPS = f"""{_LOOKUP}, people as (
     select fips, arg_max(population, uid) as population from lookup
     where fips is not null and population is not null group by fips)"""
+ORACLES["lookup_left_join_facts"] = f"""
+    with {_LOOKUP}, {P}, coded as (select *, case when user_id % 3 <> 0 then user_id end as fips from P)
+    select user_id, jd, n, cents, c.fips, population from coded c left join lookup l on l.fips = c.fips"""
 ORACLES["fips_lookup"] = f"with {_FIPS} select * from people"
 
 # --- Sorting, distinct, counts -------------------------------------------------------------------

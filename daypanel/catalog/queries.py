@@ -112,8 +112,10 @@ def gap_fill_datasets_together(spark, sf_dir):
 @query
 def gap_fill_long(spark, sf_dir):
     """Sparse rows on a long axis: gaps reach over whole window blocks."""
-    rare = order_panel(spark, sf_dir).where(F.col("n") >= 4)
-    return panel.forward_fill_gaps(rare, ["o_orderpriority"], "jd", filled="is_filled", split_days=30)
+    sparse = order_panel(spark, sf_dir, by_nation=True)
+    return panel.forward_fill_gaps(
+        sparse, ["c_nationkey", "o_orderpriority"], "jd", zero=["n"], filled="is_filled", split_days=7
+    )
 
 
 @query
@@ -300,7 +302,16 @@ def lookup_left_join(spark, sf_dir):
         F.when(F.col("n_nationkey") % 4 != 0, F.col("n_nationkey")).alias("fips"), "n_name"
     )
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("fips"), "s_suppkey")
-    return dims.lookup_left_join(nations, suppliers, "fips", ["s_suppkey"])
+    return dims.lookup_left_join(nations, suppliers, "fips", ["s_suppkey"], lookup_is_larger=True)
+
+
+@query
+def lookup_left_join_facts(spark, sf_dir):
+    """Every user and day with the population rows of the landed lookup file: none, one or two of them."""
+    path = inputs.land_text(spark, sf_dir, contracts.LOC_LOOKUP)
+    lookup = read_contract(spark, contracts.LOC_LOOKUP, path)
+    coded = event_panel(spark, sf_dir).withColumn("fips", F.when(F.col("user_id") % 3 != 0, F.col("user_id")))
+    return dims.lookup_left_join(coded, lookup, "fips", ["population"])
 
 
 @query

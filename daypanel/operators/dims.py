@@ -36,13 +36,22 @@ def first_row_attributes(df: DataFrame, key: str, attributes: Sequence[str], ord
 
 
 def lookup_left_join(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str],
-                     spread_nulls: bool = True) -> DataFrame:
+                     spread_nulls: bool = True, lookup_is_larger: bool = False) -> DataFrame:
     """Left join to a lookup that may hold several rows per key; every match is kept.
 
     Rows whose key is NULL match nothing.  With ``spread_nulls`` a shuffled join deals them out to all
     tasks; pass False where the key is known to be present, which leaves the join on the key alone.
+
+    lookup_is_larger: the lookup outgrows ``df``, perhaps with a hot key.  An outer join could neither
+    broadcast ``df`` nor split the lookup's hot key; matches by an inner join and the rows without a
+    match by an anti join to the distinct keys can do both, at the price of reading ``df`` twice.
     """
     right = lookup.where(F.col(key).isNotNull()).select(key, *columns)
+    if lookup_is_larger:
+        types = dict(right.dtypes)
+        matched = df.join(right, key, "inner").select(*df.columns, *columns)
+        alone = df.join(right.select(key).distinct(), key, "left_anti")
+        return matched.unionByName(alone.withColumns({c: F.lit(None).cast(types[c]) for c in columns}))
     if not spread_nulls:
         return df.join(right, key, "left").select(*df.columns, *columns)
     hashable = [name for name, dtype in df.dtypes if "map<" not in dtype and "variant" not in dtype]

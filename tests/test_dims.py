@@ -10,8 +10,8 @@ def test_last_wins_against_fan_out(spark, rows):
     assert rows(dims.last_wins_lookup(lookup, "fips", "pop", "ord")) == [(1, 200)]
     facts = spark.createDataFrame([("a", 1), ("b", 2), ("c", None), ("d", 9)], "e string, fips int")
     want = [("a", 1, 100), ("a", 1, 200), ("b", 2, None), ("c", None, None), ("d", 9, None)]
-    for spread in (True, False):
-        assert rows(dims.lookup_left_join(facts, lookup, "fips", ["pop"], spread_nulls=spread)) == want
+    for how in ({"spread_nulls": True}, {"spread_nulls": False}, {"lookup_is_larger": True}):
+        assert rows(dims.lookup_left_join(facts, lookup, "fips", ["pop"], **how)) == want
 
 
 def test_null_keys_are_spread_over_tasks(spark):

@@ -7,6 +7,7 @@ in the strict ingest session, and written as its stored table; what follows read
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -57,14 +58,11 @@ def build(spark: SparkSession, landing: Landing, root: str, minimum_rows: Mappin
     """
     build_id = store.new_build_id()
     tables = {"build_meta": store.write_meta(spark, store.table_path(root, build_id, "build_meta"))}
-    staged: dict[str, DataFrame] = {}
-    for name, contract in CONTRACTS.items():
-        ordered = contract in (LOC_LOOKUP, LOCATION_MAP)
-        staged[name] = _ingest(spark, contract, landing.text[name], root, build_id, ordered)
-        # The location map may repeat a key: its last row is the one that is looked up.
-        if contract is not LOCATION_MAP:
-            publish_gate(staged[name], name, contract.key)
-            tables[name] = staged[name]
+    # The text sources do not depend on each other: their jobs share the cluster instead of queueing.
+    with ThreadPoolExecutor(len(CONTRACTS)) as pool:
+        ingested = pool.map(lambda c: _ingest(spark, c, landing.text[c.name], root, build_id), CONTRACTS.values())
+        staged = dict(zip(CONTRACTS, ingested))
+    tables |= {name: df for name, df in staged.items() if name in store.SCHEMAS}
     fips = case_facts.fips_population(staged["loc_lookup"])
     tables["loc_lookup"] = _write(staged["loc_lookup"].drop(*ROW_ORDER), root, build_id, "loc_lookup")
     tables |= _build_cases(landing.case_series, staged["location_map"], fips, root, build_id)
@@ -94,14 +92,17 @@ def build_and_register(spark: SparkSession, landing: Landing, root: str, **gate_
     return register_views(spark, store.open_tables(spark, root))
 
 
-def _ingest(spark: SparkSession, contract: SourceContract, path: str, root: str, build_id: str,
-            ordered: bool) -> DataFrame:
+def _ingest(spark: SparkSession, contract: SourceContract, path: str, root: str, build_id: str) -> DataFrame:
     # Written by the strict session, read back by the caller's.
+    ordered = contract in (LOC_LOOKUP, LOCATION_MAP)
     rows = read_contract(spark, contract, path, with_order=ordered)
-    target = f"{contract.name}_staged" if ordered else contract.name
-    location = store.table_path(root, build_id, target)
+    location = store.table_path(root, build_id, f"{contract.name}_staged" if ordered else contract.name)
     store.write_table(rows, location, required=contract.required)
-    return store.read_table(spark, location, rows.schema)
+    stored = store.read_table(spark, location, rows.schema)
+    # The location map may repeat a key: its last row is the one that is looked up.
+    if contract is not LOCATION_MAP:
+        publish_gate(stored, contract.name, contract.key)
+    return stored
 
 
 def _write(df: DataFrame, root: str, build_id: str, name: str, required: Sequence[str] = ()) -> DataFrame:

@@ -15,7 +15,7 @@ def main(arguments: list[str] | None = None) -> DataFrame:
     parser = argparse.ArgumentParser(prog="daypanel", description="Build, check and publish the panel tables.")
     parser.add_argument("landing", help="folder with the text sources, and the case series in case_series/")
     parser.add_argument("out", help="folder the builds are kept in")
-    parser.add_argument("--case-series", nargs="*", default=[], help="case series in their order of precedence")
+    parser.add_argument("--case-series", nargs="+", required=True, help="case series in their order of precedence")
     parser.add_argument("--case-series-format", default="parquet")
     parser.add_argument("--no-gates", action="store_true", help="skip the row-count and expected-value gates")
     options = parser.parse_args(arguments)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from daypanel.catalog import inputs
 from daypanel.catalog.inputs import event_panel, order_panel, table
 from daypanel.functions.calendar import (
-    date_from_julian, julian_day, julian_from_ymd, on_days, parse_day, with_date_parts,
+    COMPACT_DATE, date_from_julian, julian_day, julian_from_ymd, on_days, parse_day, with_date_parts,
     with_julian_day, ymd_from_julian,
 )
 from daypanel.functions.numeric import round_half_away
@@ -157,10 +157,11 @@ def population_fallback(spark, sf_dir):
         F.when(F.col("n_nationkey") % 4 != 0, F.col("n_nationkey")).alias("fips"), "n_name",
         F.when(F.col("n_nationkey") % 2 == 0, F.col("n_nationkey").cast("bigint") * 1000).alias("population"),
     )
-    lookup = dims.last_wins_lookup(
-        table(spark, sf_dir, "supplier").withColumn("people", F.floor("s_acctbal")), "s_nationkey", "people", "s_suppkey"
+    suppliers = table(spark, sf_dir, "supplier").select(
+        F.col("s_nationkey").alias("fips"), F.floor("s_acctbal").alias("people"), "s_suppkey"
     )
-    return dims.population_fallback(nations, lookup.withColumnRenamed("s_nationkey", "fips"), "fips", "population", "people")
+    lookup = dims.last_wins_lookup(suppliers, "fips", "people", "s_suppkey")
+    return dims.population_fallback(nations, lookup, "fips", "population", "people")
 
 
 @query
@@ -222,7 +223,8 @@ def parse_dates(spark, sf_dir):
         F.date_format("o_orderdate", "yyyyMMdd").alias("compact"),
     )
     return texts.select(
-        "o_orderkey", julian_day(parse_day("iso")).alias("jd_iso"), julian_day(parse_day("compact", "yyyyMMdd")).alias("jd_compact")
+        "o_orderkey", julian_day(parse_day("iso")).alias("jd_iso"),
+        julian_day(parse_day("compact", COMPACT_DATE)).alias("jd_compact"),
     )
 
 
@@ -230,13 +232,15 @@ def parse_dates(spark, sf_dir):
 def round_counts(spark, sf_dir):
     half = F.col("l_quantity") * 0.5
     return table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", round_half_away(half).alias("up"), round_half_away(-half).alias("down"),
+        "l_orderkey", "l_linenumber", "l_quantity",
+        round_half_away(half).alias("up"), round_half_away(-half).alias("down"),
         round_half_away(F.when(F.col("l_linenumber") != 1, half)).alias("maybe"),
     )
 
 
 def _labelled(spark, sf_dir) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").withColumn("note", F.when(F.col("quality") == 1, F.lit("good")).otherwise(F.lit("")))
+    note = F.when(F.col("quality") == 1, F.lit("good")).otherwise(F.lit(""))
+    labels = table(spark, sf_dir, "labels").withColumn("note", note)
     return table(spark, sf_dir, "documents").select("doc_id", "lang").join(labels, "doc_id", "left")
 
 
@@ -332,7 +336,8 @@ def first_row_attrs(spark, sf_dir):
 def dim_upsert(spark, sf_dir):
     """Locations known from the customers in credit; those of the events are added."""
     base = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(
-        (F.col("c_custkey") + 1).alias("locid"), F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("label")
+        (F.col("c_custkey") + 1).alias("locid"), F.col("c_custkey").alias("user_id"),
+        F.col("c_mktsegment").alias("label"),
     )
     facts = table(spark, sf_dir, "events").withColumn("label", F.col("event_type"))
     return dims.upsert_dimension(base, facts, "user_id", "locid", ["label"], ["event_id"])
@@ -341,7 +346,9 @@ def dim_upsert(spark, sf_dir):
 @query
 def dense_ids(spark, sf_dir):
     """Every order numbered in date order."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("day"))
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("day")
+    )
     return dims.assign_dense_ids(orders, ["day", "o_orderkey"], "locid")
 
 
@@ -364,14 +371,16 @@ def fips_lookup(spark, sf_dir):
 @query
 def sorted_series(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("dataset"), F.col("user_id").alias("location_key"), F.col("ts").cast("date").cast("string").alias("date"), "event_id"
+        F.col("event_type").alias("dataset"), F.col("user_id").alias("location_key"),
+        F.col("ts").cast("date").cast("string").alias("date"), "event_id",
     )
     return summaries.sorted_series(events, ["dataset", "location_key", "date"], tie=["event_id"])
 
 
 @query
 def distinct_datasets(spark, sf_dir):
-    return summaries.distinct_sorted(table(spark, sf_dir, "events").withColumnRenamed("event_type", "dataset"), "dataset")
+    events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "dataset")
+    return summaries.distinct_sorted(events, "dataset")
 
 
 ALL_TABLES = [
@@ -423,7 +432,9 @@ def align_schema_(spark, sf_dir):
 @query
 def union_sources_(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    purchases = events.where("event_type = 'purchase'").select("event_id", "user_id", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    purchases = events.where("event_type = 'purchase'").select(
+        "event_id", "user_id", F.round(F.col("value") * 100).cast("bigint").alias("cents")
+    )
     others = events.where("event_type <> 'purchase'").select("user_id", "event_id")
     return union_sources([purchases, others])
 
@@ -443,7 +454,9 @@ def not_null_violations(spark, sf_dir):
 @query
 def point_expectations(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    parts = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_size") > 25, F.col("p_size").cast("bigint")).alias("big"))
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey", F.when(F.col("p_size") > 25, F.col("p_size").cast("bigint")).alias("big")
+    )
     return quality.point_expectations({"orders": orders, "part": parts}, [
         quality.Expectation("orders", "o_orderkey = 0", "o_custkey", 899),
         quality.Expectation("orders", "o_orderkey = 1", "o_custkey", 1),
@@ -456,7 +469,8 @@ def point_expectations(spark, sf_dir):
 @query
 def quality_report(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", (F.col("l_partkey") * 10_000_000).alias("wide"), (F.col("l_linenumber").cast("bigint") - 2).alias("low")
+        "l_orderkey", (F.col("l_partkey") * 10_000_000).alias("wide"),
+        (F.col("l_linenumber").cast("bigint") - 2).alias("low"),
     )
     return quality.range_violations(lines, {
         "l_orderkey": quality.UNSIGNED_64, "wide": quality.UNSIGNED_32, "low": quality.UNSIGNED_32,
@@ -615,7 +629,8 @@ def views_registered(spark, sf_dir):
     """A user's SQL over the registered view."""
     register_views(spark, store.open_tables(spark, inputs.built_root(spark, sf_dir)))
     return spark.sql("""
-        select dataset, date, count(*) as locations, sum(absolute_confirmed) as confirmed, sum(delta_deaths) as new_deaths
+        select dataset, date, count(*) as locations, sum(absolute_confirmed) as confirmed,
+               sum(delta_deaths) as new_deaths
         from cdataset where date >= '2024-01-10' group by dataset, date order by dataset, date
     """)
 

@@ -89,7 +89,8 @@ def with_next_day(df: DataFrame, entity: Sequence[str], day: str, name: str = "n
     """
     key = [*entity, day]
     no_key = F.raise_error(F.lit(f"NULL in panel key {key}")).cast("int")
-    found_twice = F.concat(F.lit(f"duplicate panel key {key}: "), F.concat_ws(", ", *[F.col(c).cast("string") for c in key]))
+    shown = F.concat_ws(", ", *[F.col(c).cast("string") for c in key])
+    found_twice = F.concat(F.lit(f"duplicate panel key {key}: "), shown)
 
     def checked(following: Column) -> Column:
         return (

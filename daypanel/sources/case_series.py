@@ -58,5 +58,7 @@ def align_schema(df: DataFrame, mandatory: T.StructType, optional: T.StructType)
 
 def union_sources(sources: Sequence[DataFrame]) -> DataFrame:
     """All rows of the sources in one table, by column name; ``source_ord`` tells them apart."""
+    if not sources:
+        raise ValueError("no case series given")
     tagged = [df.withColumn(SOURCE, F.lit(i)) for i, df in enumerate(sources)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("daypanel-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.maxMetadataStringLength", "10000")

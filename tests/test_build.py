@@ -84,14 +84,19 @@ def _series(spark, rows, optional=()):
     return base.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
 
 
-@pytest.fixture
-def landed(spark, tmp_path):
+@pytest.fixture(scope="module")
+def landed(spark, tmp_path_factory):
     sources = [
         _series(spark, [("d1", "x", "2020-03-14", 10, None), ("d1", "a", "2020-03-12", 7, None), ("d1", "a", "2020-03-14", None, 0)]),
         _series(spark, [("d2", "y", "2020-03-14", 1, 1000), ("d2", "b", "2020-03-13", 1, None), ("d3", "x", "2020-03-15", 1, None)],
                 optional=["province", "absolute_recovered"]),
     ]
-    return Landing(_text(tmp_path), sources)
+    return Landing(_text(tmp_path_factory.mktemp("landing")), sources)
+
+
+@pytest.fixture(scope="module")
+def built(spark, landed, tmp_path_factory):
+    return build(spark, landed, str(tmp_path_factory.mktemp("store")))
 
 
 def test_the_whole_job(spark, tmp_path, landed, rows):
@@ -137,11 +142,10 @@ def test_the_whole_job(spark, tmp_path, landed, rows):
     assert [r[0] for r in spark.sql("select distinct dataset from cdataset order by dataset").collect()] == ["d1", "d2", "d3"]
 
 
-def test_declared_schemas_are_what_is_stored(spark, tmp_path, landed):
-    tables = build(spark, landed, str(tmp_path / "store"))
-    assert list(SCHEMAS) and set(SCHEMAS) == set(tables)
+def test_declared_schemas_are_what_is_stored(built):
+    assert set(SCHEMAS) == set(built)
     for name, schema in SCHEMAS.items():
-        assert [(f.name, f.dataType.simpleString()) for f in schema] == tables[name].dtypes, name
+        assert [(f.name, f.dataType.simpleString()) for f in schema] == built[name].dtypes, name
 
 
 def test_the_command_line_job(spark, tmp_path, landed):
@@ -212,20 +216,18 @@ def test_wrong_figures_stop_the_build(spark, tmp_path, landed):
               expectations=HARVEY_EXPECTATIONS)
 
 
-def test_day_spans_read_only_their_days(spark, tmp_path, landed, rows):
-    tables = build(spark, landed, str(tmp_path / "store"))
-    span = view("nytcounties", tables, days=("2020-03-15", dt.date(2020, 3, 15)))
+def test_day_spans_read_only_their_days(built, rows):
+    span = view("nytcounties", built, days=("2020-03-15", dt.date(2020, 3, 15)))
     assert rows(span, "date", "cases_new") == [("2020-03-15", 3), ("2020-03-15", 3)]
     plan = span._jdf.queryExecution().executedPlan().toString()
     assert f"GreaterThanOrEqual(date_julian,{JD})" in plan and f"LessThanOrEqual(date_julian,{JD + 1})" in plan
-    one = view("cdataset", tables, days=("2020-03-14", "2020-03-14"))
+    one = view("cdataset", built, days=("2020-03-14", "2020-03-14"))
     assert f"EqualTo(date_julian,{JD})" in one._jdf.queryExecution().executedPlan().toString()
     assert one.count() == 4
 
 
-def test_dataset_filter_prunes_folders(spark, tmp_path, landed):
-    tables = build(spark, landed, str(tmp_path / "store"))
-    plan = view("cdataset", tables).where("dataset = 'd1'")._jdf.queryExecution().executedPlan().toString()
+def test_dataset_filter_prunes_folders(built):
+    plan = view("cdataset", built).where("dataset = 'd1'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dataset" in plan
 
 

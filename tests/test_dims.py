@@ -18,6 +18,7 @@ def test_null_keys_are_spread_over_tasks(spark):
     session = spark.newSession()
     session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     session.conf.set("spark.sql.adaptive.enabled", "false")
+    session.conf.set("spark.sql.shuffle.partitions", "8")
     facts = session.range(8000).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("fips"), "id")
     lookup = session.range(100).select(F.col("id").alias("fips"), F.lit(1).alias("pop"))
     joined = dims.lookup_left_join(facts, lookup, "fips", ["pop"])

@@ -108,6 +108,7 @@ def test_a_hot_entity_is_spread_over_tasks(spark):
     """Also when the input already lies together by entity, which a window alone would accept."""
     session = spark.newSession()
     session.conf.set("spark.sql.adaptive.enabled", "false")
+    session.conf.set("spark.sql.shuffle.partitions", "8")
     session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     days = session.range(40_000).select(
         (F.col("id") / 50_000).cast("int").alias("e"), F.col("id").cast("int").alias("jd"), F.col("id").alias("v")

@@ -52,8 +52,8 @@ def prev_day_delta(df: DataFrame, entity: Sequence[str], day: str, measures: Map
     # The last day of a block is also sent to the next block, where it only serves as "yesterday".
     border = keyed & (F.pmod(F.col(day), F.lit(split_days)) == split_days - 1)
     copies = F.when(border, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    # Rows without a key need no company: they are spread over all tasks instead of forming one group.
-    spread = F.pmod(F.xxhash64(*entity, day, *measures), F.lit(SPREAD)).cast("int")
+    # Rows without a full key need no company: what key they have spreads them, instead of the entity's block.
+    spread = F.pmod(F.xxhash64(*entity, day), F.lit(SPREAD)).cast("int")
     block = F.when(keyed, _block(day, split_days) + F.col(_GHOST) * split_days).otherwise(spread)
     blocked = df.withColumn(_GHOST, F.explode(copies)).withColumn(_BLOCK, block)
     blocked = blocked.repartition(*[F.col(c) for c in entity], F.col(_BLOCK))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daypanel.functions.calendar import julian_day
+from daypanel.functions.numeric import round_half_away
 from daypanel.plans.build import Landing, build
 from daypanel.session import scratch_path
 from daypanel.sources.case_series import MANDATORY, OPTIONAL
@@ -35,14 +36,14 @@ def event_panel(spark: SparkSession, sf_dir: str, *extra_keys: str) -> DataFrame
     """
     events = table(spark, sf_dir, "events")
     return events.groupBy(*extra_keys, "user_id", julian_day(F.col("ts").cast("date")).alias("jd")).agg(
-        F.count("*").alias("n"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents")
+        F.count("*").alias("n"), F.sum(round_half_away(F.col("value") * 100)).alias("cents")
     )
 
 
 def dated_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return events.groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(
-        F.count("*").alias("n"), F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents")
+        F.count("*").alias("n"), F.sum(round_half_away(F.col("value") * 100)).alias("cents")
     )
 
 

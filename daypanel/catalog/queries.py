@@ -321,7 +321,7 @@ def lookup_left_join_facts(spark, sf_dir):
 @query
 def last_wins_lookup(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn(
-        "amount", F.when(F.col("event_type") != "error", F.round(F.col("value") * 100).cast("bigint"))
+        "amount", F.when(F.col("event_type") != "error", round_half_away(F.col("value") * 100))
     )
     return dims.last_wins_lookup(events, "user_id", "amount", "event_id")
 
@@ -433,7 +433,7 @@ def align_schema_(spark, sf_dir):
 def union_sources_(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     purchases = events.where("event_type = 'purchase'").select(
-        "event_id", "user_id", F.round(F.col("value") * 100).cast("bigint").alias("cents")
+        "event_id", "user_id", round_half_away(F.col("value") * 100).alias("cents")
     )
     others = events.where("event_type <> 'purchase'").select("user_id", "event_id")
     return union_sources([purchases, others])

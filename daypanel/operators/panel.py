@@ -125,6 +125,9 @@ def fill_to_next(df: DataFrame, day: str, next_day: str, horizon: str | Column,
 
     Row by row, without a shuffle; the roles are those of :func:`forward_fill_gaps`.
     """
+    unknown = {*zero, *null, *advance} - set(df.columns)
+    if unknown:
+        raise ValueError(f"no such columns to fill: {sorted(unknown)}")
     # The horizon is attached once: a scalar subquery repeated in an expression stays one column.
     limited = df.withColumn(_HORIZON, F.col(horizon) if isinstance(horizon, str) else horizon)
     last = F.coalesce(F.col(next_day) - 1, F.col(_HORIZON))

@@ -40,7 +40,7 @@ OWID_UNITS = {
     "new_tests_per_100k": ("new_tests_per_thousand", "*", 100.0),
     "new_tests_smoothed_per_100k": ("new_tests_smoothed_per_thousand", "*", 100.0),
 }
-# The seventh sum's output name is spelt as users of the view know it.
+# The sixth sum's output name is spelt as users of the view know it.
 US_SUMS = {m: m for m in """
     positive negative pending hospitalizedCurrently hospitalizedCumulative incluCurrently incluCumulative
     onVentilatorCurrently onVentilatorCumulative recovered death hospitalized totalTestsViral positiveTestsViral

@@ -135,6 +135,14 @@ def test_the_whole_job(spark, tmp_path, landed, rows):
     assert [tuple(r) for r in counties] == [
         ("2020-03-14", 100, None, None), ("2020-03-14", 200, None, None), ("2020-03-15", 100, 3, 1), ("2020-03-15", 200, 3, 1),
     ]
+    # The stored tables are there for SQL of one's own, such as the deltas written as subqueries.
+    by_hand = spark.sql("""
+        select c.date_julian, c.cases - (
+            select b.cases from nytcounties_raw b
+            where b.state = c.state and b.county = c.county and b.date_julian = c.date_julian - 1) as cases_new
+        from nytcounties_raw c where fips is not null order by 1
+    """).collect()
+    assert [tuple(r) for r in by_hand] == [(JD, None), (JD + 1, 3)]
     us = spark.sql("select date, date_julian, positive, pending, inclueCurrently from covidtracking_us").collect()
     assert [tuple(r) for r in us] == [("2020-03-14", JD, 1, None, None)]
     world = spark.sql("select iso_code, total_cases_per_100k, new_tests, total_tests from owid").collect()

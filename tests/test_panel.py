@@ -56,6 +56,14 @@ def test_fill_between_and_up_to_the_global_horizon(spark, rows, split):
     ]
 
 
+def test_fill_never_cuts_and_refuses_unknown_columns(spark, rows):
+    df = spark.createDataFrame([("A", 1), ("A", 3), ("A", 6)], "e string, jd int")
+    out = panel.forward_fill_gaps(df, ["e"], "jd", horizon=F.lit(4))
+    assert rows(out) == [("A", d) for d in range(1, 7)]
+    with pytest.raises(ValueError, match="typo"):
+        panel.forward_fill_gaps(df, ["e"], "jd", zero=["typo"])
+
+
 def test_fill_to_a_horizon_per_group(spark, rows):
     df = spark.createDataFrame([("s", "A", 1), ("s", "B", 3), ("t", "C", 1), ("t", "D", 2)], "g string, e string, jd int")
     for limit in (100_000, 0):

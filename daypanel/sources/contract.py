@@ -184,6 +184,10 @@ def _stored(contract: SourceContract, f: Field) -> Column:
     c = F.col(f.header)
     label = f"{contract.name}.{f.header}"
     if f.kind == TEXT:
+        if not contract.doubled_quotes:
+            # A quote inside a quoted field ends the quoting and the rest is taken as it stands; the reader
+            # leaves such a field raw, with its first quote, which no other field can start with.
+            c = F.regexp_replace(c, '(?s)^"([^"]*)"(.*)$', "$1$2")
         if f.stored in contract.empty_as_null:
             return empty_to_null(c)
         return c if f.optional else null_to_empty(c)

@@ -150,6 +150,15 @@ def test_tab_separated_map(spark, land):
     assert "dataset" not in row and "us_county_name" not in row
 
 
+def test_tab_separated_quotes_are_not_doubled(spark, land):
+    contract = contracts.LOCATION_MAP
+    cells = {"key": '"k\tk"', "type": '"a""b"', "label": '"a"b', "region": 'a"b', "subregion": '"a\\"', "country_code": '""'}
+    path = land("\t".join(contract.header), "\t".join(cells.get(h, "") for h in contract.header))
+    row = read_contract(spark, contract, path).first()
+    assert (row.location_key, row.xtype, row.label, row.region, row.subregion, row.country_code) == (
+        "k\tk", 'a"b"', "ab", 'a"b', "a\\", "")
+
+
 def test_file_order_of_one_file_in_many_tasks(spark, tmp_path):
     """The order columns sort a file's rows as they stand in it, however many tasks read it."""
     path = tmp_path / "source.csv"

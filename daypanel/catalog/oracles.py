@@ -84,7 +84,7 @@ ORACLES["gap_fill_long"] = f"""
         from orders join customer on o_custkey = c_custkey group by all),
     {_spine(['c_nationkey', 'o_orderpriority'], '(select max(jd) from P)')}
     select c_nationkey, o_orderpriority, jd, case when k > 0 then 0 else n end as n, k > 0 as is_filled from filled"""
-ORACLES["gap_fill_then_delta"] = f"""
+ORACLES["gap_fill_then_delta"] = ORACLES["gap_fill_then_delta_whole"] = f"""
     with {P}, {_spine(['user_id'], '(select max(jd) from P)')}, f as (select user_id, jd, n, cents from filled)
     select a.*, {_delta('cents', ['user_id'], 'f')} from f a"""
 

@@ -124,6 +124,13 @@ def gap_fill_then_delta(spark, sf_dir):
     return panel.prev_day_delta(filled, ["user_id"], "jd", {"cents": "cents_new"})
 
 
+@query
+def gap_fill_then_delta_whole(spark, sf_dir):
+    """With unsplit windows the delta finds the filled rows where the filling left them: one shuffle for both."""
+    filled = panel.forward_fill_gaps(event_panel(spark, sf_dir), ["user_id"], "jd", split_days=None)
+    return panel.prev_day_delta(filled, ["user_id"], "jd", {"cents": "cents_new"}, split_days=None)
+
+
 # --- Rates, roll-ups, derived columns ------------------------------------------------------------
 
 def _nation_population(spark, sf_dir) -> DataFrame:

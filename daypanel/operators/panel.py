@@ -6,9 +6,9 @@ group holds at most ``split_days + 1`` days however long or hot the entity is.
 block border is carried explicitly (one repeated row, or one border day per block), so the
 results are those of the unsplit window.  The one shuffle by (entity, block) is asked for
 explicitly: a window would also accept rows that already lie together by entity alone.
-``split_days=None`` runs the unsplit window; since an
-entity has one row per day its group is then bounded by the calendar, and a table already
-bucketed by entity needs no shuffle at all.
+
+``split_days=None`` runs the unsplit window.  Since an entity has one row per day its group is then
+bounded by the calendar, and a table already bucketed by entity needs no shuffle at all.
 """
 
 from __future__ import annotations

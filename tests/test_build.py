@@ -10,7 +10,9 @@ from daypanel.operators.panel import with_next_day
 from daypanel.operators.quality import QualityError
 from daypanel.plans import store
 from daypanel.plans.build import HARVEY_EXPECTATIONS, MINIMUM_ROWS, Landing, build, build_and_register
-from daypanel.plans.case_facts import CDATASET_LOC, CDATASET_RAW, prepare_sources, series_spans, series_violations
+from daypanel.plans.case_facts import (
+    CDATASET_LOC, CDATASET_RAW, location_keys, prepare_sources, series_spans, series_violations,
+)
 from daypanel.plans.schemas import SCHEMAS
 from daypanel.plans.views import VIEWS, view
 from daypanel.sources import contracts
@@ -206,6 +208,16 @@ def test_sources_may_follow_each_other(spark, rows):
     assert series_violations(spans(march, [("e", "x", "2020-03-16", 1, None)])).count() == 0
 
 
+def test_the_last_row_of_a_location_key_counts(spark, rows):
+    locations = spark.createDataFrame(
+        [(1, "a", 20079), (2, "a", None), (3, "b", None), (4, "b", 20079), (5, "c", 1)],
+        "locid long, location_key string, us_county_fips long",
+    )
+    known = spark.createDataFrame([(20079, 200)], "fips long, population long")
+    keys = location_keys(locations, known)
+    assert rows(keys, "location_key", "locid", "county_population") == [("a", 2, None), ("b", 4, 200), ("c", 5, None)]
+
+
 def test_dates_must_agree(spark):
     unlike = prepare_sources([_series(spark, [("d", "x", "2020-03-14", 1, None)]).withColumn("date_day", F.lit(15))])
     assert [r.unlike_dates for r in series_violations(series_spans(unlike)).collect()] == [1]

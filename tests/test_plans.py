@@ -67,6 +67,13 @@ def test_unsplit_window_reuses_an_existing_distribution(large):
     assert len(exchanges(panel.prev_day_delta(df, ["e"], "jd", {"jd": "d"}, split_days=None))) == 1
 
 
+def test_unsplit_filling_and_delta_share_one_shuffle(tables):
+    raw = tables["nytcounties_raw"]
+    filled = panel.forward_fill_gaps(raw, ["state", "county"], "date_julian", split_days=None)
+    out = panel.prev_day_delta(filled, ["state", "county"], "date_julian", {"cases": "new"}, split_days=None)
+    assert [names(e) for e in exchanges(out)] == [["state", "county"]]
+
+
 def test_rollup_is_partially_aggregated(tables):
     plan = plan_of(view("covidtracking_us", tables))
     assert "partial_sum(positive#" in plan and plan.count("HashAggregate(") == 2 and plan.count("Exchange") == 1

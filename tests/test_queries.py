@@ -4,7 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from daypanel.catalog.oracles import ORACLES
+from daypanel.catalog.queries import QUERIES
 from tests.compare import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,19 +21,19 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [node for node in UNWANTED if node in plan]
-    assert differences(df, con, oracle_sql()[name]) == []
+    assert differences(df, con, ORACLES[name]) == []
 
 
 @pytest.mark.parametrize("name", ["gap_fill", "prev_day_delta", "dim_upsert", "lookup_left_join", "view_nytcounties", "cdataset_raw"])
@@ -40,4 +42,4 @@ def test_query_with_shuffled_joins(spark, con, name):
     session = spark.newSession()
     session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     session.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    assert differences(queries()[name](session, SF_DIR), con, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](session, SF_DIR), con, ORACLES[name]) == []

@@ -7,7 +7,8 @@ How the rows travel.  Documents are dealt into buckets of a few megabytes.  A bu
 inside the bucket first, so the commonest n-gram costs a bucket one entry, and go out as sorted hashes, one row per slice of
 the hash range.  A slice of the count table gathers its entries from all buckets, sums them, and answers each bucket with the
 global counts in the order asked.  A bucket joins the answers with its documents again.  What a task holds is one bucket or one
-slice; the number of both follows the size of the corpus.  N-grams are told apart by 64-bit hashes.
+slice; the number of both follows the size of the corpus.  N-grams are told apart by hashes whose width follows the number of
+characters, up to 64 bits, so that an n-gram shares its hash with another one with a chance of less than 2**-16 at every size.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from daypanel.session import durable
 ORDER = 3
 ALPHA = 0.4
 MIN_COUNT = 2
-BUCKET_CHARS = 3_000_000
+BUCKET_CHARS = 6_000_000
 SLICE_CHARS = 16_000_000
+_SPARE_BITS = 16
 
 
 def score(docs: DataFrame, doc: str = "doc_id", text: str = "text", order: int = ORDER, alpha: float = ALPHA,
@@ -40,16 +42,17 @@ def score(docs: DataFrame, doc: str = "doc_id", text: str = "text", order: int =
     chars = docs.agg(F.coalesce(F.sum(F.length(text)), F.lit(0)).alias("n")).first()["n"]
     buckets = max(8, math.ceil(chars / bucket_chars))
     slice_bits = max(3, math.ceil(math.log2(max(1, chars / slice_chars))))
+    bits = min(64, max(1, chars).bit_length() + _SPARE_BITS)
     dealt = (
         docs.select(docs[doc].alias("doc_id"), F.coalesce(docs[text], F.lit("")).alias("body"))
         .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "body"), F.lit(buckets)).cast("int"))
         .repartition(buckets, "bucket")
     )
     asked = dealt.groupBy("bucket").applyInArrow(
-        _ask(order, slice_bits), "bucket int, size int, slice int, hashes binary, counts binary")
+        _ask(order, bits, slice_bits), "bucket int, size int, slice int, hashes binary, counts binary")
     answered = asked.groupBy("size", "slice").applyInArrow(_answer(min_count), "bucket int, size int, slice int, counts binary")
     scored = dealt.groupBy("bucket").cogroup(answered.groupBy("bucket")).applyInArrow(
-        _score(order, math.log(alpha)), "doc_id bigint, n_words bigint, partial double, single bigint")
+        _score(order, bits, math.log(alpha)), "doc_id bigint, n_words bigint, partial double, single bigint")
     rows = durable(scored)
     total = rows.agg(F.greatest(F.sum("n_words"), F.lit(1))).scalar()
     log_score = F.col("partial") - F.when(F.col("single") > 0, F.col("single") * F.log(total.cast("double"))).otherwise(0.0)
@@ -57,29 +60,30 @@ def score(docs: DataFrame, doc: str = "doc_id", text: str = "text", order: int =
                        F.when(F.col("n_words") > 0, log_score / F.col("n_words")).alias("mean_log_score"))
 
 
-def _grams(table: pa.Table, order: int) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
+def _grams(table: pa.Table, order: int, bits: int) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
     """For each chunk of texts: its first row, and per order the n-gram hashes and their bounds per text."""
     texts = table.column("body").combine_chunks()
     texts = texts if isinstance(texts, pa.Array) else pa.concat_arrays(texts.chunks)
     for words in tokens.word_chunks(texts, tokens.BETWEEN_SPACES):
-        yield words.first, [tokens.ngrams(words, n) for n in range(1, order + 1)]
+        grams = [tokens.ngrams(words, n) for n in range(1, order + 1)]
+        yield words.first, [(hashes >> np.uint64(64 - bits), bounds) for hashes, bounds in grams]
 
 
-def _distinct(table: pa.Table, order: int) -> list[np.ndarray]:
+def _all_hashes(table: pa.Table, order: int, bits: int) -> list[np.ndarray]:
     """Per order all n-gram hashes of a bucket, as they come."""
     parts: list[list[np.ndarray]] = [[] for _ in range(order)]
-    for _, grams in _grams(table, order):
+    for _, grams in _grams(table, order, bits):
         for k, (hashes, _) in enumerate(grams):
             parts[k].append(hashes)
     return [np.concatenate(p) if p else np.zeros(0, np.uint64) for p in parts]
 
 
 def _packed(sorted_hashes: np.ndarray) -> bytes:
-    """The first hash, then gaps: of six bytes where all fit, else of eight."""
+    """The first hash, then gaps of as few bytes as hold them all."""
     gaps = np.diff(sorted_hashes)
+    width = max(1, -(-int(gaps.max()).bit_length() // 8)) if len(gaps) else 1
     raw = np.ascontiguousarray(gaps.astype("<u8")).view(np.uint8).reshape(-1, 8)
-    narrow = not len(gaps) or int(gaps.max()) < 1 << 48
-    return sorted_hashes[:1].astype("<u8").tobytes() + (b"\x06" + raw[:, :6].tobytes() if narrow else b"\x08" + raw.tobytes())
+    return sorted_hashes[:1].astype("<u8").tobytes() + bytes([width]) + raw[:, :width].tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
@@ -103,13 +107,13 @@ def _large(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[:1].decode()}", offset=1).astype(np.int64)
 
 
-def _ask(order: int, slice_bits: int):
+def _ask(order: int, bits: int, slice_bits: int):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         rows: list[tuple] = []
-        for k, hashes in enumerate(_distinct(table, order)):
+        for k, hashes in enumerate(_all_hashes(table, order, bits)):
             unique, counts = np.unique(hashes, return_counts=True)
-            cuts = np.searchsorted(unique >> np.uint64(64 - slice_bits), np.arange((1 << slice_bits) + 1, dtype=np.uint64))
+            cuts = np.searchsorted(unique >> np.uint64(bits - slice_bits), np.arange((1 << slice_bits) + 1, dtype=np.uint64))
             rows += [(bucket, k + 1, s, _packed(unique[a:b]), _small(counts[a:b]))
                      for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if a < b]
         return _table(rows, [("bucket", pa.int32()), ("size", pa.int32()), ("slice", pa.int32()), ("hashes", pa.binary()),
@@ -136,7 +140,7 @@ def _answer(min_count: int):
     return run
 
 
-def _score(order: int, log_alpha: float):
+def _score(order: int, bits: int, log_alpha: float):
     schema = [("doc_id", pa.int64()), ("n_words", pa.int64()), ("partial", pa.float64()), ("single", pa.int64())]
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -145,10 +149,10 @@ def _score(order: int, log_alpha: float):
         ids, rows = docs.column("doc_id").to_pylist(), [(0, 0.0, 0)] * len(docs)
         replies = sorted(zip(answers.column("size").to_pylist(), answers.column("slice").to_pylist(), range(len(answers)), strict=True))
         known = []
-        for k, hashes in enumerate(_distinct(docs, order)):
+        for k, hashes in enumerate(_all_hashes(docs, order, bits)):
             mine = [_large(answers.column("counts")[i].as_buffer().to_pybytes()) for size, _, i in replies if size == k + 1]
             known.append((np.unique(hashes), np.concatenate(mine) if mine else np.zeros(0, np.int64)))
-        for first, grams in _grams(docs, order):
+        for first, grams in _grams(docs, order, bits):
             counts = [c[np.searchsorted(u, g)] if len(g) else np.zeros(0, np.int64) for (g, _), (u, c) in zip(grams, known, strict=True)]
             for k in range(len(grams[0][1]) - 1):
                 mine = [c[b[k]:b[k + 1]] for c, (_, b) in zip(counts, grams, strict=True)]

@@ -277,7 +277,7 @@ ORACLES["union_sources"] = """
     select event_id, user_id, cast(round(value * 100) as bigint) as cents, cast(0 as integer) as source_ord
     from events where event_type = 'purchase'
     union all by name
-    select user_id, event_id, cast(1 as integer) as source_ord from events where event_type <> 'purchase'"""
+    select user_id, event_id, cast(1 as integer) as source_ord from events where event_type is distinct from 'purchase'"""
 
 _DIMENSION = f"""
     {_BASE}, {_SERIES},

@@ -442,7 +442,7 @@ def union_sources_(spark, sf_dir):
     purchases = events.where("event_type = 'purchase'").select(
         "event_id", "user_id", round_half_away(F.col("value") * 100).alias("cents")
     )
-    others = events.where("event_type <> 'purchase'").select("user_id", "event_id")
+    others = events.where("event_type is distinct from 'purchase'").select("user_id", "event_id")
     return union_sources([purchases, others])
 
 

@@ -11,13 +11,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from daypanel.operators.panel import SPREAD
-from daypanel.session import durable, sized
+from daypanel.session import durable
 
 _PART = "__part"
 _SEQ = "__seq"
 _OFFSET = "__offset"
-_SALT = "__salt"
 
 
 def last_wins_lookup(df: DataFrame, key: str, value: str, order: str | Sequence[str]) -> DataFrame:
@@ -36,11 +34,12 @@ def first_row_attributes(df: DataFrame, key: str, attributes: Sequence[str], ord
 
 
 def lookup_left_join(df: DataFrame, lookup: DataFrame, key: str, columns: Sequence[str],
-                     spread_nulls: bool = True, lookup_is_larger: bool = False) -> DataFrame:
+                     spread_nulls: bool = False, lookup_is_larger: bool = False) -> DataFrame:
     """Left join to a lookup that may hold several rows per key; every match is kept.
 
-    Rows whose key is NULL match nothing.  With ``spread_nulls`` a shuffled join deals them out to all
-    tasks; pass False where the key is known to be present, which leaves the join on the key alone.
+    Rows whose key is NULL match nothing.  A shuffled join deals them to one partition, which adaptive
+    execution splits; ``spread_nulls`` keeps them out of the join instead, at the price of reading ``df``
+    twice, each time with a filter that reaches its files.  Either way only needed columns are read.
 
     lookup_is_larger: the lookup outgrows ``df``, perhaps with a hot key.  An outer join could neither
     broadcast ``df`` nor split the lookup's hot key; matches by an inner join and the rows without a
@@ -52,16 +51,13 @@ def lookup_left_join(df: DataFrame, lookup: DataFrame, key: str, columns: Sequen
         matched = df.join(right, key, "inner").select(*df.columns, *columns)
         alone = df.join(right.select(key).distinct(), key, "left_anti")
         return matched.unionByName(alone.withColumns({c: F.lit(None).cast(types[c]) for c in columns}))
+    known = df.where(F.col(key).isNotNull()) if spread_nulls else df
+    joined = known.join(right, key, "left").select(*df.columns, *columns)
     if not spread_nulls:
-        return df.join(right, key, "left").select(*df.columns, *columns)
-    hashable = [name for name, dtype in df.dtypes if "map<" not in dtype and "variant" not in dtype]
-    spread = F.pmod(F.xxhash64(*hashable), F.lit(SPREAD))
-    left = df.withColumn(_SALT, F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
-    # 64 bits shifted out are 0, which the optimizer does not know: a plain 0 would be folded out of the
-    # join keys, and with it the spreading.
-    zero = F.shiftrightunsigned(F.shiftrightunsigned(F.xxhash64(key), 32), 32)
-    right = right.withColumn(_SALT, zero)
-    return left.join(right, [key, _SALT], "left").select(*df.columns, *columns)
+        return joined
+    types = dict(right.dtypes)
+    absent = df.where(F.col(key).isNull()).withColumns({c: F.lit(None).cast(types[c]) for c in columns})
+    return joined.unionByName(absent)
 
 
 def population_fallback(df: DataFrame, lookup: DataFrame, key: str, population: str, found: str) -> DataFrame:
@@ -112,8 +108,8 @@ def upsert_dimension(dim: DataFrame, facts: DataFrame, key: str, id_name: str, a
     once for the rows of new keys; with no new key the dimension is returned as it is.
     """
     keys = facts.select(key).where(F.col(key).isNotNull()).distinct()
-    new_keys, count = sized(keys.join(dim.select(key), key, "left_anti"))
-    if count == 0:
+    new_keys = durable(keys.join(dim.select(key), key, "left_anti"))
+    if new_keys.isEmpty():
         return dim
     wanted = [c for c in dict.fromkeys([*attributes, *order]) if c != key]
     misses = facts.select(key, *wanted).join(new_keys, key, "left_semi")

@@ -1,14 +1,12 @@
 """Operations on a panel: one row per entity and day, the day being an integer column.
 
-How the two window operators stay balanced.  An entity is never one indivisible group: its time
-axis is cut into blocks of ``split_days`` days and the windows run per (entity, block), so a
-group holds at most ``split_days + 1`` days however long or hot the entity is.  What crosses a
-block border is carried explicitly (one repeated row, or one border day per block), so the
-results are those of the unsplit window.  The one shuffle by (entity, block) is asked for
-explicitly: a window would also accept rows that already lie together by entity alone.
-
-``split_days=None`` runs the unsplit window.  Since an entity has one row per day its group is then
-bounded by the calendar, and a table already bucketed by entity needs no shuffle at all.
+How the two window operators stay balanced.  An entity has one row per day (a second one fails the
+job), so a window's group is bounded by the calendar: a century is 36 525 rows.  One shuffle and one
+sort by entity serve all measures, and a table already bucketed by entity needs no shuffle.
+
+For axes finer than a day ``split_days`` cuts an entity's axis into blocks of so many units, and the
+windows run per (entity, block).  What crosses a block border is carried explicitly (one repeated
+row, or one border day per block), so the results are those of the unsplit window.
 """
 
 from __future__ import annotations
@@ -20,10 +18,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from daypanel.functions.numeric import rate
-from daypanel.session import BROADCAST_ROWS, sized
-
-SPLIT_DAYS = 366
-SPREAD = 4096
+from daypanel.session import durable
 
 _BLOCK = "__block"
 _GHOST = "__ghost"
@@ -35,36 +30,40 @@ _STEP = "__step"
 
 
 def prev_day_delta(df: DataFrame, entity: Sequence[str], day: str, measures: Mapping[str, str],
-                   split_days: int | None = SPLIT_DAYS) -> DataFrame:
+                   split_days: int | None = None) -> DataFrame:
     """Add ``measure - measure on the previous calendar day`` for each ``measure -> output name``.
 
     NULL on an entity's first day and on the day after a gap: what counts is the calendar day
     before, not the row before.  A row whose entity or day is NULL equals no other row and gets NULL.
-    All measures share one window, hence one shuffle and one sort.
+    A second row for the same entity and day fails the job.  All measures share one window, hence one
+    shuffle and one sort.
     """
     keyed = _all_known([*entity, day])
+    found_twice = F.raise_error(_duplicate([*entity, day]))
 
-    def deltas(prev: WindowSpec) -> dict[str, Column]:
-        return {out: F.when(keyed, F.col(m) - F.max(m).over(prev)) for m, out in measures.items()}
+    def deltas(group: WindowSpec) -> dict[str, Column]:
+        prev, following = group.rangeBetween(-1, -1), F.lead(day).over(group)
+        return {out: F.when(keyed & (following == F.col(day)), found_twice)
+                .when(keyed, F.col(m) - F.max(m).over(prev)) for m, out in measures.items()}
 
     if split_days is None:
-        return df.withColumns(deltas(Window.partitionBy(*entity).orderBy(day).rangeBetween(-1, -1)))
+        return df.withColumns(deltas(Window.partitionBy(*entity).orderBy(day)))
     # The last day of a block is also sent to the next block, where it only serves as "yesterday".
     border = keyed & (F.pmod(F.col(day), F.lit(split_days)) == split_days - 1)
     copies = F.when(border, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     # Rows without a full key need no company: what key they have spreads them, instead of the entity's block.
-    spread = F.pmod(F.xxhash64(*entity, day), F.lit(SPREAD)).cast("int")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(F.xxhash64(*entity, day), F.lit(16 * tasks)).cast("int")
     block = F.when(keyed, _block(day, split_days) + F.col(_GHOST) * split_days).otherwise(spread)
     blocked = df.withColumn(_GHOST, F.explode(copies)).withColumn(_BLOCK, block)
     blocked = blocked.repartition(*[F.col(c) for c in entity], F.col(_BLOCK))
-    prev = Window.partitionBy(*entity, _BLOCK).orderBy(day).rangeBetween(-1, -1)
-    return blocked.withColumns(deltas(prev)).where(F.col(_GHOST) == 0).drop(_GHOST, _BLOCK)
+    return blocked.withColumns(deltas(Window.partitionBy(*entity, _BLOCK).orderBy(day))).where(F.col(_GHOST) == 0).drop(_GHOST, _BLOCK)
 
 
 def forward_fill_gaps(df: DataFrame, entity: Sequence[str], day: str, *,
                       zero: Sequence[str] = (), null: Sequence[str] = (), advance: Sequence[str] = (),
                       horizon: str | Column | None = None, filled: str | None = None,
-                      split_days: int | None = SPLIT_DAYS) -> DataFrame:
+                      split_days: int | None = None) -> DataFrame:
     """One row for every day from an entity's first observation to the horizon.
 
     A missing day repeats the latest observation, except that ``zero`` columns become 0, ``null``
@@ -81,7 +80,7 @@ def forward_fill_gaps(df: DataFrame, entity: Sequence[str], day: str, *,
 
 
 def with_next_day(df: DataFrame, entity: Sequence[str], day: str, name: str = "next_day",
-                  split_days: int | None = SPLIT_DAYS) -> DataFrame:
+                  split_days: int | None = None) -> DataFrame:
     """Add the entity's next observed day, NULL on its last.
 
     A NULL entity or day fails the job, and so does a second row for the same entity and day: it
@@ -89,13 +88,11 @@ def with_next_day(df: DataFrame, entity: Sequence[str], day: str, name: str = "n
     """
     key = [*entity, day]
     no_key = F.raise_error(F.lit(f"NULL in panel key {key}")).cast("int")
-    shown = F.concat_ws(", ", *[F.col(c).cast("string") for c in key])
-    found_twice = F.concat(F.lit(f"duplicate panel key {key}: "), shown)
 
     def checked(following: Column) -> Column:
         return (
             F.when(~_all_known(key), no_key)
-            .when(following == F.col(day), F.raise_error(found_twice).cast("int"))
+            .when(following == F.col(day), F.raise_error(_duplicate(key)).cast("int"))
             .otherwise(following)
         )
 
@@ -150,15 +147,13 @@ def fill_to_next(df: DataFrame, day: str, next_day: str, horizon: str | Column,
     return exploded.select(*[on_fill(c) for c in df.columns], *flag)
 
 
-def with_group_horizon(df: DataFrame, group: Sequence[str], day: str, name: str = "horizon",
-                       broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def with_group_horizon(df: DataFrame, group: Sequence[str], day: str, name: str = "horizon") -> DataFrame:
     """Add the latest day of each row's group, for ``forward_fill_gaps(horizon=name)``.
 
-    Runs a job for the maxima, which are partially aggregated and one row per group.  Up to
-    ``broadcast_rows`` groups are broadcast; more are joined by shuffle, where adaptive execution
-    splits a hot group.
+    Runs a job for the maxima, which are partially aggregated and one row per group.  How they are
+    joined is left to adaptive execution, which goes by measured bytes and splits a hot group.
     """
-    maxima, _ = sized(df.groupBy(*group).agg(F.max(day).alias(name)), broadcast_rows)
+    maxima = durable(df.groupBy(*group).agg(F.max(day).alias(name)))
     return df.join(maxima, list(group), "left").select(*df.columns, name)
 
 
@@ -199,6 +194,11 @@ def convert_units(df: DataFrame, spec: Mapping[str, tuple[str, str, float]]) ->
     return df.select(*unit_columns(spec), *df.columns)
 
 
+def _duplicate(key: Sequence[str]) -> Column:
+    shown = F.concat_ws(", ", *[F.col(c).cast("string") for c in key])
+    return F.concat(F.lit(f"duplicate panel key {[*key]}: "), shown)
+
+
 def _all_known(columns: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 

@@ -7,9 +7,8 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-BROADCAST_ROWS = 100_000
 # For tables of some fifty columns.  A generated method beyond 8000 bytes of bytecode is never compiled by
 # the JVM; below that limit Spark falls back to smaller methods that are, which is two to three times faster.
 # And a task that may keep a file open per partition value need not sort all its rows by that value.
@@ -68,29 +67,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized(df: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """``df`` made durable, with its row count; marked for broadcast if it has at most ``broadcast_rows``.
-
-    For small results whose size no statistics tell in advance.  Above the bound the join that uses
-    it is left to Catalyst.
-    """
-    fixed = durable(df)
-    count = fixed.count()
-    return (F.broadcast(fixed) if count <= broadcast_rows else fixed), count
-
-
 def ingest_session(spark: SparkSession) -> SparkSession:
     """A sibling session in which text sources are read strictly.
 
     Header names must match in letter case, conversions raise instead of giving NULL, and lines are
     split into all their fields even when a query needs few of them, so that a row of wrong length
-    cannot hide behind column pruning.  The caller's session is left as it is.
+    cannot hide behind column pruning.  All other runtime settings are the caller's, whose session is
+    left as it is.
     """
     strict = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
-                "spark.sql.adaptive.enabled"):
-        value = spark.conf.get(key, None)
-        if value is not None:
+    for key, value in spark.conf.getAll.items():
+        if strict.conf.isModifiable(key):
             strict.conf.set(key, value)
     tune(strict)
     strict.conf.set("spark.sql.caseSensitive", "true")

@@ -161,7 +161,8 @@ def _undecodable(contract: SourceContract) -> Column:
     """Whether a flagged row is wrong beyond having surplus fields: too short, or a field that lost its value."""
     line = F.col(_CORRUPT)
     # Quoted stretches may hold separators, which do not count.
-    fields = F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), contract.separator, -1))
+    plain = f"\\Q{contract.separator}\\E"  # not as a regular expression
+    fields = F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), plain, -1))
     as_text = T.StructType([T.StructField(h, T.StringType()) for h in contract.header])
     text = F.from_csv(line, as_text.simpleString(), {"sep": contract.separator, **_quoting(contract)})
     lost = [

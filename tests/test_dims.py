@@ -21,12 +21,21 @@ def test_null_keys_are_spread_over_tasks(spark):
     session.conf.set("spark.sql.shuffle.partitions", "8")
     facts = session.range(8000).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("fips"), "id")
     lookup = session.range(100).select(F.col("id").alias("fips"), F.lit(1).alias("pop"))
-    joined = dims.lookup_left_join(facts, lookup, "fips", ["pop"])
+    joined = dims.lookup_left_join(facts, lookup, "fips", ["pop"], spread_nulls=True)
     per_task = joined.where("fips is null").groupBy(F.spark_partition_id()).count().collect()
     assert len(per_task) == 8 and joined.count() == 8000
     assert max(r["count"] for r in per_task) < 2 * 8000 * 2 / 3 / 8
 
 
+def test_lookups_read_only_what_is_needed(spark, tmp_path):
+    spark.range(50).select("id", F.lit("wide").alias("w"), (F.col("id") % 7).alias("fips"), F.lit(None).cast("long").alias("pop")).write.parquet(f"{tmp_path}/f")
+    facts = spark.read.parquet(f"{tmp_path}/f")
+    lookup = spark.createDataFrame([(1, 70)], "fips long, people long")
+    for out in (dims.lookup_left_join(facts, lookup, "fips", ["people"]).select("id", "people"),
+                dims.population_fallback(facts, lookup, "fips", "pop", "people").select("id", "pop")):
+        assert "w:string" not in out._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+
+
 def test_population_fallback(spark, rows):
     df = spark.createDataFrame([("a", 1, None), ("b", 1, 5), ("c", None, None)], "e string, fips int, pop long")
     lookup = spark.createDataFrame([(1, 70)], "fips int, people long")

@@ -66,12 +66,11 @@ def test_fill_never_cuts_and_refuses_unknown_columns(spark, rows):
 
 def test_fill_to_a_horizon_per_group(spark, rows):
     df = spark.createDataFrame([("s", "A", 1), ("s", "B", 3), ("t", "C", 1), ("t", "D", 2)], "g string, e string, jd int")
-    for limit in (100_000, 0):
-        limited = panel.with_group_horizon(df, ["g"], "jd", broadcast_rows=limit)
-        out = panel.forward_fill_gaps(limited, ["g", "e"], "jd", horizon="horizon").drop("horizon")
-        assert rows(out) == [
-            ("s", "A", 1), ("s", "A", 2), ("s", "A", 3), ("s", "B", 3), ("t", "C", 1), ("t", "C", 2), ("t", "D", 2),
-        ]
+    limited = panel.with_group_horizon(df, ["g"], "jd")
+    out = panel.forward_fill_gaps(limited, ["g", "e"], "jd", horizon="horizon").drop("horizon")
+    assert rows(out) == [
+        ("s", "A", 1), ("s", "A", 2), ("s", "A", 3), ("s", "B", 3), ("t", "C", 1), ("t", "C", 2), ("t", "D", 2),
+    ]
 
 
 @pytest.mark.parametrize("split", [None, 366])
@@ -153,3 +152,12 @@ def test_units(spark, rows):
     assert rows(out) == [(3.0 / 10.0, 0.07 * 100.0, 3.0, 0.07)]
     with pytest.raises(ValueError):
         panel.convert_units(df, {"x": ("a", "+", 1.0)})
+
+
+@pytest.mark.parametrize("split", [None, 3])
+def test_delta_refuses_duplicates(spark, split):
+    df = spark.createDataFrame([("a", 1, 15), ("a", 2, 99), ("a", 2, 20), (None, 2, 1), (None, 2, 2)], "e string, jd int, v int")
+    with pytest.raises(Exception, match="duplicate panel key"):
+        panel.prev_day_delta(df, ["e"], "jd", {"v": "d"}, split_days=split).collect()
+    unkeyed = panel.prev_day_delta(df.where("e is null"), ["e"], "jd", {"v": "d"}, split_days=split)
+    assert [r["d"] for r in unkeyed.collect()] == [None, None]

@@ -47,19 +47,16 @@ def tables(large, tmp_path_factory):
 def test_delta_shuffles_once_for_all_measures(tables):
     raw = tables["nytcounties_raw"]
     out = panel.prev_day_delta(raw, ["state", "county"], "date_julian", {"cases": "a", "deaths": "b"})
-    assert [names(e) for e in exchanges(out)] == [["state", "county", "__block"]]
+    assert [names(e) for e in exchanges(out)] == [["state", "county"]]
     assert plan_of(out).count("Window [") == 1
 
 
 def test_gap_filling_shuffles_wide_rows_once(tables):
     raw = tables["cdataset_raw"]
     out = panel.forward_fill_gaps(raw, ["dataset", "locid"], "date_julian")
-    wide, *slim = [names(e) for e in exchanges(out)]
-    assert wide == ["dataset", "locid", "__block"]
-    # The summary of blocks: aggregated, put in order per entity, brought to the rows.
-    assert sorted(slim) == sorted([["dataset", "locid", "__block"], ["dataset", "locid"], ["dataset", "locid", "__block"]])
+    assert [names(e) for e in exchanges(out)] == [["dataset", "locid"]]
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", plan_of(out))
-    assert len(scans) == 3 and sorted(s.count(":") for s in scans)[:2] == [1, 2]
+    assert len(scans) == 2 and min(s.count(":") for s in scans) == 1  # the rows, and the days for the horizon
 
 
 def test_unsplit_window_reuses_an_existing_distribution(large):

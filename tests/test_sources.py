@@ -199,3 +199,23 @@ def test_align_and_union(spark, rows):
 def test_drop_blank_lead(spark, rows):
     df = spark.createDataFrame([("", 1), (None, 2), ("x", 3)], "lead string, v int")
     assert rows(drop_blank_lead(df, "lead")) == [("x", 3)]
+
+
+@pytest.mark.parametrize("separator", ["|", ".", "^", ";"])
+def test_triage_takes_the_separator_literally(spark, land, separator):
+    from dataclasses import replace
+
+    contract = replace(contracts.NYTCOUNTIES, separator=separator)
+    lines = [x.replace(",", separator) for x in (HEADER, GOOD, GOOD + ",surplus", "2020-03-15,Harvey")]
+    good, bad = triage_contract(spark, contract, land(*lines), allow_extra=True)
+    assert good.count() == 2 and [r["first_field"] for r in bad.collect()] == ["2020-03-15"]
+
+
+def test_the_ingest_session_keeps_the_callers_settings(spark):
+    from daypanel.session import ingest_session
+
+    caller = spark.newSession()
+    caller.conf.set("spark.sql.parquet.compression.codec", "zstd")
+    strict = ingest_session(caller)
+    assert strict.conf.get("spark.sql.parquet.compression.codec") == "zstd" and strict.conf.get("spark.sql.caseSensitive") == "true"
+    assert caller.conf.get("spark.sql.caseSensitive") == "false"

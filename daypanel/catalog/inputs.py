@@ -250,6 +250,27 @@ def land_text(spark: SparkSession, sf_dir: str, contract: SourceContract) -> str
     return _once(spark, sf_dir, contract.name, write)
 
 
+def land_headers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The rows of the county source under its own header and three that differ in case, in order, or by a name."""
+    own = NYTCOUNTIES.header
+    headers = {
+        "as contracted": own,
+        "letter case": [own[0].upper(), *own[1:]],
+        "order": [own[1], own[0], *own[2:]],
+        "other name": [*own[:-1], "died"],
+    }
+
+    def write() -> dict[str, str]:
+        rows = nytcounties_rows(spark, sf_dir)
+        paths = {name: scratch_path(spark, "headers") for name in headers}
+        for name, header in headers.items():
+            renamed = rows.toDF(*header) if name != "order" else rows.select(*header)
+            renamed.write.option("header", True).option("escape", '"').option("emptyValue", "").csv(paths[name])
+        return paths
+
+    return _once(spark, sf_dir, "headers", write)
+
+
 def land_series(spark: SparkSession, sf_dir: str) -> list[str]:
     """Write the case series as Parquet folders, once per session."""
     def write() -> list[str]:

@@ -387,6 +387,10 @@ _NYT = f"""{_D}, nyt as (
            case when user_id % 11 <> 0 then user_id end as fips, n as cases,
            case when n % 3 <> 0 then n - 1 end as deaths from dp)"""
 ORACLES["contract_scan"] = f"with {_NYT} select * from nyt"
+ORACLES["refused_headers"] = """
+    with days as (select distinct user_id, cast(ts as date) as day from events)
+    select 'as contracted' as variant, false as refused, (select count(*) from days) as n_rows
+    union all select variant, true, null from (values ('letter case'), ('order'), ('other name')) as v(variant)"""
 
 
 def _county_delta(measure: str) -> str:

@@ -23,7 +23,7 @@ from daypanel.session import scratch_path
 from daypanel.sources import contracts
 from daypanel.sources.case_series import align_schema, scan_case_series, union_sources
 from daypanel.sources.contract import (
-    INT, TEXT, Field, SourceContract, blank_lead_count, drop_blank_lead, read_contract, scan_contract, triage_contract,
+    INT, TEXT, Field, HeaderError, SourceContract, blank_lead_count, drop_blank_lead, read_contract, scan_contract, triage_contract,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -491,6 +491,19 @@ def contract_scan(spark, sf_dir):
     return read_contract(spark, contracts.NYTCOUNTIES, inputs.land_text(spark, sf_dir, contracts.NYTCOUNTIES))
 
 
+@query
+def refused_headers(spark, sf_dir):
+    """Which of four landed headers over the same rows the contract refuses, and how many rows come in through the others."""
+    found = []
+    for variant, path in inputs.land_headers(spark, sf_dir).items():
+        try:
+            n_rows = read_contract(spark, contracts.NYTCOUNTIES, path).count()
+        except HeaderError:
+            n_rows = None
+        found.append((variant, n_rows is None, n_rows))
+    return spark.createDataFrame(found, "variant string, refused boolean, n_rows bigint")
+
+
 @query
 def contract_scan_tsv(spark, sf_dir):
     return read_contract(spark, contracts.LOCATION_MAP, inputs.land_text(spark, sf_dir, contracts.LOCATION_MAP))

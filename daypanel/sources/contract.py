@@ -1,8 +1,8 @@
 """Reading delimited text against a contract: exact header, declared types, no inference.
 
-A source is read in :func:`daypanel.session.ingest_session` and its normalised rows are meant to be
-written from there (:mod:`daypanel.plans.build` does): the letter case of header names is checked
-by the session that runs the scan.
+A source is read in :func:`daypanel.session.ingest_session`.  Spark compares header names by the rules of
+the session that executes a plan, which need not be the strict one, so headers are checked when a scan is
+made: a small job opens every file once and reads no further than its first rows.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from daypanel.functions.calendar import ISO_DATE, julian_day, parse_day
@@ -25,6 +27,12 @@ _UNSIGNED = {U32: UINT32_MAX, U64: INT64_MAX}
 
 ROW_ORDER = ["__file", "__block", "__row"]
 _CORRUPT = "_corrupt_record"
+_ONE_FILE = str(1 << 36)
+_REFUSED = "CSV header does not conform"
+
+
+class HeaderError(ValueError):
+    """A file's header is not the contract's."""
 
 
 @dataclass(frozen=True)
@@ -76,15 +84,36 @@ def scan_contract(spark: SparkSession, contract: SourceContract, path: str, with
                   multi_line: bool = False) -> DataFrame:
     """The source's rows under their header names.
 
-    Another header (names, order or letter case), a row that is too short or too long, or a field
-    that does not fit its type fails the job that reads it, whichever columns that job needs.
+    Another header (names, order or letter case) in any file raises at once.  A row that is too short or
+    too long, or a field that does not fit its type fails the job that reads it, whichever columns
+    that job needs.
     with_order: add ``ROW_ORDER``, columns that sort the rows as they stand in the files.
     """
+    check_headers(spark, contract, path, multi_line)
     reader = _reader(ingest_session(spark), contract, multi_line).schema(contract.schema)
     df = _needing_all(reader.option("mode", "FAILFAST").csv(path))
     return _with_order(df) if with_order else df
 
 
+def check_headers(spark: SparkSession, contract: SourceContract, path: str, multi_line: bool = False) -> None:
+    """Raise :class:`HeaderError` if a file's header differs from the contract's in names, order or letter case.
+
+    Runs a job in a strict session of its own: one task per file, which stops after its first row.
+    """
+    strict = ingest_session(spark)
+    # A file counts as much as a task may read, so no task opens two.
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        strict.conf.set(key, _ONE_FILE)
+    strict.conf.unset("spark.sql.files.maxPartitionNum")
+    rows = _needing_all(_reader(strict, contract, multi_line).schema(contract.schema).csv(path))
+    try:
+        rows.limit(1).agg(F.count("*")).collect()  # the limit holds in every task before it holds for all
+    except (PySparkException, Py4JJavaError) as e:
+        if _REFUSED in str(e):
+            raise HeaderError(f"{path}: the header is not that of {contract.name}: {','.join(contract.header)}") from e
+        raise
+
+
 def normalise(contract: SourceContract, df: DataFrame) -> DataFrame:
     """Scanned rows as stored: renamed, dated, checked, and laid out by name.
 
@@ -122,6 +151,7 @@ def triage_contract(spark: SparkSession, contract: SourceContract, path: str,
     The header is still enforced.  allow_extra: a row with surplus trailing fields is kept and the
     surplus ignored, as long as it decodes otherwise.
     """
+    check_headers(spark, contract, path)
     schema = contract.schema.add(_CORRUPT, T.StringType())
     rows = (
         _reader(ingest_session(spark), contract, False)

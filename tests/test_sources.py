@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 from daypanel.sources import contracts
 from daypanel.sources.case_series import align_schema, union_sources
 from daypanel.sources.contract import (
-    blank_lead_count, drop_blank_lead, normalise, read_contract, scan_contract, triage_contract,
+    HeaderError, blank_lead_count, check_headers, drop_blank_lead, normalise, read_contract, scan_contract, triage_contract,
 )
 
 HEADER = "date,county,state,fips,cases,deaths"
@@ -112,6 +112,32 @@ def test_every_file_of_a_folder_is_checked(spark, land, tmp_path):
         read(spark, str(tmp_path))
 
 
+@pytest.mark.parametrize("use", [
+    lambda df, mine: df, lambda df, mine: mine.join(df, "fips"), lambda df, mine: mine.unionByName(df.select("fips")),
+    lambda df, mine: mine.join(df, "fips", "left").groupBy().count(),
+], ids=["alone", "joined", "united", "counted"])
+def test_header_case_holds_in_every_session(spark, land, tmp_path, use):
+    """Plans that run in the caller's session, where names are compared without case."""
+    land(HEADER, GOOD, name="a.csv")
+    mine = spark.createDataFrame([(20079,)], "fips bigint")
+    assert use(read_contract(spark, contracts.NYTCOUNTIES, str(tmp_path)), mine).count() >= 1
+    land("DATE,county,State,fips,cases,deaths", GOOD, name="b.csv")
+    with pytest.raises(HeaderError):
+        use(read_contract(spark, contracts.NYTCOUNTIES, str(tmp_path)), mine).collect()
+    with pytest.raises(HeaderError):
+        triage_contract(spark, contracts.NYTCOUNTIES, str(tmp_path))
+
+
+def test_a_header_among_many_small_files(spark, land, tmp_path):
+    """Files that one task could read together are all opened."""
+    for k in range(40):
+        land(HEADER, GOOD, name=f"{k:02}.csv")
+    check_headers(spark, contracts.NYTCOUNTIES, str(tmp_path))
+    land(HEADER.upper(), GOOD, name="31.csv")
+    with pytest.raises(HeaderError):
+        check_headers(spark, contracts.NYTCOUNTIES, str(tmp_path))
+
+
 def test_lookup_ranges_and_empty_text(spark, land):
     header = ",".join(contracts.LOC_LOOKUP.header)
     path = land(header, "1,US,USA,840,20079,,Kansas,US,38.0,-97.4,Key,34429", "2,US,USA,,,Harvey,,US,,,Key,")

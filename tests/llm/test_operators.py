@@ -111,6 +111,35 @@ def test_compact_windows_by_brute_force():
         assert got == want
 
 
+def test_surroundings_by_brute_force():
+    rng = np.random.default_rng(3)
+    bounds = np.cumsum([0, 0, 1, 5, 40, 0, 200])
+    grams = rng.integers(0, 2**63, bounds[-1], dtype=np.uint64)
+    near = windows.surroundings(grams, bounds, 11)
+    hashes = tokens.mix(grams ^ windows._NEAR_SALT)
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        for p in range(lo, hi):
+            least = hashes[max(lo, p - 11):min(hi, p + 12)].min()
+            assert near[p] == tokens.mix(np.array([least])).astype(np.uint16).view(np.int16)[0]
+
+
+def test_passages_of_few_inside_a_phrase_of_many(spark, docs):
+    rng = np.random.default_rng(11)
+
+    def prose(n):
+        return " ".join(f"w{x}" for x in rng.integers(0, 50_000, n))
+
+    phrase = prose(20)
+    rows = [(i, f"{prose(60)} {phrase} {prose(60)}") for i in range(400)]
+    shared = [f"{prose(30)} {phrase} {prose(30)}" for _ in range(10)]
+    for k, passage in enumerate(shared):  # two documents each, far apart in document order
+        rows += [(1000 + k, f"{prose(50)} {passage} {prose(50)}"), (2000 - k, f"{prose(70)} {passage} {prose(30)}")]
+    frame = docs(rows)
+    classes = {r["doc_id"]: r["class_id"] for r in windows.passage_classes(frame, windows.repeated_passages(frame)).collect()}
+    assert [classes[2000 - k] for k in range(10)] == [1000 + k for k in range(10)]
+    assert all(classes[i] == i for i in range(400))
+
+
 def test_repeated_passages(spark, docs):
     rnd = random.Random(8)
     passage, other = prose(rnd, 70), prose(rnd, 55)

@@ -17,11 +17,12 @@ def main(arguments: list[str] | None = None) -> DataFrame:
     parser.add_argument("out", help="folder the builds are kept in")
     parser.add_argument("--case-series", nargs="+", required=True, help="case series in their order of precedence")
     parser.add_argument("--case-series-format", default="parquet")
+    parser.add_argument("--multi-line", nargs="+", default=(), help="text sources with quoted line breaks")
     parser.add_argument("--no-gates", action="store_true", help="skip the row-count and expected-value gates")
     options = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("daypanel").getOrCreate()
     tune(spark)
-    landing = Landing.of_folder(spark, options.landing, options.case_series, options.case_series_format)
+    landing = Landing.of_folder(spark, options.landing, options.case_series, options.case_series_format, options.multi_line)
     gates = {} if options.no_gates else {"minimum_rows": MINIMUM_ROWS, "expectations": HARVEY_EXPECTATIONS}
     return row_counts(build(spark, landing, options.out, **gates))
 

@@ -38,16 +38,25 @@ HARVEY_EXPECTATIONS = [
 
 @dataclass(frozen=True)
 class Landing:
-    """Where the sources lie: a path per contract name, and the case series in their order of precedence."""
+    """Where the sources lie: a path per contract name, and the case series in their order of precedence.
+
+    multi_line: names of the contracts whose files may hold quoted line breaks.
+    """
 
     text: Mapping[str, str]
     case_series: Sequence[DataFrame] = field(default_factory=tuple)
+    multi_line: frozenset[str] = frozenset()
 
     @classmethod
-    def of_folder(cls, spark: SparkSession, folder: str, case_series: Sequence[str], fmt: str = "parquet") -> Landing:
+    def of_folder(cls, spark: SparkSession, folder: str, case_series: Sequence[str], fmt: str = "parquet",
+                  multi_line: Sequence[str] = ()) -> Landing:
         """Text sources in ``folder/<contract name>``, case series in ``folder/case_series/<name>``."""
+        unknown = set(multi_line) - set(CONTRACTS)
+        if unknown:
+            raise ValueError(f"no such text source: {sorted(unknown)}")
         text = {name: f"{folder}/{name}" for name in CONTRACTS}
-        return cls(text, [scan_case_series(spark, f"{folder}/case_series/{name}", fmt) for name in case_series])
+        series = [scan_case_series(spark, f"{folder}/case_series/{name}", fmt) for name in case_series]
+        return cls(text, series, frozenset(multi_line))
 
 
 def build(spark: SparkSession, landing: Landing, root: str, minimum_rows: Mapping[str, int] | None = None,
@@ -60,7 +69,7 @@ def build(spark: SparkSession, landing: Landing, root: str, minimum_rows: Mappin
     tables = {"build_meta": store.write_meta(spark, store.table_path(root, build_id, "build_meta"))}
     # The text sources do not depend on each other: their jobs share the cluster instead of queueing.
     with ThreadPoolExecutor(len(CONTRACTS)) as pool:
-        ingested = pool.map(lambda c: _ingest(spark, c, landing.text[c.name], root, build_id), CONTRACTS.values())
+        ingested = pool.map(lambda c: _ingest(spark, c, landing, root, build_id), CONTRACTS.values())
         staged = dict(zip(CONTRACTS, ingested))
     tables |= {name: df for name, df in staged.items() if name in store.SCHEMAS}
     fips = case_facts.fips_population(staged["loc_lookup"])
@@ -92,10 +101,10 @@ def build_and_register(spark: SparkSession, landing: Landing, root: str, **gate_
     return register_views(spark, store.open_tables(spark, root))
 
 
-def _ingest(spark: SparkSession, contract: SourceContract, path: str, root: str, build_id: str) -> DataFrame:
+def _ingest(spark: SparkSession, contract: SourceContract, landing: Landing, root: str, build_id: str) -> DataFrame:
     # Written by the strict session, read back by the caller's.
     ordered = contract in (LOC_LOOKUP, LOCATION_MAP)
-    rows = read_contract(spark, contract, path, with_order=ordered)
+    rows = read_contract(spark, contract, landing.text[contract.name], ordered, contract.name in landing.multi_line)
     location = store.table_path(root, build_id, f"{contract.name}_staged" if ordered else contract.name)
     store.write_table(rows, location, required=contract.required)
     stored = store.read_table(spark, location, rows.schema)
@@ -112,7 +121,8 @@ def _write(df: DataFrame, root: str, build_id: str, name: str, required: Sequenc
 
 def _build_cases(case_series: Sequence[DataFrame], location_rows: DataFrame, fips: DataFrame, root: str,
                  build_id: str) -> dict[str, DataFrame]:
-    series = case_facts.prepare_sources(case_series)
+    # Written once: every later step reads the same rows, and the sources no more.
+    series = _write(case_facts.prepare_sources(case_series), root, build_id, "case_series_staged")
     stop_on("case series", case_facts.series_violations(case_facts.series_spans(series)))
     locations = case_facts.extend_locations(case_facts.base_locations(location_rows), series)
     # Written once, with the key that the facts are looked up by; the stored dimension leaves it out.
@@ -122,6 +132,6 @@ def _build_cases(case_series: Sequence[DataFrame], location_rows: DataFrame, fip
     publish_gate(dimension, "cdataset_loc", ["locid"])
     keys = _write(case_facts.location_keys(locations, fips), root, build_id, "location_keys_staged")
     # Gap filling refuses duplicate keys, and no two sources cover the same days: the key is unique.
-    facts = case_facts.facts(series, keys)
+    facts = case_facts.by_day(case_facts.facts(series, keys))
     facts = _write(facts, root, build_id, "cdataset_raw", case_facts.CDATASET_RAW_REQUIRED)
     return {"cdataset_loc": dimension, "cdataset_raw": facts}

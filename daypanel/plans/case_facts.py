@@ -40,6 +40,7 @@ CDATASET_RAW = """
     peak_pct_confirmed peak_pct_deaths peak_pct_recovered peak_pct_infected
     factbook_area factbook_population factbook_death_rate factbook_median_age""".split()
 CDATASET_RAW_KEY = ["dataset", "locid", DAY]
+_LAID_OUT = ["dataset", DAY, "locid"]
 CDATASET_RAW_REQUIRED = ["dataset", "locid", DAY, "day_index_0", "day_index_1", *COUNTS]
 CDATASET_LOC = """
     locid xtype label country_code country_normalized province_normalized administrative_normalized
@@ -145,6 +146,14 @@ def facts(series: DataFrame, keys: DataFrame) -> DataFrame:
     return filled.select(*[F.col(c).cast("bigint") if c in ADVANCE_ON_FILL else F.col(c) for c in CDATASET_RAW])
 
 
+def by_day(facts: DataFrame) -> DataFrame:
+    """Facts as they are laid out: a file holds few days of a dataset, so that day filters prune.
+
+    The ranges go down to the location, so a dataset or a day with most of the rows is spread over as many files as it fills.
+    """
+    return facts.repartitionByRange(*_LAID_OUT).sortWithinPartitions(*_LAID_OUT)
+
+
 def observed_facts(series: DataFrame, keys: DataFrame) -> DataFrame:
     """The observed rows as stored: location id, population, counts without NULL, rates per 100k."""
     located = series.join(keys, "location_key", "inner")

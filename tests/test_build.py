@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,6 +184,29 @@ def test_a_broken_build_is_not_published(spark, tmp_path, landed):
     assert store.published_build(spark, root) != first
 
 
+def test_facts_are_laid_out_by_day(spark, tmp_path, landed):
+    root = tmp_path / "store"
+    tables = build(spark, landed, str(root))
+    assert {r["dataset"] for r in tables["cdataset_raw"].select("dataset").distinct().collect()} == {"d1", "d2", "d3"}
+    files = list(root.glob("builds/*/cdataset_raw/dataset=*/*.parquet"))
+    assert files
+    for path in files:
+        days = pq.read_table(path, partitioning=None).select(["date_julian", "locid"]).to_pylist()
+        assert days == sorted(days, key=lambda r: (r["date_julian"], r["locid"]))
+    assert len(list(root.glob("builds/*/case_series_staged/*.parquet"))) > 0
+
+
+def test_quoted_line_breaks_in_the_job(spark, tmp_path, landed):
+    broken = {"date": "2020-03-14", "county": '"H\nX"', "state": "K", "fips": 20079, "cases": 1, "deaths": 0}
+    text = _text(tmp_path, nytcounties_raw=[broken])
+    with pytest.raises(Exception):
+        build(spark, Landing(text, landed.case_series), str(tmp_path / "s1"))
+    tables = build(spark, Landing(text, landed.case_series, frozenset({"nytcounties_raw"})), str(tmp_path / "s2"))
+    assert [r["county"] for r in tables["nytcounties_raw"].collect()] == ["H\nX"]
+    with pytest.raises(ValueError, match="no such text source"):
+        Landing.of_folder(spark, str(tmp_path), [], multi_line=["nowhere"])
+
+
 def test_duplicate_keys_stop_the_build(spark, tmp_path, landed):
     double = [{"date": "2020-03-14", "county": "H", "state": "K", "cases": 1}] * 2
     broken = Landing(_text(tmp_path, nytcounties_raw=double), landed.case_series)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daypanel.llm import buckets, golay, latent, line_dedup, rule_ledger
-from daypanel.llm.frames import ship, staged
+from daypanel.llm.frames import components, ship, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,19 +27,26 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one whose id names it; of rows with that id the first by text."""
-    groups = golay.near_duplicates(docs)
-    named = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"), "fp")
-    stay = staged(named.groupBy("__id").agg(F.min("fp").alias("__fp")), "survivors")
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__id"))).select(*docs.columns)
-    return kept.dropDuplicates(["doc_id"])
+    """One row of each group of near copies: the one with the least id (none comes last), of those the first by a hash of the text.
+
+    Groups are told apart by their fingerprints and rows by a number of their own, so missing and repeated ids cost no text.
+    """
+    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    prints = staged(golay.fingerprints(rows.withColumn("__hash", F.xxhash64("text")), carry=("__row", "__hash")), "row-fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash", "__row"))
+    best = staged(prints.groupBy("fp").agg(first.alias("best")), "best-rows")
+    groups = components(golay.links(best.select("fp")), best.select(F.col("fp").alias("node"), F.col("fp").alias("label")))
+    stay = best.join(groups, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("label", "fp").alias("group")).agg(
+        F.min("best").alias("best")).select(F.col("best.__row").alias("__stay"))
+    return rows.join(staged(stay, "survivors"), F.col("__row") == F.col("__stay"), "left_semi").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak no benchmark item."""
-    leaks = latent.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that leak no benchmark item.  A leak is a matter of the text, so texts are searched by their hash, with or without an id."""
+    texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
+    leaks = latent.contaminated(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     found = staged(leaks.select(F.col("doc_id").alias("__leaking")).distinct(), "leaking")
-    return docs.join(found, F.col("doc_id") == F.col("__leaking"), "left_anti")
+    return docs.join(found, F.xxhash64("text") == F.col("__leaking"), "left_anti")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,14 +53,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return sum(1 << b for b in np.flatnonzero(2 * counts > len(h)).tolist())
 
 
-def fingerprints(docs: DataFrame, doc: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``: one row per row of ``docs``; ``fp`` holds the 64 bits as a signed number."""
+def fingerprints(docs: DataFrame, doc: str = "doc_id", text: str = "text", shingle: int = SHINGLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp``: one row per row of ``docs``; ``fp`` holds the 64 bits as a signed number.  Columns ``carry`` follow as they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column("body").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64)), *[batch.column(c) for c in carry]],
+                                             ["doc_id", "fp", *carry])
 
-    return docs.select(docs[doc].alias("doc_id"), docs[text].alias("body")).mapInArrow(run, "doc_id bigint, fp bigint")
+    carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return docs.select(docs[doc].alias("doc_id"), docs[text].alias("body"), *[docs[c] for c in carry]).mapInArrow(
+        run, f"doc_id bigint, fp bigint{carried}")
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", shingle: int = SHINGLE,

@@ -3,8 +3,8 @@
 import random
 from collections import Counter
 
-from daypanel.llm import frames
-from tests.llm.test_operators import SF, prose
+from daypanel.llm import frames, latent
+from tests.llm.test_operators import SF, WORDS, prose
 
 
 # the pipeline
@@ -25,3 +25,35 @@ def test_pipeline_rows_without_an_id_and_with_repeated_ids(spark, docs):
     assert got == Counter([(None, t) for t in [alone[0], *alone[2:], leaking]] + [(7, t) for t in [*twice, alone[1]]] + [(8, shared)])
     clean = corpus_pipeline.decontamination(spark, frames.staged(kept, "stage"), SF)
     assert Counter((r["doc_id"], r["text"]) for r in clean.collect()) == got - Counter([(None, leaking)])
+
+
+# 5: decontamination
+
+def test_leaks_of_items_of_every_length(spark, docs, monkeypatch):
+    """Items much shorter and much longer than a window, given word for word and paraphrased in long documents; the basis is fitted to a sample."""
+    monkeypatch.setattr(latent, "FIT_PASSAGES", 400)
+    rnd = random.Random(31)
+    often = [1 / (k + 2) for k in range(len(WORDS))]
+
+    def text(n):
+        return rnd.choices(WORDS, often, k=n)
+
+    items, rows, want = [], [], set()
+    for j, n in enumerate([4, 8, 8, 8, 8, 10, 10, 10, 15, 15, 40, 40, 150, 150, 150, 300, 300, 300, 300] * 2):
+        item = [w + rnd.choice("aeiou") if rnd.random() < 0.5 else w for w in text(n)]
+        items.append((j, " ".join(item)))
+        given = item if j % 2 or n < 40 else [w if k % 6 or k >= 0.7 * n else "instead" for k, w in enumerate(item)]
+        rows.append((j, " ".join(text(rnd.randrange(200, 400)) + given + text(rnd.randrange(200, 400)))))
+        want.add((j, j))
+    rows += [(1000 + k, " ".join(text(300))) for k in range(300)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in latent.contaminated(docs(rows), bench).collect()}
+    assert want - got == set()
+    block = latent.block_of(items)
+    number = {int(h): k for k, h in enumerate(block.vocabulary)}
+    for i, t in rows:  # and nothing that the check around any window accepts is missing, nothing else is there
+        words = [number.get(int(h), -1) for h in latent._hashes(t)]
+        for j, (item, answer) in enumerate(zip(block.items, block.answers, strict=True)):
+            if sum((Counter(item.tolist()) & Counter(words)).values()) >= 0.6 * len(item):
+                found = any(latent.leak(item, answer, words[max(0, at - len(item)):at + latent.WINDOW + len(item)]) for at in range(0, len(words), latent.STRIDE))
+                assert found == ((i, block.ids[j]) in got)

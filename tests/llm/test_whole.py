@@ -3,7 +3,9 @@
 import random
 from collections import Counter
 
-from daypanel.llm import frames, latent
+import numpy as np
+
+from daypanel.llm import frames, latent, windows
 from tests.llm.test_operators import SF, WORDS, prose
 
 
@@ -57,3 +59,44 @@ def test_leaks_of_items_of_every_length(spark, docs, monkeypatch):
             if sum((Counter(item.tolist()) & Counter(words)).values()) >= 0.6 * len(item):
                 found = any(latent.leak(item, answer, words[max(0, at - len(item)):at + latent.WINDOW + len(item)]) for at in range(0, len(words), latent.STRIDE))
                 assert found == ((i, block.ids[j]) in got)
+
+
+# 3: substring dedup
+
+def test_passages_with_parts_that_stand_twice():
+    rng = np.random.default_rng(5)
+
+    def prose(n):
+        return [f"w{x}" for x in rng.integers(0, 50_000, n)]
+
+    def found(a, b):
+        return windows.matching_passages(windows.shingles(" ".join(a)), windows.shingles(" ".join(b)), 46, 0.8)
+
+    line, rest, far = prose(25), prose(40), prose(8)
+    a, b = prose(30) + line + rest + prose(20), prose(10) + line + prose(80) + line + rest + prose(30)
+    assert [p[:4] for p in found(a, b)] == [(30, 90, 115, 175)] and [p[:4] for p in found(b, a)] == [(115, 175, 30, 90)]
+    one, two = prose(60), prose(60)
+    assert [p[:4] for p in found(one + far + two, one + prose(8) + two + prose(300) + far)] == [(0, 123, 0, 123)]
+    # Against all windows of one size, over texts of lines that repeat, whole or edited.
+    linked = 0
+    for _ in range(60):
+        lines = [prose(int(n)) for n in rng.integers(8, 30, 6)]
+        order, texts = rng.integers(0, 6, 7).tolist(), []
+        for _ in range(2):
+            text = []
+            for k in order:
+                text += lines[k] if rng.random() < 0.8 else [w if rng.random() < 0.9 else "x" for w in lines[k]]
+                text += prose(int(rng.integers(1, 25))) if rng.random() < 0.3 else []
+            texts.append(text)
+            order = [*rng.integers(0, 6, 2).tolist(), *order[int(rng.integers(0, 4)):]]
+        left, right = (windows.shingles(" ".join(t)) for t in texts)
+        sets = [[frozenset(x[k:k + 46].tolist()) for k in range(len(x) - 45)] for x in (left, right)]
+        like = any(len(x & y) >= 0.8 * len(x | y) and {left[p], left[p + 45], right[q], right[q + 45]} <= x & y  # ends that both have
+                   for p, x in enumerate(sets[0]) for q, y in enumerate(sets[1]))
+        got = found(*texts)
+        assert got or not like
+        linked += like
+        for i, k, j, m, score in got:
+            x, y = set(left[i:k + 1].tolist()), set(right[j:m + 1].tolist())
+            assert min(k - i, m - j) >= 45 and score >= 0.8 and abs(len(x & y) / len(x | y) - score) < 1e-9
+    assert linked

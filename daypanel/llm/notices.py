@@ -89,7 +89,7 @@ def notice_hits(line: str, notices: Sequence[Notice] = NOTICES) -> list[Hit]:
             else:
                 regions.append([lo, hi])
         for lo, hi in regions:
-            for m in pattern.finditer(line, lo, hi):
+            for m in _matches(pattern, line, lo, hi, len(notice.words) - notice.errors):
                 a, b = m.span()
                 while a < b and line[a] == " ":
                     a += 1
@@ -101,6 +101,17 @@ def notice_hits(line: str, notices: Sequence[Notice] = NOTICES) -> list[Hit]:
     return sorted(out, key=lambda h: (h.first_word, h.label))
 
 
+def _matches(pattern: regex.Pattern, line: str, lo: int, hi: int, least: int) -> Iterator[regex.Match]:
+    """The best match in a part of a text, then those in the parts before and after it, which hold ``least`` characters or more."""
+    parts = [(lo, hi)]
+    while parts:
+        lo, hi = parts.pop()
+        m = pattern.search(line, lo, hi) if hi - lo >= least else None
+        if m:
+            yield m
+            parts += [(lo, m.start()), (m.end(), hi)]
+
+
 @lru_cache
 def _compiled(notices: tuple[Notice, ...]) -> list[tuple]:
     return [(n, n.pieces(), regex.compile(f"(?b)(?:{regex.escape(n.words, special_only=True)}){{e<={n.errors}}}")) for n in notices]

@@ -1,11 +1,12 @@
 """Cases in which an operator once did less than the whole job."""
 
+import itertools
 import random
 from collections import Counter
 
 import numpy as np
 
-from daypanel.llm import frames, latent, windows
+from daypanel.llm import frames, latent, notices, windows
 from tests.llm.test_operators import SF, WORDS, prose
 
 
@@ -100,3 +101,17 @@ def test_passages_with_parts_that_stand_twice():
             x, y = set(left[i:k + 1].tolist()), set(right[j:m + 1].tolist())
             assert min(k - i, m - j) >= 45 and score >= 0.8 and abs(len(x & y) / len(x | y) - score) < 1e-9
     assert linked
+
+
+# 9: license notices
+
+def test_every_notice_of_several_in_a_row():
+    def found(text):
+        return [(h.label, h.first_word, h.end_word, h.edits) for h in notices.notice_hits(notices.normalised(text))]
+
+    assert found("x all rigts reserved and all rights reserved y") == [("all-rights-notice", 1, 4, 1), ("all-rights-notice", 5, 8, 0)]
+    mit = ["released under the mit license", "relesed under teh mit license", "released under the mit licence", "relased under the mit license"]
+    for order in itertools.permutations(mit):
+        got = found(" ".join(order))
+        assert [x[:3] for x in got] == [("mit-notice", 5 * k, 5 * k + 5) for k in range(4)]
+        assert [x[3] == 0 for x in got] == [x == mit[0] for x in order]

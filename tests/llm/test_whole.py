@@ -103,6 +103,30 @@ def test_passages_with_parts_that_stand_twice():
     assert linked
 
 
+def test_pairs_behind_a_phrase_of_all(spark, docs):
+    """Most of what two documents share stands in all documents; the class of each is that of its one partner."""
+    rng = np.random.default_rng(3)
+
+    def prose(n):
+        return " ".join(f"w{x}" for x in rng.integers(0, 50_000, n))
+
+    phrase = prose(44)
+    rows = [(i, f"{prose(60)} {phrase} {prose(60)}") for i in range(300)]
+    for k in range(30):
+        before, after = prose(k % 13), prose(12 - k % 13)
+        rows += [(1000 + k, f"{prose(50)} {before} {phrase} {after} {prose(50)}"), (2000 + 7 * k % 30, f"{prose(70)} {before} {phrase} {after} {prose(30)}")]
+    lines = [prose(30) for _ in range(6)]  # each line is in ten documents, two of them in a row in two
+    orders = list(itertools.combinations(range(6), 2))
+    for k, order in enumerate(orders):
+        for i in (3000 + k, 4000 - k):
+            rows.append((i, "\n".join([prose(40), *(lines[x] for x in order), prose(40)])))
+    frame = docs(rows)
+    classes = {r["doc_id"]: r["class_id"] for r in windows.passage_classes(frame, windows.repeated_passages(frame)).collect()}
+    assert {2000 + 7 * k % 30: classes[2000 + 7 * k % 30] for k in range(30)} == {2000 + 7 * k % 30: 1000 + k for k in range(30)}
+    assert [classes[4000 - k] for k in range(len(orders))] == [3000 + k for k in range(len(orders))]
+    assert all(classes[i] == i for i in range(300))
+
+
 # 9: license notices
 
 def test_every_notice_of_several_in_a_row():

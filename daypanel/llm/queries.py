@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daypanel.llm import (
-    backoff, blob_ledger, buckets, chat, golay, latent, line_dedup, notices, prefix_trie, rule_ledger, windows,
+    backoff, blob_ledger, buckets, chat, collocations, golay, latent, line_dedup, notices, prefix_trie, rule_ledger, windows,
 )
 from daypanel.llm.frames import table
 
@@ -91,6 +91,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline of the repository's top folder."""
     import corpus_pipeline
@@ -100,7 +105,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_chat_format, op3_substring_dedup, op4_secret_scan, op5_decontamination, op6_lm_scoring, op7_simhash,
-    op8_quality_rules, op9_license_scan, op10_packing, op12_prefix_trie, pipeline,
+    op8_quality_rules, op9_license_scan, op10_packing, op12_prefix_trie, op13_collocations, pipeline,
 )}
 
 ORACLES: dict[str, str] = {

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daypanel.llm import (
-    backoff, blob_ledger, buckets, chat, collocations, golay, latent, line_dedup, notices, prefix_trie, rule_ledger, windows,
+    backoff, blob_ledger, buckets, chat, collocations, golay, latent, line_dedup, notices, prefix_trie, rule_ledger, sanitise,
+    windows,
 )
 from daypanel.llm.frames import table
 
@@ -39,12 +40,14 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = blob_ledger.findings(docs, blob_ledger.scan(docs))
     base = [r.name for r in blob_ledger.BASE_RULES]
     mine = F.filter("findings", lambda x: x["kind"].isin(base))
+    return found.select("doc_id", *_counts(mine, base), F.sha2(_listed(mine), 256).alias("base_sha256"), _listed(F.col("findings")).alias("spans"))
 
+
+def _counts(findings: Column, kinds: list[str]) -> list[Column]:
     def count(kind: str) -> Column:
-        return F.size(F.filter(mine, lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+        return F.size(F.filter(findings, lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
-    counts = [count(kind) for kind in base]
-    return found.select("doc_id", *counts, F.sha2(_listed(mine), 256).alias("base_sha256"), _listed(F.col("findings")).alias("spans"))
+    return [count(kind) for kind in kinds]
 
 
 def _listed(findings: Column) -> Column:
@@ -86,6 +89,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return buckets.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document and the terms that give it away."""
+    found = sanitise.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    base = [k.name for k in sanitise.KINDS]
+    mine = F.filter("findings", lambda x: x["kind"].isin(base))
+    return found.select("doc_id", *_counts(mine, base), F.sha2(_listed(mine), 256).alias("base_sha256"), _listed(F.col("findings")).alias("spans"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of the rebuilt conversations, with its subtree's totals."""
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
@@ -105,7 +116,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_line_dedup, op2_chat_format, op3_substring_dedup, op4_secret_scan, op5_decontamination, op6_lm_scoring, op7_simhash,
-    op8_quality_rules, op9_license_scan, op10_packing, op12_prefix_trie, op13_collocations, pipeline,
+    op8_quality_rules, op9_license_scan, op10_packing, op11_sanitise, op12_prefix_trie, op13_collocations, pipeline,
 )}
 
 ORACLES: dict[str, str] = {

@@ -6,10 +6,10 @@ stage's documents.  All but the last return the columns of documents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daypanel.llm import buckets, golay, latent, line_dedup, rule_ledger
-from daypanel.llm.frames import components, ship, staged
+from daypanel.llm.frames import components, ship, staged, without
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,32 +21,39 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the boilerplate lines of their source; a text that changed gets its new length."""
-    cut = line_dedup.drop_boilerplate(docs, counts=("__lines", "__dropped"))
-    n_chars = F.when(F.col("__dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("bigint")
-    return cut.withColumn("n_chars", n_chars).drop("__lines", "__dropped")
+    lines, dropped = _unused("lines", docs), _unused("dropped", docs)
+    cut = line_dedup.drop_boilerplate(docs, counts=(lines, dropped))
+    n_chars = F.when(F.col(dropped) > 0, F.length("text")).otherwise(F.col("n_chars")).cast("bigint")
+    return cut.withColumn("n_chars", n_chars).drop(lines, dropped)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: the one with the least id (none comes last), of those the first by a hash of the text.
 
-    Groups are told apart by their fingerprints and rows by a number of their own, so missing and repeated ids cost no text.
+    ``docs`` must come from files: a row is told apart by its file and its place there, so missing and repeated ids cost no text, and only
+    the rows that go are sought, without moving the texts of those that stay.
     """
-    rows = staged(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    prints = staged(golay.fingerprints(rows.withColumn("__hash", F.xxhash64("text")), carry=("__row", "__hash")), "row-fingerprints")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__hash", "__row"))
+    def place() -> Column:
+        meta = docs.metadataColumn("_metadata")
+        return F.struct(meta["file_path"].alias("file"), meta["row_index"].alias("line"))
+
+    named = docs.select("doc_id", "text", F.xxhash64("text").alias("hash"), place().alias("place"))
+    prints = staged(golay.fingerprints(named, carry=("place", "hash")), "row-fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "place"))
     best = staged(prints.groupBy("fp").agg(first.alias("best")), "best-rows")
-    groups = components(golay.links(best.select("fp")), best.select(F.col("fp").alias("node"), F.col("fp").alias("label")))
-    stay = best.join(groups, F.col("fp") == F.col("node"), "left").groupBy(F.coalesce("label", "fp").alias("group")).agg(
-        F.min("best").alias("best")).select(F.col("best.__row").alias("__stay"))
-    return rows.join(staged(stay, "survivors"), F.col("__row") == F.col("__stay"), "left_semi").select(*docs.columns)
+    found = components(golay.links(best.select("fp")), best.select(F.col("fp").alias("node"), F.col("fp").alias("label")))
+    grouped = best.join(found, F.col("fp") == F.col("node"), "left").select("fp", "best", F.coalesce("label", "fp").alias("group"))
+    stay = staged(grouped.groupBy("group").agg(F.min("best").alias("best")).select("group", F.col("best.place").alias("stays")), "survivors")
+    kept = grouped.select("fp", "group").join(stay, "group").select("fp", "stays")
+    losers = staged(prints.join(kept, "fp").where(F.col("place") != F.col("stays")).select("place"), "losers")
+    return without(docs, place(), losers)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item.  A leak is a matter of the text, so texts are searched by their hash, with or without an id."""
     texts = docs.select(F.xxhash64("text").alias("doc_id"), "text")
     leaks = latent.contaminated(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    found = staged(leaks.select(F.col("doc_id").alias("__leaking")).distinct(), "leaking")
-    return docs.join(found, F.xxhash64("text") == F.col("__leaking"), "left_anti")
+    return without(docs, F.xxhash64("text"), staged(leaks.select("doc_id").distinct(), "leaking"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,6 +61,14 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return buckets.pack(docs)
 
 
+def _unused(name: str, docs: DataFrame) -> str:
+    """``name``, with as many underscores in front as make it no column of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup_stage),

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from daypanel.llm.frames import staged
 from daypanel.llm.tokens import _BASE, _BYTE_VALUES, _Powers, mix
 
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 16 << 20
 BITMAP_BITS = 1 << 24
 _CHUNK = 1 << 20
 _BUCKET = 1 << 15  # bits of one row of bitmap_construct_agg
@@ -51,12 +51,12 @@ _LOWER[0x41:0x5B] += 32
 
 
 class _Shard:
-    """Words of the texts of one shard: hash, place in ``data``, piece and language."""
+    """Words of the texts of one shard (under 2**31 bytes, as an Arrow batch is): hash, place in ``data``, piece and language."""
 
     def __init__(self, texts: list[tuple[bytes, np.ndarray, np.ndarray]], langs: list[str]):
         self.data = b"".join(t[0] for t in texts)
         self.langs = langs
-        salts = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest()) for x in langs] or [0], np.uint64)
+        self.salts = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest()) for x in langs], np.uint64)
         parts, at, piece = [], 0, 0
         for data, offsets, codes in texts:
             raw = np.frombuffer(data, np.uint8)
@@ -64,14 +64,14 @@ class _Shard:
             while lo < len(codes):
                 hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + _CHUNK, side="right")) - 1)
                 hashes, starts, ends, pieces, doc = _words(raw[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-                parts.append((hashes, starts + at + offsets[lo], ends + at + offsets[lo], pieces + piece, codes[lo:hi][doc]))
-                piece += int(offsets[hi] - offsets[lo]) + (hi - lo) + 1  # more than any piece number of the chunk
+                first = at + int(offsets[lo])
+                parts.append((hashes, (starts + first).astype(np.int32), (ends + first).astype(np.int32), (pieces + piece).astype(np.int32), codes[lo:hi][doc]))
+                piece += int(pieces[-1]) + 1 if len(pieces) else 0
                 lo = hi
             at += len(data)
         self.hashes, self.starts, self.ends, self.pieces, self.codes = (
             np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, t)
-            for k, t in enumerate((np.uint64, np.int64, np.int64, np.int64, np.int32)))
-        self.salts = salts[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
+            for k, t in enumerate((np.uint64, np.int32, np.int32, np.int32, np.int32)))
 
     def phrases(self, n: int, pairs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Keys of all phrases of ``n`` words with the places of their first words; of those whose pairs hit the bitmap, if one is given."""
@@ -90,7 +90,7 @@ class _Shard:
         total = np.full(len(at), n, np.uint64)
         for k in range(n):
             total = total * np.uint64(_BASE) + self.hashes[at + k]
-        return mix(total ^ self.salts[at])
+        return mix(total ^ self.salts[self.codes[at]])
 
     def _pair_hits(self, pairs: np.ndarray) -> np.ndarray:
         if not hasattr(self, "_hit"):

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import daypanel
 from daypanel.session import durable, scratch_path
@@ -40,6 +40,42 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bitmap(keys: DataFrame, n_bits: int) -> Column:
+    """A scalar: array of ``n_bits`` bits in 64-bit numbers, set at the hashes of the one column of ``keys``; see :func:`marked`.
+
+    Its size does not depend on the data, so it may go to every task.  As a filter before a join it keeps most rows without a partner out of the
+    shuffle; with very many keys it lets more of them through, and the join decides anyway.
+    """
+    at = keys.select(_place(F.col(keys.columns[0]), n_bits).alias("at"))
+    put = at.groupBy(F.floor(F.col("at") / 64).alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+    dense = keys.sparkSession.range(n_bits // 64).join(put, "id", "left")
+    listed = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))  # n_bits / 64 entries
+    return dense.agg(F.transform(listed, lambda x: x["bits"]).alias("bits")).scalar()
+
+
+def marked(bits: Column, key: Column, n_bits: int) -> Column:
+    """Whether the bitmap in ``bits`` may hold ``key``: always true of its keys, of others with a chance of keys / ``n_bits``."""
+    at = _place(key, n_bits)
+    return F.getbit(F.get(bits, F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1
+
+
+def _place(key: Column, n_bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(n_bits))
+
+
+def without(rows: DataFrame, key: Column, losers: DataFrame, n_bits: int = 1 << 22) -> DataFrame:
+    """``rows`` but for those whose ``key`` is in the one column of ``losers``; columns of any name.
+
+    The plan is the same at every size: rows that a bitmap of the losers clears stay where they are, and only the others, the losers and
+    few besides, go through an exact anti join.  ``rows`` is read twice, ``losers`` several times, so it should be a stored table.  A null key is no loser.
+    """
+    named = rows.select(F.struct("*").alias("row"), key.alias("key")).withColumn("bits", bitmap(losers, n_bits))
+    suspect = F.col("key").isNotNull() & marked(F.col("bits"), F.col("key"), n_bits)
+    gone = losers.toDF("lost")
+    stay = named.where(suspect).select("row", "key").join(gone, F.col("key") == F.col("lost"), "left_anti")
+    return named.where(~suspect).select("row").unionAll(stay.select("row")).select("row.*")
+
+
 def per_row(fn: Callable[..., tuple], names: list[str], schema: pa.Schema) -> Callable:
     """A function for ``mapInArrow`` that calls ``fn`` with the named columns of each row.
 

@@ -33,7 +33,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daypanel.llm.frames import staged
+from daypanel.llm.frames import bitmap, marked, staged
 
 REACH = 8
 SUPPORT = 3
@@ -41,9 +41,9 @@ DISCLOSED = 0.9
 BITS = 1 << 20
 _BLOCK = 256
 
-# Words are runs of ASCII letters, digits and all other characters beyond ASCII.
-_IN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-_OUT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+# Words are runs of ASCII letters, digits and all characters beyond ASCII.  The others one by one: the regex engine looks such a class up in a table.
+_OTHERS = "".join(f"\\x{c:02x}" for c in range(0x80) if not chr(c).isalnum())
+_IN, _OUT = f"[^{_OTHERS}]", f"[{_OTHERS}]"
 _AROUND = f"^(?:{_OUT}*+{_IN}++){{0,{REACH}}}"
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
@@ -216,6 +216,10 @@ def _general(word: Column) -> Column:
     return F.concat(F.substring(word, F.lit(1), F.floor((F.length(word) + 1) / 2).cast("int")), F.lit("*"))
 
 
+def _hit(word: Column) -> Column:
+    return marked(F.col("bits"), word, BITS)
+
+
 # --- 2. and 3. disclosure ------------------------------------------------------------------------
 
 def disclosing_terms(docs: DataFrame, entities: DataFrame, text: str = "text", support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
@@ -226,12 +230,13 @@ def disclosing_terms(docs: DataFrame, entities: DataFrame, text: str = "text", s
     pairs = staged(met.groupBy("entity", "form").agg(F.sum("copies").alias("both")).where(F.col("both") >= support), "pairs")
     holders = entities.select("key", "copies", F.inline("mentions")).select("key", "copies", "entity").distinct().groupBy("entity").agg(
         F.sum("copies").alias("holders"))
-    bits = _bitmap(pairs.select("form"))
+    bits = bitmap(pairs.select("form"), BITS)
     forms = F.array_distinct(_words(F.col("text")))
     every = F.concat(forms, F.array_distinct(F.transform(forms, _general)))
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    seen = texts.select(every.alias("forms")).withColumn("bits", bits).select(F.explode(F.filter("forms", _marked)).alias("form"))
-    spread = seen.groupBy("form").agg(F.count("*").alias("spread"))
+    # The outer forms of explode and inline, since the others make Spark compute their arrays once more, in a filter that leaves out empty ones.
+    seen = texts.select(every.alias("forms")).withColumn("bits", bits).select(F.explode_outer(F.filter("forms", _hit)).alias("form"))
+    spread = seen.where(F.col("form").isNotNull()).groupBy("form").agg(F.count("*").alias("spread"))
     n_docs = docs.agg(F.count("*").alias("n")).scalar()
     judged = pairs.join(spread, "form").join(holders, "entity").withColumn("all", n_docs)
     ic = F.log2(F.col("all") / F.col("holders"))
@@ -244,31 +249,12 @@ def disclosing_terms(docs: DataFrame, entities: DataFrame, text: str = "text", s
     return staged(terms.groupBy(F.col("form").alias("term")).agg(kind.alias("kind")), "terms")
 
 
-def _place(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(BITS))
-
-
-def _bitmap(words: DataFrame) -> Column:
-    """A scalar array of ``BITS`` bits in 64-bit numbers, set at the places of the words."""
-    word = words.columns[0]
-    at = words.select(_place(F.col(word)).alias("at"))
-    put = at.groupBy(F.floor(F.col("at") / 64).alias("id")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
-    dense = words.sparkSession.range(BITS // 64).join(put, "id", "left")
-    listed = F.array_sort(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))  # BITS / 64 entries, whatever the data
-    return dense.agg(F.transform(listed, lambda x: x["bits"]).alias("bits")).scalar()
-
-
-def _marked(word: Column) -> Column:
-    at = _place(word)
-    return F.getbit(F.get(F.col("bits"), F.floor(at / 64).cast("int")), (at % 64).cast("int")) == 1
-
-
 # --- 4. places -----------------------------------------------------------------------------------
 
 def _term_spans(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
     """``key, spans``: the places of disclosing terms in every text that holds one."""
-    texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("bits", _bitmap(terms.select("term")))
-    texts = texts.where(F.exists(F.array_distinct(_words(F.col("text"))), _marked))
+    texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("bits", bitmap(terms.select("term"), BITS))
+    texts = texts.where(F.exists(F.array_distinct(_words(F.col("text"))), _hit))
     at = texts.withColumns({"said": F.regexp_extract_all("text", F.lit(f"{_IN}+"), F.lit(0)), "gaps": F.split("text", f"{_IN}+", -1)})
     at = at.withColumn("gaps", F.transform("gaps", F.length))
     at = at.withColumn("starts", _before(F.zip_with(F.slice("gaps", F.lit(1), F.size("said")), "said", lambda g, w: (g + F.length(w)).cast("bigint"))))
@@ -277,7 +263,7 @@ def _term_spans(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
         start = F.get(F.col("starts"), i) + F.get(F.col("gaps"), i)
         return F.struct(F.lower(word).alias("term"), start.alias("start"), (start + F.length(word)).alias("end"))
 
-    hits = at.withColumn("hits", F.filter(F.transform("said", placed), lambda x: _marked(x["term"])))
-    each = hits.select(_key("text").alias("key"), F.inline("hits")).distinct()
+    hits = at.withColumn("hits", F.filter(F.transform("said", placed), lambda x: _hit(x["term"])))
+    each = hits.select(_key("text").alias("key"), F.inline_outer("hits")).where(F.col("term").isNotNull()).distinct()
     order = F.when(F.col("kind") == GENERAL, F.lit(ORDER.index(GENERAL))).otherwise(F.lit(ORDER.index(REMOVED)))
     return each.join(terms, "term").groupBy("key").agg(F.collect_list(F.struct("start", order.alias("ord"), "kind", "end")).cast(SPANS).alias("spans"))

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from daypanel.llm import frames, latent, notices, windows
 from tests.llm.test_operators import SF, WORDS, prose
@@ -30,6 +31,36 @@ def test_pipeline_rows_without_an_id_and_with_repeated_ids(spark, docs):
     assert Counter((r["doc_id"], r["text"]) for r in clean.collect()) == got - Counter([(None, leaking)])
 
 
+def test_pipeline_columns_with_names_of_its_own(spark, docs):
+    import corpus_pipeline
+
+    rnd = random.Random(23)
+    bench = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    texts = [" ".join(prose(rnd, 120)) for _ in range(8)]
+    rows = [(k, t + "\nshared line") for k, t in enumerate(texts)] + [(50 + k, texts[k] + "\nshared line") for k in range(3)] + [(90, texts[0] + " " + bench[0])]
+    rows += [(100 + k, f"{' '.join(prose(rnd, 30))}\nshared line") for k in range(20)]
+    names = ["lines", "dropped", "__row", "__leaking", "row_", "bits", "lost", "hash", "place", "fp", "label", "node", "_lines"]
+    start = docs(rows).drop("row").withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    at, left = start, []
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        at = stage(spark, frames.staged(at, "stage"), SF)
+        assert at.columns == start.columns, name
+        left.append({r["doc_id"] for r in at.collect()})
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in at.collect() for n in names)
+    assert left[0] == {i for i, _ in rows} and left[1] == left[0] - {50, 51, 52} and left[2] == left[1] - {90}
+    assert not any("shared line" in r["text"] for r in at.collect())
+
+
+def test_rows_without_those_of_a_list(spark):
+    rows = spark.createDataFrame([(k % 7 if k % 5 else None, f"t{k}") for k in range(200)], "key int, bits string")
+    lost = frames.staged(spark.createDataFrame([(1,), (3,), (3,), (None,)], "bits int"), "lost")
+    for n_bits in (64, 1 << 12):  # the smaller one lets most rows through to the join
+        found = Counter(tuple(r) for r in frames.without(rows, F.col("key"), lost, n_bits).collect())
+        assert found == Counter(tuple(r) for r in rows.collect() if r["key"] not in (1, 3))
+    none = frames.staged(spark.createDataFrame([], "lost int"), "lost")
+    assert frames.without(rows, F.col("key"), none).count() == 200
+
+
 # 5: decontamination
 
 def test_leaks_of_items_of_every_length(spark, docs, monkeypatch):

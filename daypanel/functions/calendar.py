@@ -1,8 +1,8 @@
 """Julian days, date parts and strict date parsing.
 
 The time axis of every stored panel is ``date_julian``, an integer that grows by one per
-calendar day.  Being a plain integer column it is also what day filters should use: a
-predicate on it reaches the Parquet scan, whereas one on the derived text ``date`` cannot.
+calendar day.  Being a plain integer column it is also what day filters may use: a
+predicate on it reaches the Parquet scan, and so does one on a stored text ``date``, but not one on a derived text.
 """
 
 from __future__ import annotations
@@ -52,13 +52,18 @@ def try_parse_day(text: Column | str, fmt: str = ISO_DATE) -> Column:
     return F.try_to_date(_col(text), fmt)
 
 
-def date_part_columns(jd: Column | str) -> list[Column]:
+def day_text(jd: Column | str) -> Column:
+    """Julian day -> ``yyyy-MM-dd``."""
+    return date_from_julian(jd).cast("string")
+
+
+def date_part_columns(jd: Column | str, text: Column | None = None) -> list[Column]:
     """The four text columns every view starts with, zero padded.
 
     A DATE as text is already ``yyyy-MM-dd``; its parts are cut out of it, which spares every row
-    four runs of a date formatter.
+    four runs of a date formatter.  text: the day as stored text, if there is one.
     """
-    text = date_from_julian(jd).cast("string")
+    text = day_text(jd) if text is None else text
     return [
         text.alias("date"),
         F.substring(text, 1, 4).alias("date_year"),
@@ -68,8 +73,13 @@ def date_part_columns(jd: Column | str) -> list[Column]:
 
 
 def with_date_parts(df: DataFrame, jd: str = "date_julian", derived: list[Column] | None = None) -> DataFrame:
-    """Date parts first, then ``derived`` columns, then every column of ``df``."""
-    return df.select(*date_part_columns(jd), *(derived or []), *[F.col(c) for c in df.columns])
+    """Date parts first, then ``derived`` columns, then every column of ``df``.
+
+    A text column ``date`` of ``df`` is taken as it stands, so that filters on it reach the files it is read from.
+    """
+    stored = F.col("date") if "date" in df.columns else None
+    rest = [F.col(c) for c in df.columns if c not in ("date", "date_next")] if stored is not None else [F.col(c) for c in df.columns]
+    return df.select(*date_part_columns(jd, stored), *(derived or []), *rest)
 
 
 def with_julian_day(df: DataFrame, date: str, name: str = "date_julian") -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from daypanel.functions.numeric import INT64_MAX, UINT32_MAX
 
@@ -69,15 +69,7 @@ def point_expectations(tables: Mapping[str, DataFrame], expectations: Sequence[E
     """
     def of_table(name: str) -> DataFrame:
         wanted = [e for e in expectations if e.table == name]
-        aggregates = []
-        for i, e in enumerate(wanted):
-            hit = F.expr(e.where)
-            equal = F.col(e.column).eqNullSafe(F.lit(e.expected).cast("bigint"))
-            aggregates += [
-                F.count_if(hit).alias(f"rows{i}"),
-                F.max(F.when(hit, F.col(e.column))).cast("bigint").alias(f"actual{i}"),
-                F.count_if(hit & equal).alias(f"equal{i}"),
-            ]
+        aggregates = expectation_counts(wanted)
         verdicts = [
             F.struct(
                 F.lit(e.table).alias("table_name"),
@@ -94,6 +86,28 @@ def point_expectations(tables: Mapping[str, DataFrame], expectations: Sequence[E
     return reduce(DataFrame.unionAll, [of_table(n) for n in dict.fromkeys(e.table for e in expectations)])
 
 
+def expectation_counts(expectations: Sequence[Expectation]) -> list[Column]:
+    """Aggregates that tell whether the expectations hold, to be taken over the rows or observed while they pass by."""
+    aggregates = []
+    for i, e in enumerate(expectations):
+        hit = F.expr(e.where)
+        equal = F.col(e.column).eqNullSafe(F.lit(e.expected).cast("bigint"))
+        aggregates += [
+            F.count_if(hit).alias(f"rows{i}"),
+            F.max(F.when(hit, F.col(e.column))).cast("bigint").alias(f"actual{i}"),
+            F.count_if(hit & equal).alias(f"equal{i}"),
+        ]
+    return aggregates
+
+
+def failed_expectations(expectations: Sequence[Expectation], counts: Mapping[str, int | None]) -> list[str]:
+    """Descriptions of the expectations that the values of :func:`expectation_counts` do not bear out."""
+    return [
+        f"{e.table} where {e.where}: {e.column} is {counts[f'actual{i}']} in {counts[f'rows{i}']} rows, not {e.expected}"
+        for i, e in enumerate(expectations) if not counts[f"rows{i}"] or counts[f"equal{i}"] != counts[f"rows{i}"]
+    ]
+
+
 def stop_on(label: str, violations: DataFrame, shown: int = 20) -> None:
     """Raise :class:`QualityError` if ``violations`` has a row.  Runs a job; at most ``shown`` rows are fetched."""
     found = violations.limit(shown).collect()

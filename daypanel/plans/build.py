@@ -1,7 +1,8 @@
 """The batch job: landed sources in, checked and published tables out.
 
 Every run rebuilds everything into a new folder (full refresh).  Each text source is scanned once,
-in the strict ingest session, and written as its stored table; what follows reads those tables.
+in the strict ingest session, and written as its stored table; what follows reads those tables.  What a source lost on the way, and the
+figures that gates ask for, are observed while its rows pass by.
 """
 
 from __future__ import annotations
@@ -9,15 +10,21 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from daypanel.operators.quality import Expectation, point_expectations, publish_gate, row_count_gate, stop_on
+from daypanel.functions.calendar import day_text
+from daypanel.operators.quality import (
+    Expectation, QualityError, expectation_counts, failed_expectations, point_expectations, publish_gate, row_count_gate, stop_on,
+)
 from daypanel.operators.summaries import row_counts
 from daypanel.plans import case_facts, store
 from daypanel.plans.views import VIEWS, register_views, view
 from daypanel.sources.case_series import scan_case_series
-from daypanel.sources.contract import ROW_ORDER, SourceContract, read_contract
+from daypanel.sources.contract import (
+    FILE, JUDGED, LINE, REASON, ROW_ORDER, SourceContract, judge_contract, judged_schema, normalise, scan_contract, with_row_order,
+)
 from daypanel.sources.contracts import CONTRACTS, LOC_LOOKUP, LOCATION_MAP
 
 # The least rows a complete build of the public sources has.
@@ -36,16 +43,26 @@ HARVEY_EXPECTATIONS = [
 ]
 
 
+@dataclass(frozen=True)
+class Tolerance:
+    """allow_extra: rows with surplus trailing fields are sound.  share: a greater part of rejected rows fails the build."""
+
+    allow_extra: bool = False
+    share: float = 0.0
+
+
 @dataclass(frozen=True)
 class Landing:
     """Where the sources lie: a path per contract name, and the case series in their order of precedence.
 
     multi_line: names of the contracts whose files may hold quoted line breaks.
+    tolerance: for contracts whose damaged rows are put aside instead of failing the build, see :class:`Tolerance`.
     """
 
     text: Mapping[str, str]
     case_series: Sequence[DataFrame] = field(default_factory=tuple)
     multi_line: frozenset[str] = frozenset()
+    tolerance: Mapping[str, Tolerance] = field(default_factory=dict)
 
     @classmethod
     def of_folder(cls, spark: SparkSession, folder: str, case_series: Sequence[str], fmt: str = "parquet",
@@ -63,31 +80,63 @@ def build(spark: SparkSession, landing: Landing, root: str, minimum_rows: Mappin
           expectations: Sequence[Expectation] = ()) -> dict[str, DataFrame]:
     """Build, check and publish all tables under ``root``; returns the published tables.
 
-    A broken rule raises and leaves the published build as it was.
+    A broken rule raises and leaves the published build as it was, and so does a build that another one overtook
+    (:class:`daypanel.plans.store.PublishConflict`).  What the build read, left out and stored is kept with it, see
+    :func:`daypanel.plans.store.open_report`.
     """
-    build_id = store.new_build_id()
+    build_id, follows = store.begin(spark, root)
+    try:
+        tables = _build(spark, landing, root, build_id, minimum_rows or {}, expectations)
+        store.publish(spark, root, build_id, follows)
+    except BaseException:
+        store.give_up(spark, root, build_id)
+        raise
+    return tables
+
+
+def _build(spark: SparkSession, landing: Landing, root: str, build_id: str, minimum_rows: Mapping[str, int],
+           expectations: Sequence[Expectation]) -> dict[str, DataFrame]:
     tables = {"build_meta": store.write_meta(spark, store.table_path(root, build_id, "build_meta"))}
+    report: list[tuple[str, str, int]] = []
     # The text sources do not depend on each other: their jobs share the cluster instead of queueing.
     with ThreadPoolExecutor(len(CONTRACTS)) as pool:
-        ingested = pool.map(lambda c: _ingest(spark, c, landing, root, build_id), CONTRACTS.values())
+        ingested = pool.map(lambda c: _ingest(spark, c, landing, root, build_id, report, expectations), CONTRACTS.values())
         staged = dict(zip(CONTRACTS, ingested))
     tables |= {name: df for name, df in staged.items() if name in store.SCHEMAS}
     fips = case_facts.fips_population(staged["loc_lookup"])
     tables["loc_lookup"] = _write(staged["loc_lookup"].drop(*ROW_ORDER), root, build_id, "loc_lookup")
-    tables |= _build_cases(landing.case_series, staged["location_map"], fips, root, build_id)
-    gates(tables, minimum_rows or {}, expectations)
-    store.publish(spark, root, build_id)
+    tables |= _build_cases(landing.case_series, staged["location_map"], fips, root, build_id, report)
+    _write_report(spark, landing, root, build_id, report)
+    stored = {source: value for source, measure, value in report if measure == "rows_stored"}
+    gates(tables, minimum_rows, [e for e in expectations if e.table not in _IN_PASS], stored)
     return tables
 
 
+def _write_report(spark: SparkSession, landing: Landing, root: str, build_id: str, report: list[tuple[str, str, int]]) -> None:
+    rows = spark.createDataFrame(sorted(report), store.REPORTS["build_report"])
+    store.write_table(rows, store.table_path(root, build_id, "build_report"))
+    empty = spark.createDataFrame([], store.REPORTS["rejects"])
+    kept = [_sorted_out(spark, root, build_id, CONTRACTS[name], True) for name in sorted(landing.tolerance)]
+    store.write_table(reduce(DataFrame.unionByName, kept, empty), store.table_path(root, build_id, "rejects"))
+
+
 def gates(tables: Mapping[str, DataFrame], minimum_rows: Mapping[str, int],
-          expectations: Sequence[Expectation]) -> None:
-    """Row-count and point-value gates over the tables and views."""
+          expectations: Sequence[Expectation], stored: Mapping[str, int] | None = None) -> None:
+    """Row-count and point-value gates over the tables and views.
+
+    stored: rows per stored table, counted when they were written.  What these tell, and the number of rows of views that have a row
+    for every stored one, is not counted again.
+    """
     def named(name: str) -> DataFrame:
         return view(name, tables) if name in VIEWS else tables[name]
 
-    if minimum_rows:
-        counted = row_count_gate(row_counts({n: named(n) for n in minimum_rows}), minimum_rows)
+    known = {n: (stored or {}).get(_ROW_FOR_ROW.get(n, n)) for n in minimum_rows}
+    few = {n: rows for n, rows in known.items() if rows is not None and rows < minimum_rows[n]}
+    if few:
+        raise QualityError(f"too few rows: {few}, at least {({n: minimum_rows[n] for n in few})}")
+    open_ = {n: least for n, least in minimum_rows.items() if known[n] is None}
+    if open_:
+        counted = row_count_gate(row_counts({n: named(n) for n in open_}), open_)
         stop_on("too few rows", counted.where(~F.col("passed")))
     if expectations:
         wanted = {e.table for e in expectations}
@@ -98,40 +147,117 @@ def gates(tables: Mapping[str, DataFrame], minimum_rows: Mapping[str, int],
 def build_and_register(spark: SparkSession, landing: Landing, root: str, **gate_options) -> list[str]:
     """Build, publish, and make tables and views available to ``spark.sql``."""
     build(spark, landing, root, **gate_options)
-    return register_views(spark, store.open_tables(spark, root))
+    return register_views(spark, store.open_tables(spark, root), store.open_dated(spark, root))
 
 
-def _ingest(spark: SparkSession, contract: SourceContract, landing: Landing, root: str, build_id: str) -> DataFrame:
+#: Views with one row for every row of a stored table.
+_ROW_FOR_ROW = {"cdataset": "cdataset_raw", "covidtracking": "covidtracking_raw", "harveycodata": "harveycodata_raw", "rtlive": "rtlive_raw",
+                "owid": "owid_raw"}
+#: Of these, those that only compute columns: their expected values are looked for while the stored rows are written.
+_IN_PASS = {v: _ROW_FOR_ROW[v] for v in ("covidtracking", "harveycodata", "rtlive", "owid")}
+
+
+def _ingest(spark: SparkSession, contract: SourceContract, landing: Landing, root: str, build_id: str, report: list[tuple[str, str, int]],
+            expectations: Sequence[Expectation]) -> DataFrame:
     # Written by the strict session, read back by the caller's.
     ordered = contract in (LOC_LOOKUP, LOCATION_MAP)
-    rows = read_contract(spark, contract, landing.text[contract.name], ordered, contract.name in landing.multi_line)
+    path, lines = landing.text[contract.name], contract.name in landing.multi_line
+    if contract.name in landing.tolerance:
+        scanned = _triaged(spark, contract, landing, root, build_id, report)
+        if ordered:
+            scanned = with_row_order(scanned)
+    else:
+        scanned = scan_contract(spark, contract, path, ordered, lines)
+    seen, kept = Observation(), Observation()
+    first = F.col(contract.fields[0].header)
+    rows = normalise(contract, scanned.observe(seen, F.count("*").alias("rows_read"), F.count_if(first.isNull()).alias("blank_leads")))
+    schema = rows.schema
+    wanted = [e for e in expectations if _IN_PASS.get(e.table) == contract.name]
+    rows = rows.observe(kept, F.count("*").alias("rows_stored"))
+    judged = Observation()
+    if wanted:
+        seen_as = view(wanted[0].table, {contract.name: rows}).observe(judged, *expectation_counts(wanted))
+        rows = seen_as.select(*schema.names)
+    if contract.date_field:
+        rows = _dated(rows, contract.name).repartitionByRange(*_laid_out(contract)).sortWithinPartitions(*_laid_out(contract))
     location = store.table_path(root, build_id, f"{contract.name}_staged" if ordered else contract.name)
-    store.write_table(rows, location, required=contract.required)
-    stored = store.read_table(spark, location, rows.schema)
+    store.write_table(rows, location, required=contract.required, hidden=["date", "date_next"] if contract.date_field else ())
+    found = {**(seen.get if contract.name not in landing.tolerance else {"blank_leads": seen.get["blank_leads"]}), **kept.get}
+    report += [(contract.name, measure, value) for measure, value in found.items()]
+    missed = failed_expectations(wanted, judged.get) if wanted else []
+    if missed:
+        raise QualityError(f"unexpected value: {missed}")
+    stored = store.read_table(spark, location, schema)
     # The location map may repeat a key: its last row is the one that is looked up.
     if contract is not LOCATION_MAP:
         publish_gate(stored, contract.name, contract.key)
     return stored
 
 
-def _write(df: DataFrame, root: str, build_id: str, name: str, required: Sequence[str] = ()) -> DataFrame:
+def _dated(rows: DataFrame, name: str) -> DataFrame:
+    """With the day as text, which SQL filters on dates prune by, and the next day where a view looks for the day before."""
+    texts = {"date": day_text(case_facts.DAY)}
+    if name in store.DELTA_TABLES:
+        texts["date_next"] = day_text(F.col(case_facts.DAY) + 1)
+    return rows.withColumns(texts)
+
+
+def _laid_out(contract: SourceContract) -> list[str]:
+    return list(dict.fromkeys([case_facts.DAY, *contract.key]))
+
+
+def _triaged(spark: SparkSession, contract: SourceContract, landing: Landing, root: str, build_id: str, report: list[tuple[str, str, int]]) -> DataFrame:
+    """The sound rows of a source that may hold others; it is read once and both kinds are kept side by side."""
+    tolerance = landing.tolerance[contract.name]
+    if contract.name in landing.multi_line:
+        raise ValueError(f"{contract.name}: rejects are told by line, so its rows cannot hold line breaks")
+    rows = judge_contract(spark, contract, landing.text[contract.name], tolerance.allow_extra)
+    seen = Observation()
+    rows = rows.observe(seen, F.count("*").alias("rows_read"), F.count_if(F.col(REASON).isNotNull()).alias("rejects"))
+    path = store.table_path(root, build_id, f"{contract.name}_triaged")
+    rows.withColumn("rejected", F.col(REASON).isNotNull()).write.partitionBy("rejected").parquet(path)
+    n, bad = seen.get["rows_read"], seen.get["rejects"]
+    report += [(contract.name, "rows_read", n), (contract.name, "rejects", bad)]
+    if bad > tolerance.share * n:
+        raise QualityError(f"{contract.name}: {bad} of {n} rows rejected, at most {tolerance.share:.2%} may be")
+    return _sorted_out(spark, root, build_id, contract, False)
+
+
+def _sorted_out(spark: SparkSession, root: str, build_id: str, contract: SourceContract, rejected: bool) -> DataFrame:
+    path = store.table_path(root, build_id, f"{contract.name}_triaged")
+    schema = judged_schema(contract).add("rejected", "boolean")
+    rows = spark.read.schema(schema).parquet(path).where(F.col("rejected") == rejected)
+    if rejected:
+        return rows.select(F.lit(contract.name).alias("source"), F.col(FILE).alias("file"), F.col(LINE).alias("line"), F.col(REASON).alias("reason"))
+    return rows.select(*contract.schema.names, *JUDGED)
+
+
+def _write(df: DataFrame, root: str, build_id: str, name: str, required: Sequence[str] = (), hidden: Sequence[str] = ()) -> DataFrame:
     path = store.table_path(root, build_id, name)
-    return store.write_table(df, path, store.PARTITIONS.get(name, ()), required=required)
+    return store.write_table(df, path, store.PARTITIONS.get(name, ()), required=required, hidden=hidden)
 
 
 def _build_cases(case_series: Sequence[DataFrame], location_rows: DataFrame, fips: DataFrame, root: str,
-                 build_id: str) -> dict[str, DataFrame]:
+                 build_id: str, report: list[tuple[str, str, int]]) -> dict[str, DataFrame]:
+    def counted(name: str, df: DataFrame, **write) -> DataFrame:
+        seen = Observation()
+        out = _write(df.observe(seen, F.count("*").alias("n")), root, build_id, name, **write)
+        report.append((name.removesuffix("_staged"), "rows_stored", seen.get["n"]))
+        return out
+
     # Written once: every later step reads the same rows, and the sources no more.
-    series = _write(case_facts.prepare_sources(case_series), root, build_id, "case_series_staged")
+    series = counted("case_series_staged", case_facts.prepare_sources(case_series))
     stop_on("case series", case_facts.series_violations(case_facts.series_spans(series)))
     locations = case_facts.extend_locations(case_facts.base_locations(location_rows), series)
     # Written once, with the key that the facts are looked up by; the stored dimension leaves it out.
     locations = _write(locations, root, build_id, "cdataset_loc_staged")
     dimension = locations.select(*case_facts.CDATASET_LOC)
-    dimension = _write(dimension, root, build_id, "cdataset_loc", case_facts.CDATASET_LOC_REQUIRED)
+    dimension = counted("cdataset_loc", dimension, required=case_facts.CDATASET_LOC_REQUIRED)
     publish_gate(dimension, "cdataset_loc", ["locid"])
-    keys = _write(case_facts.location_keys(locations, fips), root, build_id, "location_keys_staged")
+    keys = counted("location_keys_staged", case_facts.location_keys(locations, fips))
+    by_measure = {(source, measure): value for source, measure, value in report}
+    report.append(("location_map", "repeated_keys", by_measure["cdataset_loc", "rows_stored"] - by_measure["location_keys", "rows_stored"]))
     # Gap filling refuses duplicate keys, and no two sources cover the same days: the key is unique.
-    facts = case_facts.by_day(case_facts.facts(series, keys))
-    facts = _write(facts, root, build_id, "cdataset_raw", case_facts.CDATASET_RAW_REQUIRED)
+    facts = case_facts.by_day(_dated(case_facts.facts(series, keys), "cdataset_raw"))
+    facts = counted("cdataset_raw", facts, required=case_facts.CDATASET_RAW_REQUIRED, hidden=["date"])
     return {"cdataset_loc": dimension, "cdataset_raw": facts}

@@ -37,3 +37,11 @@ SCHEMAS: dict[str, T.StructType] = {
     ]),
     "cdataset_raw": T.StructType([T.StructField(c, _facts(c), c not in CDATASET_RAW_REQUIRED) for c in CDATASET_RAW]),
 }
+
+#: Panels from which a view takes the difference to the day before.
+DELTA_TABLES = ("nytcounties_raw",)
+#: What a build says about itself, beside the stored tables.
+REPORTS: dict[str, T.StructType] = {
+    "build_report": T.StructType([T.StructField("source", T.StringType()), T.StructField("measure", T.StringType()), T.StructField("value", T.LongType())]),
+    "rejects": T.StructType([T.StructField(c, T.StringType()) for c in ("source", "file", "line", "reason")]),
+}

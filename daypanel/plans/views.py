@@ -1,8 +1,8 @@
 """The seven views, each a thin composition over the stored tables.
 
 Every view takes its stored tables as DataFrames.  ``days=(first, last)`` limits a view to a span of
-days with a predicate on the stored integer day, so that the scan is pruned; filtering the finished
-view by its text column ``date`` gives the same rows but reads every day.
+days with a predicate on the stored integer day, so that the scan is pruned.  Over tables with a stored text ``date``
+(:func:`daypanel.plans.store.open_dated`) SQL filters on the view's ``date`` prune the scan as well.
 """
 
 from __future__ import annotations
@@ -83,7 +83,14 @@ def nytcounties(nytcounties_raw: DataFrame, loc_lookup: DataFrame, days: Days =
     if days is not None:
         first, last = to_julian(days[0]), to_julian(days[1])
         raw = on_days(raw, first - 1, last)
-    with_delta = prev_day_delta(raw, ["state", "county"], DAY, COUNTY_DELTAS)
+    if "date_next" in raw.columns:
+        # A join by the day's text instead of a window: a filter on the finished view's date is inferred for both sides and reaches both
+        # scans.  A build makes sure that there is one row a county and day.
+        before = raw.select("state", "county", F.col("date_next").alias("date"), *[F.col(c).alias(f"{c}_before") for c in COUNTY_DELTAS])
+        joined = raw.join(before, ["state", "county", "date"], "left")
+        with_delta = joined.select(*raw.columns, *[(F.col(c) - F.col(f"{c}_before")).alias(out) for c, out in COUNTY_DELTAS.items()])
+    else:
+        with_delta = prev_day_delta(raw, ["state", "county"], DAY, COUNTY_DELTAS)
     coded = _within(with_delta, days).where(F.col("fips").isNotNull())
     with_population = lookup_left_join(coded, loc_lookup, "fips", ["population"], spread_nulls=False)
     leading = ["population", *COUNTY_DELTAS.values()]
@@ -102,7 +109,8 @@ def covidtracking(covidtracking_raw: DataFrame, days: Days = None) -> DataFrame:
 
 def covidtracking_us(covidtracking_raw: DataFrame, days: Days = None) -> DataFrame:
     """Daily national sums (43 columns).  The date parts follow from the day, so the day alone is grouped by."""
-    sums = daily_rollup(_within(covidtracking_raw, days), [DAY], US_SUMS)
+    stored = [c for c in ("date",) if c in covidtracking_raw.columns]
+    sums = daily_rollup(_within(covidtracking_raw, days), [DAY, *stored], US_SUMS)
     dated = with_date_parts(sums)
     return dated.select("date", DAY, "date_year", "date_month", "date_day", *US_SUMS.values())
 
@@ -128,10 +136,13 @@ def view(name: str, tables: Mapping[str, DataFrame], days: Days = None) -> DataF
     return make(*[tables[t] for t in inputs], days=days)
 
 
-def register_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> list[str]:
-    """Make the stored tables and the views available to ``spark.sql``; returns the names."""
+def register_views(spark: SparkSession, tables: Mapping[str, DataFrame], dated: Mapping[str, DataFrame] | None = None) -> list[str]:
+    """Make the stored tables and the views available to ``spark.sql``; returns the names.
+
+    dated: the tables with their stored text dates, for views that SQL filters on ``date`` prune.
+    """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     for name in VIEWS:
-        view(name, tables).createOrReplaceTempView(name)
+        view(name, dated or tables).createOrReplaceTempView(name)
     return [*tables, *VIEWS]

@@ -27,6 +27,8 @@ _UNSIGNED = {U32: UINT32_MAX, U64: INT64_MAX}
 
 ROW_ORDER = ["__file", "__block", "__row"]
 _CORRUPT = "_corrupt_record"
+# Beside the fields of a judged row: where it stood, its line, and why it is no sound row (NULL if it is one).
+FILE, BLOCK, PLACE, LINE, REASON = JUDGED = ["_file", "_block", "_place", "_line", "_reason"]
 _ONE_FILE = str(1 << 36)
 _REFUSED = "CSV header does not conform"
 
@@ -152,12 +154,7 @@ def triage_contract(spark: SparkSession, contract: SourceContract, path: str,
     surplus ignored, as long as it decodes otherwise.
     """
     check_headers(spark, contract, path)
-    schema = contract.schema.add(_CORRUPT, T.StringType())
-    rows = (
-        _reader(ingest_session(spark), contract, False)
-        .schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
-    )
-    rows = _needing_all(rows)
+    rows = _needing_all(_permissive(spark, contract).csv(path))
     bad = F.col(_CORRUPT).isNotNull()
     if allow_extra:
         bad = bad & _undecodable(contract)
@@ -165,6 +162,64 @@ def triage_contract(spark: SparkSession, contract: SourceContract, path: str,
     return good, rows.where(bad).select(F.col(contract.fields[0].header).alias("first_field"), _CORRUPT)
 
 
+def judge_contract(spark: SparkSession, contract: SourceContract, path: str, allow_extra: bool = False) -> DataFrame:
+    """Every row of a source in one scan: its fields, and ``JUDGED``, which says where it stood and why it is no sound row.
+
+    A rejected row's fields are what could be decoded.  A row that lacks a required field or has one out of its range is rejected too.  Rows with an
+    empty first field are sound: they are dropped later, as in any scan.
+    """
+    check_headers(spark, contract, path)
+    rows = _needing_all(_permissive(spark, contract).csv(path))
+    flagged = F.col(_CORRUPT).isNotNull()
+    n_fields = _field_count(contract)
+    width = len(contract.header)
+    lost = [F.when(c, F.lit(name)) for name, c in _lost_fields(contract).items()]
+    broken = {f.header: _out_of_contract(f) for f in contract.fields}
+    broken = [F.when(c, F.lit(name)) for name, c in broken.items() if c is not None]
+    dropped = F.col(contract.fields[0].header).isNull()
+    reason = (
+        F.when(flagged & (n_fields < width), F.lit("too few fields"))
+        .when(flagged & (F.size(F.array_compact(F.array(*lost))) > 0 if lost else F.lit(False)),
+              F.concat(F.lit("not of the type: "), F.array_join(F.array(*lost), ", ")))
+        .when(flagged & (n_fields > width) & F.lit(not allow_extra), F.lit("too many fields"))
+        .when(flagged & (n_fields == width), F.lit("malformed"))
+    )
+    if broken:
+        missing = F.array_join(F.array(*broken), ", ")
+        reason = F.coalesce(reason, F.when(~dropped & (missing != ""), F.concat(F.lit("missing or out of range: "), missing)))
+    return rows.select(
+        *contract.schema.names, F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(BLOCK),
+        F.monotonically_increasing_id().alias(PLACE), F.when(reason.isNotNull(), F.coalesce(_CORRUPT, F.to_json(F.struct(*contract.schema.names)))).alias(LINE),
+        reason.alias(REASON))
+
+
+def judged_schema(contract: SourceContract) -> T.StructType:
+    kinds = (T.StringType(), T.LongType(), T.LongType(), T.StringType(), T.StringType())
+    return T.StructType([*contract.schema.fields, *[T.StructField(n, k) for n, k in zip(JUDGED, kinds)]])
+
+
+def with_row_order(rows: DataFrame) -> DataFrame:
+    """Judged rows with ``ROW_ORDER``."""
+    return rows.withColumnsRenamed(dict(zip((FILE, BLOCK, PLACE), ROW_ORDER)))
+
+
+def _permissive(spark: SparkSession, contract: SourceContract):
+    schema = contract.schema.add(_CORRUPT, T.StringType())
+    return (
+        _reader(ingest_session(spark), contract, False)
+        .schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
+    )
+
+
+def _out_of_contract(f: Field) -> Column | None:
+    """Whether a field lacks a value it must have or lies outside its range; None if it may be anything."""
+    c = F.col(f.header)
+    rules = [] if f.optional or f.kind == TEXT else [c.isNull()]
+    if f.kind in _UNSIGNED:
+        rules.append(~c.between(0, _UNSIGNED[f.kind]))
+    return reduce(or_, [F.coalesce(r, F.lit(False)) for r in rules]) if rules else None
+
+
 def _reader(strict: SparkSession, contract: SourceContract, multi_line: bool):
     reader = strict.read.option("header", True).option("enforceSchema", False).option("sep", contract.separator)
     for key, value in _quoting(contract).items():
@@ -189,17 +244,20 @@ def _needing_all(df: DataFrame) -> DataFrame:
 
 def _undecodable(contract: SourceContract) -> Column:
     """Whether a flagged row is wrong beyond having surplus fields: too short, or a field that lost its value."""
-    line = F.col(_CORRUPT)
+    return reduce(or_, _lost_fields(contract).values(), _field_count(contract) < len(contract.header))
+
+
+def _field_count(contract: SourceContract) -> Column:
     # Quoted stretches may hold separators, which do not count.
     plain = f"\\Q{contract.separator}\\E"  # not as a regular expression
-    fields = F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), plain, -1))
+    return F.size(F.split(F.regexp_replace(F.col(_CORRUPT), '"[^"]*"', ""), plain, -1))
+
+
+def _lost_fields(contract: SourceContract) -> dict[str, Column]:
+    """For each field that is no text: whether a flagged row has something there that did not become a value."""
     as_text = T.StructType([T.StructField(h, T.StringType()) for h in contract.header])
-    text = F.from_csv(line, as_text.simpleString(), {"sep": contract.separator, **_quoting(contract)})
-    lost = [
-        text[f.name].isNotNull() & F.col(f.name).isNull()
-        for f in contract.schema if not isinstance(f.dataType, T.StringType)
-    ]
-    return reduce(or_, lost, fields < len(contract.header))
+    text = F.from_csv(F.col(_CORRUPT), as_text.simpleString(), {"sep": contract.separator, **_quoting(contract)})
+    return {f.name: text[f.name].isNotNull() & F.col(f.name).isNull() for f in contract.schema if not isinstance(f.dataType, T.StringType)}
 
 
 def _with_order(df: DataFrame) -> DataFrame:

@@ -6,13 +6,15 @@ computed by Spark from the given tables, so they grow with those.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daypanel.functions.calendar import julian_day
 from daypanel.functions.numeric import round_half_away
-from daypanel.plans.build import Landing, build
+from daypanel.plans.build import Landing, Tolerance, build
+from daypanel.plans.catalog_views import publish_catalog
 from daypanel.session import scratch_path
 from daypanel.sources.case_series import MANDATORY, OPTIONAL
 from daypanel.sources.contract import INT, SourceContract
@@ -301,6 +303,54 @@ def built_root(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "build", run)
 
 
+def damaged_counties(spark: SparkSession, sf_dir: str) -> str:
+    """The county source, in which every seventh user's lines have a field too many, two too few, or text for a number."""
+    def field(c: str) -> Column:
+        return F.coalesce(_text(c), F.lit(""))
+
+    county = F.concat(F.lit('"'), F.replace("county", F.lit('"'), F.lit('""')), F.lit('"'))
+    start = [field("date"), county, field("state"), field("fips")]
+    kind = F.regexp_extract("county", "([0-9]+)$", 1).cast("int") % 7
+    line = (
+        F.when(kind == 1, F.concat_ws(",", *start, field("cases"), field("deaths"), F.lit("surplus")))
+        .when(kind == 2, F.concat_ws(",", *start))
+        .when(kind == 3, F.concat_ws(",", *start, F.lit("many"), field("deaths")))
+        .otherwise(F.concat_ws(",", *start, field("cases"), field("deaths")))
+    )
+
+    def write() -> str:
+        path = scratch_path(spark, "damaged_counties")
+        # The column's name is the header line of every file.
+        lines = nytcounties_rows(spark, sf_dir).select(line.alias(",".join(NYTCOUNTIES.header)))
+        lines.write.option("header", True).option("sep", "\u0001").option("quote", "").option("escapeQuotes", False).csv(path)
+        return path
+
+    return _once(spark, sf_dir, "damaged", write)
+
+
+def twice_built_root(spark: SparkSession, sf_dir: str) -> str:
+    """Root of two published builds: the first over a damaged county source, of which up to half may be rejected, the second over a sound one."""
+    def run() -> str:
+        root = scratch_path(spark, "store")
+        sound = landing(spark, sf_dir)
+        text = {**sound.text, NYTCOUNTIES.name: damaged_counties(spark, sf_dir)}
+        build(spark, Landing(text, sound.case_series, tolerance={NYTCOUNTIES.name: Tolerance(allow_extra=True, share=0.5)}), root)
+        build(spark, sound, root)
+        return root
+
+    return _once(spark, sf_dir, "built twice", run)
+
+
+def catalog_database(spark: SparkSession, sf_dir: str) -> str:
+    """The published build in the catalog."""
+    def run() -> str:
+        database = f"panels_{uuid.uuid4().hex}"
+        publish_catalog(spark, built_root(spark, sf_dir), database)
+        return database
+
+    return _once(spark, sf_dir, "catalog", run)
+
+
 def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]):
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _done:

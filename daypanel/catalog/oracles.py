@@ -492,3 +492,50 @@ _STORED_COUNTS = f"with {_FACTS}, {_NYT}, {_HARVEY}, stored as (" + " union all
 ) + ")"
 ORACLES["build_meta"] = f"{_STORED_COUNTS} select *, '2' as schemaver from stored"
 ORACLES["publish_gate"] = f"{_STORED_COUNTS} select *, true as stopped, true as unchanged from stored"
+
+# --- Reports, commits, permanent views, buckets --------------------------------------------------
+
+ORACLES["ragged_build"] = f"""
+    with {_NYT.split(', nyt as')[0]}, lines as (
+        select user_id, strftime(day, '%Y-%m-%d') || ',"County ""No"", ' || user_id || '",S' || (user_id % 50) || ','
+               || case when user_id % 11 <> 0 then cast(user_id as varchar) else '' end as start,
+               case when n % 3 <> 0 then cast(n - 1 as varchar) else '' end as deaths from dp)
+    select 'nytcounties_raw' as source, start as line, 'too few fields' as reason from lines where user_id % 7 = 2
+    union all select 'nytcounties_raw', start || ',many,' || deaths, 'not of the type: cases' from lines where user_id % 7 = 3"""
+_SOUND_COUNTIES = "select * from dp where user_id % 7 not in (2, 3)"
+_WORLD = "select * from dp where user_id % 13 <> 0"
+_REPORT = {
+    **{(t, m): f"select * from {rows}" for t, rows in {
+        "covidtracking_raw": "dp", "harveycodata_raw": "harvey", "rtlive_raw": "dp", "loc_lookup": "lookup", "location_map": "base"}.items()
+       for m in ("rows_read", "rows_stored")},
+    **{(t, "blank_leads"): "select 1 where false" for t in (
+        "covidtracking_raw", "harveycodata_raw", "rtlive_raw", "loc_lookup", "location_map", "nytcounties_raw")},
+    ("owid_raw", "rows_read"): "select * from dp", ("owid_raw", "blank_leads"): "select * from dp where user_id % 13 = 0",
+    ("owid_raw", "rows_stored"): _WORLD,
+    ("nytcounties_raw", "rows_read"): "select * from dp", ("nytcounties_raw", "rejects"): "select * from dp where user_id % 7 in (2, 3)",
+    ("nytcounties_raw", "rows_stored"): _SOUND_COUNTIES,
+    ("location_map", "repeated_keys"): "select location_key, unnest(range(count(*) - 1)) from base group by 1",
+    ("case_series", "rows_stored"): "select * from series", ("cdataset_loc", "rows_stored"): "select * from dimension",
+    ("location_keys", "rows_stored"): "select distinct location_key from dimension", ("cdataset_raw", "rows_stored"): "select * from facts",
+}
+ORACLES["build_report"] = f"with {_FACTS}, {_NYT}, {_HARVEY} " + " union all ".join(
+    f"select '{t}' as source, '{m}' as measure, (select count(*) from ({q})) as value" for (t, m), q in _REPORT.items())
+ORACLES["former_build"] = f"""{_STORED_COUNTS} select table_name, case when table_name = 'nytcounties_raw'
+    then (select count(*) from ({_SOUND_COUNTIES})) else row_count end as row_count from stored"""
+ORACLES["replaced_build"] = f"{_STORED_COUNTS} select *, '1,2' as commits from stored"
+
+
+def _of_views(where: str) -> str:
+    names = ("cdataset", "harveycodata", "nytcounties", "rtlive", "covidtracking", "covidtracking_us", "owid")
+    return " union all ".join(
+        f"""select '{v}' as view_name, count(*) as n_rows, count(distinct date) as n_days, min(date) as first_day, max(date_julian) as last_day
+            from ({ORACLES[f'view_{v}']}) where {where}""" for v in names)
+
+
+ORACLES["permanent_views"] = _of_views("true")
+ORACLES["filter_day_views"] = _of_views("date = '2024-01-11'")
+ORACLES["filter_days_counties"] = ORACLES["nytcounties_days"]
+ORACLES["stored_delta"] = f"with {P} select a.*, {_delta('n', ['user_id'])}, {_delta('cents', ['user_id'])} from P a"
+ORACLES["stored_fill"] = ORACLES["gap_fill"]
+ORACLES["replaced_bytes"] = """
+    select c_custkey as orderkey, 'caf' || chr(65533) || ' ' || c_mktsegment as status, cast(c_nationkey as bigint) as custkey from customer"""

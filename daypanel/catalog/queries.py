@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -644,6 +645,86 @@ def cdataset_loc(spark, sf_dir):
     return store.open_tables(spark, inputs.built_root(spark, sf_dir))["cdataset_loc"]
 
 
+@query
+def ragged_build(spark, sf_dir):
+    """What a build over a damaged source put aside, and why."""
+    rejects = store.open_report(spark, inputs.twice_built_root(spark, sf_dir), 1)["rejects"]
+    return rejects.select("source", "line", "reason")
+
+
+@query
+def build_report(spark, sf_dir):
+    """What the same build read, left out and stored."""
+    return store.open_report(spark, inputs.twice_built_root(spark, sf_dir), 1)["build_report"]
+
+
+@query
+def former_build(spark, sf_dir):
+    """The tables of that build, which another has replaced."""
+    return summaries.row_counts(store.open_tables(spark, inputs.twice_built_root(spark, sf_dir), 1))
+
+
+@query
+def replaced_build(spark, sf_dir):
+    """The tables of the build that replaced it, with all commits there are."""
+    root = inputs.twice_built_root(spark, sf_dir)
+    numbers = F.lit(",".join(map(str, store.commits(spark, root))))
+    return summaries.row_counts(store.open_tables(spark, root)).withColumn("commits", numbers)
+
+
+def _in_other_session(spark, sf_dir, where: str) -> DataFrame:
+    """Rows, days and days' range of every view in the catalog, asked for by SQL in a session of its own."""
+    database, session = inputs.catalog_database(spark, sf_dir), spark.newSession()
+    return session.sql(" union all ".join(
+        f"select '{v}' as view_name, count(*) as n_rows, count(distinct date) as n_days, min(date) as first_day, max(date_julian) as last_day "
+        f"from {database}.{v} where {where}" for v in VIEWS))
+
+
+@query
+def permanent_views(spark, sf_dir):
+    """The seven views as another session sees them."""
+    return _in_other_session(spark, sf_dir, "true")
+
+
+@query
+def filter_day_views(spark, sf_dir):
+    """A user's filter on the text date of every view, which reaches the files."""
+    return _in_other_session(spark, sf_dir, "date = '2024-01-11'")
+
+
+@query
+def filter_days_counties(spark, sf_dir):
+    """A span of text dates of the county view, with the deltas of its first day."""
+    return spark.sql(f"select * from {inputs.catalog_database(spark, sf_dir)}.nytcounties where date between '2024-01-10' and '2024-01-12'")
+
+
+def _bucketed(spark, daily: DataFrame) -> DataFrame:
+    name = f"panel_{uuid.uuid4().hex}"
+    return store.write_bucketed(daily, name, scratch_path(spark, name), ["user_id"], "jd", 8)
+
+
+@query
+def stored_delta(spark, sf_dir):
+    """Deltas over a panel stored in buckets by entity: no shuffle."""
+    return panel.prev_day_delta(_bucketed(spark, event_panel(spark, sf_dir)), ["user_id"], "jd", DELTAS)
+
+
+@query
+def stored_fill(spark, sf_dir):
+    """Gap filling over the same."""
+    return panel.forward_fill_gaps(_bucketed(spark, _with_roles(event_panel(spark, sf_dir))), ["user_id"], "jd", **FILL)
+
+
+@query
+def replaced_bytes(spark, sf_dir):
+    """A source that is not the UTF-8 it is read as: its other bytes are kept as U+FFFD, and no row is lost."""
+    path = scratch_path(spark, "other_bytes")
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("orderkey"), F.concat(F.lit("caf\u00e9 "), "c_mktsegment").alias("status"), F.col("c_nationkey").alias("custkey"))
+    customers.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    return read_contract(spark, ORDER_LINES, path)
+
+
 @query
 def views_registered(spark, sf_dir):
     """A user's SQL over the registered view."""

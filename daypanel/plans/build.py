@@ -150,6 +150,7 @@ def build_and_register(spark: SparkSession, landing: Landing, root: str, **gate_
     return register_views(spark, store.open_tables(spark, root), store.open_dated(spark, root))
 
 
+_FILES_PER_DAY = 8
 #: Views with one row for every row of a stored table.
 _ROW_FOR_ROW = {"cdataset": "cdataset_raw", "covidtracking": "covidtracking_raw", "harveycodata": "harveycodata_raw", "rtlive": "rtlive_raw",
                 "owid": "owid_raw"}
@@ -179,7 +180,7 @@ def _ingest(spark: SparkSession, contract: SourceContract, landing: Landing, roo
         seen_as = view(wanted[0].table, {contract.name: rows}).observe(judged, *expectation_counts(wanted))
         rows = seen_as.select(*schema.names)
     if contract.date_field:
-        rows = _dated(rows, contract.name).repartitionByRange(*_laid_out(contract)).sortWithinPartitions(*_laid_out(contract))
+        rows = _by_day(_dated(rows, contract.name), contract)
     location = store.table_path(root, build_id, f"{contract.name}_staged" if ordered else contract.name)
     store.write_table(rows, location, required=contract.required, hidden=["date", "date_next"] if contract.date_field else ())
     found = {**(seen.get if contract.name not in landing.tolerance else {"blank_leads": seen.get["blank_leads"]}), **kept.get}
@@ -202,8 +203,13 @@ def _dated(rows: DataFrame, name: str) -> DataFrame:
     return rows.withColumns(texts)
 
 
-def _laid_out(contract: SourceContract) -> list[str]:
-    return list(dict.fromkeys([case_facts.DAY, *contract.key]))
+def _by_day(rows: DataFrame, contract: SourceContract) -> DataFrame:
+    """Rows as they are laid out: a day is in few files, whose dictionaries tell a filter so, and in few row groups of each.
+
+    By hash: ranges would be found by a sample, which reads the source once more and counts it twice.  A hot day is spread over several tasks.
+    """
+    spread = F.pmod(F.xxhash64(*contract.key), F.lit(_FILES_PER_DAY))
+    return rows.repartition(F.col(case_facts.DAY), spread).sortWithinPartitions(*dict.fromkeys([case_facts.DAY, *contract.key]))
 
 
 def _triaged(spark: SparkSession, contract: SourceContract, landing: Landing, root: str, build_id: str, report: list[tuple[str, str, int]]) -> DataFrame:

@@ -515,7 +515,8 @@ _REPORT = {
     ("nytcounties_raw", "rows_read"): "select * from dp", ("nytcounties_raw", "rejects"): "select * from dp where user_id % 7 in (2, 3)",
     ("nytcounties_raw", "rows_stored"): _SOUND_COUNTIES,
     ("location_map", "repeated_keys"): "select location_key, unnest(range(count(*) - 1)) from base group by 1",
-    ("case_series", "rows_stored"): "select * from series", ("cdataset_loc", "rows_stored"): "select * from dimension",
+    ("case_series", "rows_stored"): "select * from series",
+    ("case_series", "rows_of_new_keys"): "select * from series where location_key not in (select location_key from base)", ("cdataset_loc", "rows_stored"): "select * from dimension",
     ("location_keys", "rows_stored"): "select distinct location_key from dimension", ("cdataset_raw", "rows_stored"): "select * from facts",
 }
 ORACLES["build_report"] = f"with {_FACTS}, {_NYT}, {_HARVEY} " + " union all ".join(

@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from daypanel.functions.calendar import day_text
 from daypanel.operators.quality import (
@@ -245,16 +245,20 @@ def _write(df: DataFrame, root: str, build_id: str, name: str, required: Sequenc
 
 def _build_cases(case_series: Sequence[DataFrame], location_rows: DataFrame, fips: DataFrame, root: str,
                  build_id: str, report: list[tuple[str, str, int]]) -> dict[str, DataFrame]:
-    def counted(name: str, df: DataFrame, **write) -> DataFrame:
+    def counted(name: str, df: DataFrame, *more: Column, **write) -> DataFrame:
         seen = Observation()
-        out = _write(df.observe(seen, F.count("*").alias("n")), root, build_id, name, **write)
-        report.append((name.removesuffix("_staged"), "rows_stored", seen.get["n"]))
+        out = _write(df.observe(seen, F.count("*").alias("rows_stored"), *more), root, build_id, name, **write)
+        report.extend((name.removesuffix("_staged"), measure, value) for measure, value in seen.get.items())
         return out
 
-    # Written once: every later step reads the same rows, and the sources no more.
-    series = counted("case_series_staged", case_facts.prepare_sources(case_series))
+    # Written once: every later step reads the same rows, and the sources no more.  Rows of unknown locations are found on the way.
+    flagged = case_facts.flag_unknown(case_facts.prepare_sources(case_series), location_rows)
+    series = counted("case_series_staged", flagged, F.count_if(case_facts.IS_NEW).alias("rows_of_new_keys"))
     stop_on("case series", case_facts.series_violations(case_facts.series_spans(series)))
-    locations = case_facts.extend_locations(case_facts.base_locations(location_rows), series)
+    locations = case_facts.base_locations(location_rows)
+    if dict(((s, m), v) for s, m, v in report)["case_series", "rows_of_new_keys"]:
+        locations = case_facts.extend_locations(locations, series)
+    series = series.drop(case_facts.IS_NEW)
     # Written once, with the key that the facts are looked up by; the stored dimension leaves it out.
     locations = _write(locations, root, build_id, "cdataset_loc_staged")
     dimension = locations.select(*case_facts.CDATASET_LOC)

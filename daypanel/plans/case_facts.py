@@ -17,6 +17,7 @@ from daypanel.sources.contract import ROW_ORDER
 DAY = "date_julian"
 HORIZON = "horizon"
 NEXT = "next_day"
+IS_NEW = "is_new"
 SERIES_KEY = [SOURCE, "dataset", "location_key", DAY]
 
 # Columns of the fact table by their role on an added day, and in table order.
@@ -73,6 +74,16 @@ def prepare_sources(sources: Sequence[DataFrame]) -> DataFrame:
     return union_sources(prepared)
 
 
+def flag_unknown(series: DataFrame, location_rows: DataFrame) -> DataFrame:
+    """``series`` with ``is_new``: whether the location map lacks the row's key.
+
+    Written with the rows, the flag lets a later search for new locations skip the files and row groups that hold none.
+    """
+    known = location_rows.select("location_key", F.lit(True).alias("known")).where(F.col("location_key").isNotNull()).distinct()
+    joined = series.join(known, "location_key", "left")
+    return joined.select(*series.columns, F.col("known").isNull().alias(IS_NEW))
+
+
 def series_spans(series: DataFrame) -> DataFrame:
     """Per dataset, location and source: the days its filled rows will cover.  Reduced in each task."""
     stated = julian_day(parse_day("date"))
@@ -102,8 +113,11 @@ def extend_locations(base: DataFrame, series: DataFrame) -> DataFrame:
     """``base`` plus the locations that only the case series know.
 
     New ids follow the order of first appearance: source, then dataset, location and day.  A new
-    location has no county code, and its attributes are those of its first row.
+    location has no county code, and its attributes are those of its first row.  Of series that :func:`flag_unknown` has seen only the
+    flagged rows are read.
     """
+    if IS_NEW in series.columns:
+        series = series.where(IS_NEW)
     attributes = {new: null_to_empty(F.col(old)) for new, old in NEW_LOCATION.items()}
     rows = series.select(SOURCE, "dataset", "location_key", DAY, *[c.alias(n) for n, c in attributes.items()])
     extended = upsert_dimension(

@@ -206,3 +206,18 @@ def test_gates_go_by_what_was_written(spark, series, tmp_path, monkeypatch):
         build(spark, landing, str(tmp_path / "s"), expectations=[Expectation("harveycodata", "date = '2020-08-15'", "harveyco_neg_results", 27)])
     with pytest.raises(QualityError, match="in 0 rows"):
         build(spark, landing, str(tmp_path / "s"), expectations=[Expectation("harveycodata", "date = '1999-01-01'", "harveyco_neg_results", None)])
+
+
+def test_without_new_locations_no_fact_is_read_for_them(spark, tmp_path, monkeypatch, rows):
+    from daypanel.plans import build as job, case_facts
+
+    asked = []
+    extend = case_facts.extend_locations
+    monkeypatch.setattr(case_facts, "extend_locations", lambda base, facts: asked.append(facts) or extend(base, facts))
+    known = [_series(spark, [("d1", "a", "2020-03-14", 10, None), ("d2", "b", "2020-03-12", 7, None)])]
+    tables = job.build(spark, Landing(_text(tmp_path), known), str(tmp_path / "s"))
+    assert not asked and rows(tables["cdataset_loc"], "locid") == [(1,), (2,), (3,)]
+    some = [_series(spark, [("d1", "a", "2020-03-14", 10, None), ("d1", "z", "2020-03-12", 7, None)])]
+    tables = job.build(spark, Landing(_text(tmp_path), some), str(tmp_path / "s"))
+    assert rows(tables["cdataset_loc"], "locid") == [(1,), (2,), (3,), (4,)]
+    assert any("EqualTo(is_new,true)" in f for f in pushed(asked[0].where("is_new")))

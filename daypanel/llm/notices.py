@@ -40,6 +40,21 @@ NOTICES = (
     Notice("cc-by-nc-notice", "licensed under cc by nc 4 0", 2),
     Notice("bsd-notice", "redistribution and use in source and binary forms with or without modification are permitted", 8),
     Notice("all-rights-notice", "all rights reserved", 1),
+    Notice("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy of this software", 8),
+    Notice("isc-grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 10),
+    Notice("mpl-2.0-notice", "this source code form is subject to the terms of the mozilla public license", 6),
+    Notice("lgpl-notice", "gnu lesser general public license", 3),
+    Notice("agpl-notice", "gnu affero general public license", 3),
+    Notice("gpl-2-later-notice", "either version 2 of the license or at your option any later version", 6),
+    Notice("cc-by-notice", "licensed under a creative commons attribution 4 0 international license", 6),
+    Notice("cc-by-sa-notice", "creative commons attribution sharealike", 3),
+    Notice("cc0-notice", "to the extent possible under law the author has waived all copyright", 6),
+    Notice("unlicense-notice", "this is free and unencumbered software released into the public domain", 6),
+    Notice("boost-notice", "distributed under the boost software license", 4),
+    Notice("eclipse-notice", "under the terms of the eclipse public license", 4),
+    Notice("zlib-notice", "altered source versions must be plainly marked as such", 5),
+    Notice("as-is-notice", "provided as is without warranty of any kind", 4),
+    Notice("spdx-tag", "spdx license identifier", 2),
 )
 
 _WORD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
@@ -65,9 +80,10 @@ def phrase_places(line: str) -> list[tuple[int, str]]:
     """``first word, label`` of every place of a base phrase in a normalised text."""
     padded, out = f" {line} ", []
     for phrase, label in PHRASES.items():
-        needle, at = f" {phrase} ", -1
+        needle, at, word, counted = f" {phrase} ", -1, 0, 0
         while (at := padded.find(needle, at + 1)) >= 0:
-            out.append((padded.count(" ", 0, at), label))
+            word, counted = word + padded.count(" ", counted, at), at
+            out.append((word, label))
     return out
 
 
@@ -88,19 +104,33 @@ def notice_hits(line: str, notices: Sequence[Notice] = NOTICES) -> list[Hit]:
                 regions[-1][1] = max(regions[-1][1], hi)
             else:
                 regions.append([lo, hi])
+        word = counted = 0
         for lo, hi in regions:
-            for m in _matches(pattern, line, lo, hi, len(notice.words) - notice.errors):
+            for m in _hits(pattern, line, lo, hi, len(notice.words) - notice.errors, reach):
                 a, b = m.span()
                 while a < b and line[a] == " ":
                     a += 1
                 while b > a and line[b - 1] == " ":
                     b -= 1
-                first = line.count(" ", 0, a)
+                word, counted = word + line.count(" ", counted, a), a
                 edits = sum(m.fuzzy_counts)
-                out.append(Hit(notice.label, first, first + line.count(" ", a, b) + 1, edits, 1.0 - edits / len(notice.words)))
+                out.append(Hit(notice.label, word, word + line.count(" ", a, b) + 1, edits, 1.0 - edits / len(notice.words)))
     return sorted(out, key=lambda h: (h.first_word, h.label))
 
 
+def _hits(pattern: regex.Pattern, line: str, lo: int, hi: int, least: int, reach: int) -> Iterator[regex.Match]:
+    """The matches in a part of a text, in order.  A long part is searched in windows of a few times a match's reach, so the time is linear in it."""
+    while lo < hi:
+        end = min(hi, lo + 4 * reach)
+        last = lo + 2 * reach
+        for m in sorted(_matches(pattern, line, lo, end, least), key=regex.Match.start):
+            # What ends near the border might be better with what follows, and starts where the next window does or later.
+            if end == hi or m.end() <= lo + 3 * reach:
+                yield m
+                last = max(last, m.end())
+        lo = hi if end == hi else last
+
+
 def _matches(pattern: regex.Pattern, line: str, lo: int, hi: int, least: int) -> Iterator[regex.Match]:
     """The best match in a part of a text, then those in the parts before and after it, which hold ``least`` characters or more."""
     parts = [(lo, hi)]

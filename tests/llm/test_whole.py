@@ -2,12 +2,13 @@
 
 import itertools
 import random
+import time
 from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from daypanel.llm import frames, latent, notices, windows
+from daypanel.llm import blob_ledger, frames, latent, notices, windows
 from tests.llm.test_operators import SF, WORDS, prose
 
 
@@ -170,3 +171,35 @@ def test_every_notice_of_several_in_a_row():
         got = found(" ".join(order))
         assert [x[:3] for x in got] == [("mit-notice", 5 * k, 5 * k + 5) for k in range(4)]
         assert [x[3] == 0 for x in got] == [x == mit[0] for x in order]
+
+
+# 4 and 9: long texts
+
+def _seconds(fn, text):
+    best = float("inf")
+    for _ in range(3):
+        began = time.perf_counter()
+        fn(text)
+        best = min(best, time.perf_counter() - began)
+    return best
+
+
+def test_scans_of_long_texts_take_linear_time():
+    for unit in ("mit license ", "all rigts reserved ", "all rights reserved ", "general public ", "spdx license identifer x "):
+        small, large = (_seconds(notices.scan_text, unit * (n // len(unit))) for n in (60_000, 240_000))
+        assert large < 8 * small + 0.2, unit
+    for unit in ("eyJaaaaaaaa-", "eyJaaaaaaaa.", "token=", "-----BEGIN A ", "abcdef0123", "ghp_a", "a://b:"):
+        small, large = (_seconds(lambda t: blob_ledger.spans_of(t, blob_ledger.RULES), unit * (n // len(unit))) for n in (250_000, 1_000_000))
+        assert large < 8 * small + 0.2, unit
+
+
+def test_notices_far_apart_and_in_long_rows():
+    rnd = random.Random(8)
+    line, want = [], []
+    for k in range(400):
+        label, said = rnd.choice([("all-rights-notice", "all rigts reserved"), ("spdx-tag", "spdx license identifier"), (None, "some other words"), (None, "reserved rights")])
+        if label:
+            want.append((sum(len(x.split()) for x in line), label))
+        line.append(said)
+    found = [(h.first_word, h.label) for h in notices.notice_hits(" ".join(line)) if h.label in ("all-rights-notice", "spdx-tag")]
+    assert found == want

@@ -53,7 +53,8 @@ BASE_RULES = (
 #: Public token formats beyond the base kinds.
 MORE_RULES = (
     Rule("private_key", 1, r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", ("private key-----",)),
-    Rule("jwt", 1, r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", ("eyj",)),
+    # Only at the start of a run of its characters: else a long run would be read once for every hyphen in it.
+    Rule("jwt", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", ("eyj",)),
     Rule("code_host", 1, r"\bgh[pousr]_[A-Za-z0-9]{36,}", ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     Rule("chat_token", 1, r"\bxox[abeoprs]-[A-Za-z0-9-]{10,}", ("xoxa-", "xoxb-", "xoxe-", "xoxo-", "xoxp-", "xoxr-", "xoxs-")),
     Rule("url_login", 1, r"\b[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{3,64}@", ("://",), 0, 0, re.ASCII | re.IGNORECASE),

@@ -140,4 +140,60 @@ ORACLES: dict[str, str] = {
         FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id
         GROUP BY d.doc_id, d.source, d.text
     """,
+    "op12_prefix_trie": """
+        WITH own AS (
+            SELECT conv_id, list({'role': coalesce(role, ''), 'said': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS w
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        heads AS (
+            SELECT conv_id, w, xor(list_reduce(
+                list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+                    lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 6 AS h
+            FROM own),
+        rebuilt AS (
+            SELECT a.conv_id, CASE WHEN b.w IS NULL THEN a.w[a.h + 1:] ELSE list_concat(b.w[1:a.h], a.w[a.h + 1:]) END AS w
+            FROM heads a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100),
+        depths AS (SELECT conv_id, w, unnest(range(0, len(w) + 1)) AS depth FROM rebuilt),
+        nodes AS (
+            SELECT w[1:depth] AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(w) = depth) AS ends
+            FROM depths GROUP BY w[1:depth], depth),
+        children AS (SELECT p[1:depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+        valued AS (
+            SELECT n.*, coalesce(c.n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.p[depth].said) END AS mine
+            FROM nodes n LEFT JOIN children c ON c.p = n.p),
+        above AS (SELECT p, mine, n_children, unnest(range(0, depth + 1)) AS d FROM valued),
+        sums AS (
+            SELECT p[1:d] AS p, sum(mine)::BIGINT AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves FROM above GROUP BY 1)
+        SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens,
+               sha256(coalesce(v.ends, '')) AS ends_sha256
+        FROM valued v JOIN sums s ON s.p = v.p LEFT JOIN nodes u ON v.depth > 0 AND u.p = v.p[1:v.depth - 1]
+    """,
+    "op13_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents),
+        said AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+        sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM said GROUP BY lang),
+        phrases AS (
+            SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+            FROM said, range(1, 6) AS lengths(m) WHERE len(w) >= m),
+        counts AS (SELECT lang, m, phrase, count(*) AS a FROM phrases GROUP BY ALL HAVING count(*) >= 100),
+        candidates AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM counts WHERE m > 1),
+        cuts AS (
+            SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:m], ' ') AS rest
+            FROM candidates, range(1, 5) AS places(k) WHERE k < m),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, c.k, f.a AS l, g.a AS r, s.n, (1000::HUGEINT * c.a * s.n // (f.a::HUGEINT * g.a))::BIGINT AS score
+            FROM cuts c JOIN counts f ON f.lang = c.lang AND f.phrase = c.first JOIN counts g ON g.lang = c.lang AND g.phrase = c.rest
+            JOIN sizes s ON s.lang = c.lang),
+        best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inside AS (
+            SELECT lang, array_to_string(w[i:i + j - 1], ' ') AS phrase, max(a) AS inside_a
+            FROM candidates, range(2, 5) AS sizes(j), range(1, 5) AS places(i) WHERE j < m AND i + j - 1 <= m GROUP BY 1, 2),
+        kept AS (SELECT b.* FROM best b LEFT JOIN inside USING (lang, phrase) WHERE inside_a IS NULL OR 100 * inside_a < 100 * b.a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+        FROM kept QUALIFY rank <= 2000
+    """,
 }

@@ -93,3 +93,10 @@ def test_scores_beyond_64_bits(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert got(collocations.collocations(table(spark, [], 2))) == []
+
+
+def test_sql_counterpart(spark):
+    from tests.compare import connect, differences
+
+    sf = "/root/testdata/sf0.01"
+    assert differences(queries.op13_collocations(spark, sf), connect(sf), queries.ORACLES["op13_collocations"]) == []

@@ -91,3 +91,10 @@ def test_sums_of_deep_and_broad_trees(spark):
     for k in range(699, 0, -1):
         size[parent[k]] += size[k]
     assert sums == {k: (total[k], size[k]) for k in parent}
+
+
+def test_sql_counterpart(spark):
+    from tests.compare import connect, differences
+
+    sf = "/root/testdata/sf0.01"
+    assert differences(queries.op12_prefix_trie(spark, sf), connect(sf), queries.ORACLES["op12_prefix_trie"]) == []

@@ -1,9 +1,10 @@
 """Phrase collocation mining by SON partitioning: local mining at lowered support, union, exact count.
 
-A shard is some ``SHARD_BYTES`` of consecutive texts of one task.  A phrase with at least ``support`` occurrences has in some shard at least
+A shard is up to ``SHARD_BYTES`` of consecutive texts of one task, and ends earlier with ``MOST_KEYS`` different phrases.  A phrase with at least ``support`` occurrences has in some shard at least
 ``support`` times the shard's share of all text, so mining every shard completely at that local support misses none.
 
-1. Local mining.  Every task sorts the hashes of its shard's phrases and gives out those that reach the local support, with their count.
+1. Local mining.  Every task sorts the hashes of its shard's phrases, ``PART_BYTES`` of text at a time, and gives out those that reach the
+   local support, with their count.
    Words and pairs come first; longer phrases then only where all their pairs can still be frequent.
 2. Union.  The local counts of a phrase are added up.  What shards that did not give it out can still hold is known as well, so a phrase
    that cannot reach the support any more is no candidate.
@@ -12,9 +13,9 @@ A shard is some ``SHARD_BYTES`` of consecutive texts of one task.  A phrase with
 
 Scores, containment and ranks are joins, aggregates and a limited window over the frequent phrases.
 
-Size.  A task holds one shard (or one text, if that is longer) and the arrays of its words.  What is broadcast are two bitmaps of ``BITMAP_BITS``
+Size.  A task holds the words of one part (or one text, if that is longer) and the different phrases of one shard.  What is broadcast are two bitmaps of ``BITMAP_BITS``
 bits, whatever the number of candidates: with more candidates more phrases pass that are no candidates, which costs time and changes
-no result.  A very common phrase is one row per shard.  Beyond ``support`` shards the local support is 1: then the first sums are exact already and
+no result.  A very common phrase is one row per shard or part.  Beyond ``support`` shards the local support is 1: then the first sums are exact already and
 the shards prune nothing, but pairs still prune the longer phrases.
 
 Phrases are told apart inside a shard by 64-bit hashes of language and words (chance of a shared hash about 2**-58 a pair), in the result by text.
@@ -37,7 +38,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from daypanel.llm.frames import staged
 from daypanel.llm.tokens import _BASE, _BYTE_VALUES, _Powers, mix
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 64 << 20
+PART_BYTES = 8 << 20
+MOST_KEYS = 6_000_000
 BITMAP_BITS = 1 << 24
 _CHUNK = 1 << 20
 _BUCKET = 1 << 15  # bits of one row of bitmap_construct_agg
@@ -50,8 +53,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
 
-class _Shard:
-    """Words of the texts of one shard (under 2**31 bytes, as an Arrow batch is): hash, place in ``data``, piece and language."""
+class _Part:
+    """Words of the texts of one part (under 2**31 bytes, as an Arrow batch is): hash, place in ``data``, piece and language."""
 
     def __init__(self, texts: list[tuple[bytes, np.ndarray, np.ndarray]], langs: list[str]):
         self.data = b"".join(t[0] for t in texts)
@@ -118,13 +121,13 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return hashes, starts, ends, np.cumsum(cut)[starts] + doc, doc
 
 
-def _shards(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[_Shard]:
-    """Consecutive texts of about ``most`` bytes; a longer text is a shard of its own."""
+def _parts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[_Part]:
+    """Consecutive texts of about ``most`` bytes; a longer text is a part of its own."""
     texts, size = [], 0
     codes: dict[str, int] = {}
 
-    def full() -> _Shard:
-        return _Shard(texts, list(codes))
+    def full() -> _Part:
+        return _Part(texts, list(codes))
 
     for batch in batches:
         said = pc.fill_null(batch.column(batch.schema.get_field_index("text")), "").cast(pa.large_binary())
@@ -151,47 +154,70 @@ def _hits(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _miner(lengths: tuple[int, ...], support: int, all_bytes: int, shard_bytes: int, pairs: Broadcast | None):
+def _miner(lengths: tuple[int, ...], support: int, all_bytes: int, shard_bytes: int, part_bytes: int, pairs: Broadcast | None):
     """Rows of (key, words, local count, slack): slack is what a shard may hold of a phrase that it does not give out; key null: of the shard."""
     names = ["key", "words", "n", "slack"]
 
+    def rows(found: dict[int, tuple[np.ndarray, np.ndarray]], size: int) -> Iterator[pa.RecordBatch]:
+        least = max(1, -(-support * size // max(all_bytes, 1)))
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int32()), pa.array([0], pa.int64()),
+                                          pa.array([least - 1], pa.int64())], names)
+        for words, (keys, n) in found.items():
+            keys, n = keys[n >= least], n[n >= least]
+            for lo in range(0, len(keys), 100_000):
+                some = keys[lo:lo + 100_000].view(np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(some), pa.array(np.full(len(some), words, np.int32)), pa.array(n[lo:lo + 100_000]),
+                    pa.array(np.full(len(some), least - 1, np.int64))], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _shards(batches, shard_bytes):
-            least = max(1, -(-support * len(shard.data) // max(all_bytes, 1)))
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int32()), pa.array([0], pa.int64()),
-                                              pa.array([least - 1], pa.int64())], names)
+        found, size = {}, 0
+        for part in _parts(batches, part_bytes):
+            size += len(part.data)
             for words in lengths:
-                keys, n = np.unique(shard.phrases(words, pairs and pairs.value)[0], return_counts=True)
-                keys, n = keys[n >= least], n[n >= least]
-                for lo in range(0, len(keys), 100_000):
-                    part = keys[lo:lo + 100_000].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(part), pa.array(np.full(len(part), words, np.int32)), pa.array(n[lo:lo + 100_000].astype(np.int64)),
-                        pa.array(np.full(len(part), least - 1, np.int64))], names)
+                found[words] = _added(found.get(words), part.phrases(words, pairs and pairs.value)[0])
+            if size >= shard_bytes or sum(len(keys) for keys, _ in found.values()) >= MOST_KEYS:
+                yield from rows(found, size)
+                found, size = {}, 0
+        if found:
+            yield from rows(found, size)
 
     return run
 
 
-def _counter(lengths: tuple[int, ...], shard_bytes: int, candidates: Broadcast, pairs: Broadcast):
+def _added(counted: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted different keys and their counts, with those of ``counted``."""
+    keys, n = np.unique(keys, return_counts=True)
+    n = n.astype(np.int64)
+    if counted is None:
+        return keys, n
+    keys, n = np.concatenate([counted[0], keys]), np.concatenate([counted[1], n])
+    order = np.argsort(keys, kind="stable")  # two sorted runs
+    keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _counter(lengths: tuple[int, ...], part_bytes: int, candidates: Broadcast, pairs: Broadcast):
     """Rows of (lang, phrase, words, count) of the phrases that hit the candidates; without a phrase: the number of all words."""
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _shards(batches, shard_bytes):
-            sizes = np.bincount(shard.codes, minlength=len(shard.langs))
-            none = len(shard.langs)
-            yield pa.RecordBatch.from_arrays([pa.array(shard.langs, pa.string()), pa.nulls(none, pa.string()),
+        for part in _parts(batches, part_bytes):
+            sizes = np.bincount(part.codes, minlength=len(part.langs))
+            none = len(part.langs)
+            yield pa.RecordBatch.from_arrays([pa.array(part.langs, pa.string()), pa.nulls(none, pa.string()),
                                               pa.array([0] * none, pa.int32()), pa.array(sizes.astype(np.int64))], schema=schema)
             for words in lengths:
-                keys, at = shard.phrases(words, pairs.value)
+                keys, at = part.phrases(words, pairs.value)
                 hit = _hits(candidates.value, keys)
                 _, first, n = np.unique(keys[hit], return_index=True, return_counts=True)
                 first = at[hit][first]
                 for lo in range(0, len(first), 50_000):
                     some = first[lo:lo + 50_000]
-                    texts = [b" ".join(shard.data[a:b].lower().split()) for a, b in
-                             zip(shard.starts[some].tolist(), shard.ends[some + words - 1].tolist())]
-                    langs = [shard.langs[c] for c in shard.codes[some].tolist()]
+                    texts = [b" ".join(part.data[a:b].lower().split()) for a, b in
+                             zip(part.starts[some].tolist(), part.ends[some + words - 1].tolist())]
+                    langs = [part.langs[c] for c in part.codes[some].tolist()]
                     yield pa.RecordBatch.from_arrays([
                         pa.array(langs, pa.string()), pa.array(texts, pa.binary()).cast(pa.string()),
                         pa.array(np.full(len(some), words, np.int32)), pa.array(n[lo:lo + 50_000].astype(np.int64))], schema=schema)
@@ -224,14 +250,15 @@ def phrase_counts(docs: DataFrame, support: int, longest: int, shard_bytes: int
     context = docs.sparkSession.sparkContext
     all_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     schema = "key bigint, words int, n bigint, slack bigint"
-    short = _candidates(texts.mapInArrow(_miner((1, 2), support, all_bytes, shard_bytes, None), schema), support, "short-phrases")
+    part = min(PART_BYTES, shard_bytes)
+    short = _candidates(texts.mapInArrow(_miner((1, 2), support, all_bytes, shard_bytes, part, None), schema), support, "short-phrases")
     pairs = context.broadcast(_bitmap(short.where("words = 2")))
     longer = tuple(range(3, longest + 1))
     found = short
     if longer:
-        found = short.unionByName(_candidates(texts.mapInArrow(_miner(longer, support, all_bytes, shard_bytes, pairs), schema), support, "long-phrases"))
+        found = short.unionByName(_candidates(texts.mapInArrow(_miner(longer, support, all_bytes, shard_bytes, part, pairs), schema), support, "long-phrases"))
     candidates = context.broadcast(_bitmap(found))
-    counted = texts.mapInArrow(_counter((1, 2, *longer), shard_bytes, candidates, pairs), "lang string, phrase string, words int, n bigint")
+    counted = texts.mapInArrow(_counter((1, 2, *longer), part, candidates, pairs), "lang string, phrase string, words int, n bigint")
     sums = staged(counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")), "phrase-counts")
     return (sums.where(F.col("phrase").isNotNull() & (F.col("n") >= support)), sums.where(F.col("phrase").isNull()).select("lang", "n"))
 

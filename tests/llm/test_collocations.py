@@ -73,6 +73,13 @@ def test_shards_of_all_sizes(spark, support, shard, parts, top):
     assert found == brute(rows, support, top=top)
 
 
+def test_shards_of_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "PART_BYTES", 150)
+    rnd = random.Random(5)
+    rows = [(rnd.choice(["en", "de"]), " ".join(rnd.choice("abcdefg") for _ in range(rnd.randrange(60)))) for _ in range(200)]
+    assert got(collocations.collocations(table(spark, rows, 3), support=9, shard_bytes=2000)) == brute(rows, 9)
+
+
 def test_bitmaps_that_let_almost_all_through(spark, monkeypatch):
     monkeypatch.setattr(collocations, "BITMAP_BITS", 1 << 15)
     rnd = random.Random(9)

@@ -159,6 +159,44 @@ def test_pairs_behind_a_phrase_of_all(spark, docs):
     assert all(classes[i] == i for i in range(300))
 
 
+def test_edits_at_the_joint_of_two_common_lines(spark, docs):
+    """Every line stands in a hundred documents; two in a row, edited where they meet, in one pair of documents each."""
+    rng = np.random.default_rng(17)
+
+    def prose(n):
+        return [f"w{x}" for x in rng.integers(0, 50_000, n)]
+
+    lines = [prose(30) for _ in range(12)]
+    rows = [(100 * n + k, prose(40) + line + prose(40)) for n, line in enumerate(lines) for k in range(100)]
+    orders = list(itertools.combinations(range(12), 2))[:60]
+    for k, (x, y) in enumerate(orders):
+        edited = [*lines[x], "changed", *lines[y][1:]] if k % 2 else [*lines[x][:-1], "changed", *lines[y]]
+        rows += [(3000 + k, prose(40) + lines[x] + lines[y] + prose(40)), (5000 - k, prose(30) + edited + prose(50))]
+    for k in range(60):  # brute force: each pair is a passage, by its shingle sets
+        a, b = ({tuple(r[j:j + 5]) for j in range(40 if i else 30, (100 if i else 90) - 4)} for i, r in
+                ((1, rows[1200 + 2 * k][1]), (0, rows[1201 + 2 * k][1])))
+        assert len(a & b) >= 0.8 * len(a | b)
+    frame = docs([(i, " ".join(t)) for i, t in rows])
+    classes = {r["doc_id"]: r["class_id"] for r in windows.passage_classes(frame, windows.repeated_passages(frame)).collect()}
+    assert [classes[5000 - k] for k in range(60)] == [3000 + k for k in range(60)]
+    assert all(classes[i] == i for i in range(1200))
+
+
+def test_pairs_left_out_by_the_count_of_common_shingles():
+    """No pair with a passage is left out before verification, repeats or none."""
+    rnd = random.Random(23)
+    left_out = 0
+    for _ in range(400):
+        pool = [rnd.randrange(1000) for _ in range(rnd.choice([6, 40, 400]))]
+        base = [rnd.choice(pool) for _ in range(rnd.randrange(30, 120))]
+        other = [x if rnd.random() > rnd.choice([0.02, 0.1, 0.5]) else rnd.randrange(1000) for x in base][rnd.randrange(20):]
+        a, b = (np.array(x, np.uint32) for x in (base, other))
+        may = windows._may_match(a, b, 46, 0.8)
+        left_out += not may
+        assert may or not windows.matching_passages(a, b, 46, 0.8)
+    assert left_out > 20
+
+
 # 9: license notices
 
 def test_every_notice_of_several_in_a_row():

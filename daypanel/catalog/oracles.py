@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from daypanel.catalog.inputs import SERIES_TYPES
-from daypanel.catalog.queries import ALL_TABLES
-from daypanel.plans.case_facts import ADVANCE_ON_FILL, CDATASET_RAW, NULL_ON_FILL, RATES, ZERO_ON_FILL
-from daypanel.plans.views import LOCATION_ATTRIBUTES, OWID_UNITS, US_SUMS
-from daypanel.sources.case_series import MANDATORY, OPTIONAL
-from daypanel.sources.contract import INT
-from daypanel.sources.contracts import COVIDTRACKING, OWID
+from daypanel.catalog.expected import (
+    ADVANCE, EVENT_TYPES, FACT_COLUMNS, LOCATION, NATIONAL, NATIONAL_NAMES, NULL, RATES, SERIES, SERIES_OPTIONAL, STATES, STATES_NAMES,
+    STATES_TEXT, TABLES, WORLD, WORLD_UNITS, ZERO,
+)
 
 ORACLES: dict[str, str] = {}
 
@@ -215,7 +212,7 @@ ORACLES["sorted_series"] = """
     select event_type as dataset, user_id as location_key, cast(cast(ts as date) as varchar) as date, event_id
     from events order by 1, 2, 3, 4"""
 ORACLES["distinct_datasets"] = "select distinct event_type as dataset from events order by 1"
-_COUNTS = " union all ".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in ALL_TABLES)
+_COUNTS = " union all ".join(f"select '{t}' as table_name, count(*) as row_count from {t}" for t in TABLES)
 ORACLES["row_counts"] = _COUNTS
 ORACLES["row_count_gate"] = f"""
     with c as ({_COUNTS}), m(table_name, min_rows) as (
@@ -228,8 +225,9 @@ ORACLES["max_day_per_source"] = f"""
 
 # --- Case series ---------------------------------------------------------------------------------
 
-_KIND = "case event_type " + " ".join(f"when '{t}' then {i}" for i, t in enumerate(SERIES_TYPES)) + f" else {len(SERIES_TYPES)} end"
-_TYPES = {f.name: f.dataType.simpleString() for f in [*MANDATORY, *OPTIONAL]}
+_KIND = "case event_type " + " ".join(f"when '{t}' then {i}" for i, t in enumerate(EVENT_TYPES)) + f" else {len(EVENT_TYPES)} end"
+_TYPES = {name: kind for kind, names in [*SERIES, *SERIES_OPTIONAL] for name in names}
+_OPTIONAL = {name for _, names in SERIES_OPTIONAL for name in names}
 _SERIES_FIXED = {
     "dataset": "'d' || s || '/' || (user_id % 2)",
     "location_key": "'k' || user_id",
@@ -255,7 +253,7 @@ def _series_column(i: int, name: str) -> str:
     if value is None:
         value = f"n + cast({i / 8} as double)" if _TYPES[name] == "double" else f"n * {i + 1}"
         value = f"case when (user_id + {i}) % 3 <> 0 then {value} end"
-    if name in OPTIONAL.names:
+    if name in _OPTIONAL:
         value = f"case when s % 2 = 1 then {value} end"
     sql_type = {"string": "varchar", "int": "integer", "bigint": "bigint", "double": "double"}[_TYPES[name]]
     return f"cast({value} as {sql_type}) as {name}"
@@ -313,11 +311,11 @@ def _observed_column(name: str) -> str:
 def _filled_column(name: str) -> str:
     if name == "date_julian":
         return "cast(date_julian + step as integer) as date_julian"
-    if name in ADVANCE_ON_FILL:
+    if name in ADVANCE:
         return f"cast({name} + step as bigint) as {name}"
-    if name in ZERO_ON_FILL:
+    if name in ZERO:
         return f"case when step > 0 then 0 else {name} end as {name}"
-    if name in NULL_ON_FILL:
+    if name in NULL:
         return f"case when step = 0 then {name} end as {name}"
     return name
 
@@ -329,18 +327,18 @@ _FACTS = f"""
     located as (
         select series.* exclude (factbook_population), k.locid, coalesce(factbook_population, people.population) as population
         from series join keys k using (location_key) left join people on people.fips = k.fips),
-    observed as (select source_ord, horizon, {', '.join(_observed_column(c).replace('k.', '') for c in CDATASET_RAW)}
+    observed as (select source_ord, horizon, {', '.join(_observed_column(c).replace('k.', '') for c in FACT_COLUMNS)}
                  from located),
     ends as (
         select *, coalesce(lead(date_julian) over (partition by source_ord, dataset, locid order by date_julian) - 1, horizon) as last
         from observed),
     steps as (select *, unnest(generate_series(0, last - date_julian)) as step from ends),
-    facts as (select {', '.join(_filled_column(c) for c in CDATASET_RAW)} from steps)"""
+    facts as (select {', '.join(_filled_column(c) for c in FACT_COLUMNS)} from steps)"""
 ORACLES["cdataset_raw"] = f"with {_FACTS} select * from facts"
 ORACLES["cdataset_raw_key"] = f"""
     with {_FACTS} select dataset, locid, date_julian, count(*) as row_count from facts group by all having count(*) > 1"""
 _CDATASET = f"""
-    select {parts('f.date_julian')}, {', '.join(f'd.{a} as {out}' for a, out in LOCATION_ATTRIBUTES.items())}, f.*
+    select {parts('f.date_julian')}, {', '.join(f'd.{a} as {out}' for a, out in LOCATION.items())}, f.*
     from facts f, dimension d where f.locid = d.locid"""
 ORACLES["view_cdataset"] = f"with {_FACTS} {_CDATASET}"
 ORACLES["views_registered"] = f"""
@@ -420,42 +418,40 @@ ORACLES["view_harveycodata"] = f"""
         harveyco_tot_results - harveyco_pos_results as harveyco_neg_results, * from harvey"""
 
 
-def _tracking_column(i: int, f) -> str:
+def _tracking_column(i: int, name: str) -> str:
     fixed = {"state": "'U' || user_id", "totalTestResultsSource": "'source'", "fips": "user_id"}
-    if f.header in fixed:
-        return f"{fixed[f.header]} as {f.stored}"
-    value = f"n * {i + 1}" if f.kind == INT else f"'t{i} ' || n"
-    return f"case when (user_id + {i}) % 4 <> 0 then {value} end as {f.stored}"
+    value = f"'t{i} ' || n" if name in STATES_TEXT else f"n * {i + 1}"
+    value = fixed.get(name, f"case when (user_id + {i}) % 4 <> 0 then {value} end")
+    return f"{value} as {STATES_NAMES.get(name, name)}"
 
 
 _TRACKING = f"""{_D}, tracking as (
     select {jd('day')} as date_julian, {', '.join(
-        _tracking_column(i, f) for i, f in enumerate(COVIDTRACKING.fields) if f.header not in ('date', 'hash'))} from dp)"""
+        _tracking_column(i, c) for i, c in enumerate(STATES) if c not in ('date', 'hash'))} from dp)"""
 ORACLES["contract_scan_compact_dates"] = f"with {_TRACKING} select * from tracking"
 ORACLES["view_covidtracking"] = f"with {_TRACKING} select {parts('date_julian')}, * from tracking"
 ORACLES["view_covidtracking_us"] = f"""
     with {_TRACKING} select {parts('date_julian')}, date_julian,
-        {', '.join(f'cast(sum({m}) as bigint) as {out}' for m, out in US_SUMS.items())}
+        {', '.join(f'cast(sum({m}) as bigint) as {NATIONAL_NAMES.get(m, m)}' for m in NATIONAL)}
     from tracking group by date_julian"""
 
 
-def _world_column(i: int, f) -> str:
+def _world_column(i: int, name: str) -> str:
     fixed = {
         "iso_code": "'I' || user_id", "continent": "case when user_id % 2 <> 0 then 'odd' end", "location": "'L' || user_id",
         "tests_units": "case when n > 1 then 'tests' end",
     }
-    if f.header in fixed:
-        return f"{fixed[f.header]} as {f.stored}"
-    return f"case when (user_id + {i}) % 3 <> 0 then n + cast({i / 4} as double) end as {f.stored}"
+    value = fixed.get(name, f"case when (user_id + {i}) % 3 <> 0 then n + cast({i / 4} as double) end")
+    return f"{value} as {name}"
 
 
 _WORLD = f"""{_D}, world as (
     select {jd('day')} as date_julian, {', '.join(
-        _world_column(i, f) for i, f in enumerate(OWID.fields) if f.header != 'date')} from dp where user_id % 13 <> 0)"""
+        _world_column(i, c) for i, c in enumerate(WORLD) if c != 'date')} from dp where user_id % 13 <> 0)"""
 ORACLES["contract_scan_wide"] = f"with {_WORLD} select * from world"
 ORACLES["view_owid"] = f"""
     with {_WORLD} select {parts('date_julian')},
-        {', '.join(f'{c} {op} cast({k} as double) as {out}' for out, (c, op, k) in OWID_UNITS.items())}, * from world"""
+        {', '.join(f'{c} {op} cast({k} as double) as {out}' for out, (c, op, k) in WORLD_UNITS.items())}, * from world"""
 ORACLES["blank_lead_rows"] = f"with {_D} select count(*) filter (user_id % 13 = 0) as dropped_rows from dp"
 
 _RATES = f"""{_D}, rates as (

@@ -43,3 +43,15 @@ def test_query_with_shuffled_joins(spark, con, name):
     session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     session.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     assert differences(QUERIES[name](session, SF_DIR), con, ORACLES[name]) == []
+
+
+def test_oracles_share_no_list_with_the_code():
+    import ast
+
+    from daypanel.catalog import expected, oracles
+
+    for module, allowed in ((oracles, {"__future__", "daypanel.catalog.expected"}), (expected, {"__future__"})):
+        with open(module.__file__) as f:
+            nodes = list(ast.walk(ast.parse(f.read())))
+        assert {n.module for n in nodes if isinstance(n, ast.ImportFrom)} == allowed
+        assert not [n for n in nodes if isinstance(n, ast.Import)]

@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from daypanel.catalog import expected
 from daypanel.functions.calendar import julian_day
 from daypanel.functions.numeric import round_half_away
 from daypanel.plans.build import Landing, Tolerance, build
@@ -130,7 +131,7 @@ def covidtracking_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         value = F.col("n") * (i + 1) if f.kind == INT else F.concat(F.lit(f"t{i} "), _text("n"))
         return F.when(present, value)
 
-    return _by_header(dated_panel(spark, sf_dir), COVIDTRACKING, fixed, column)
+    return _by_header(dated_panel(spark, sf_dir), COVIDTRACKING, fixed, column).toDF(*expected.STATES)
 
 
 def owid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -146,7 +147,7 @@ def owid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def column(i: int, f) -> Column:
         return F.when((F.col("user_id") + i) % 3 != 0, F.col("n") + F.lit(i / 4))
 
-    return _by_header(dated_panel(spark, sf_dir), OWID, fixed, column)
+    return _by_header(dated_panel(spark, sf_dir), OWID, fixed, column).toDF(*expected.WORLD)
 
 
 def rtlive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from daypanel.operators.summaries import row_counts
-from daypanel.plans.build import HARVEY_EXPECTATIONS, MINIMUM_ROWS, Landing, build
+from daypanel.plans.build import UNGATED, Landing, build
 from daypanel.session import tune
 
 
@@ -23,7 +23,7 @@ def main(arguments: list[str] | None = None) -> DataFrame:
     spark = SparkSession.builder.appName("daypanel").getOrCreate()
     tune(spark)
     landing = Landing.of_folder(spark, options.landing, options.case_series, options.case_series_format, options.multi_line)
-    gates = {} if options.no_gates else {"minimum_rows": MINIMUM_ROWS, "expectations": HARVEY_EXPECTATIONS}
+    gates = UNGATED if options.no_gates else {}
     return row_counts(build(spark, landing, options.out, **gates))
 
 

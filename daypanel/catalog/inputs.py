@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from daypanel.catalog import expected
 from daypanel.functions.calendar import julian_day
 from daypanel.functions.numeric import round_half_away
-from daypanel.plans.build import Landing, Tolerance, build
+from daypanel.plans.build import UNGATED, Landing, Tolerance, build
 from daypanel.plans.catalog_views import publish_catalog
 from daypanel.session import scratch_path
 from daypanel.sources.case_series import MANDATORY, OPTIONAL
@@ -298,7 +298,7 @@ def built_root(spark: SparkSession, sf_dir: str) -> str:
     """Root of a published build over the landed sources, built once per session."""
     def run() -> str:
         root = scratch_path(spark, "store")
-        build(spark, landing(spark, sf_dir), root)
+        build(spark, landing(spark, sf_dir), root, **UNGATED)
         return root
 
     return _once(spark, sf_dir, "build", run)
@@ -335,8 +335,8 @@ def twice_built_root(spark: SparkSession, sf_dir: str) -> str:
         root = scratch_path(spark, "store")
         sound = landing(spark, sf_dir)
         text = {**sound.text, NYTCOUNTIES.name: damaged_counties(spark, sf_dir)}
-        build(spark, Landing(text, sound.case_series, tolerance={NYTCOUNTIES.name: Tolerance(allow_extra=True, share=0.5)}), root)
-        build(spark, sound, root)
+        build(spark, Landing(text, sound.case_series, tolerance={NYTCOUNTIES.name: Tolerance(allow_extra=True, share=0.5)}), root, **UNGATED)
+        build(spark, sound, root, **UNGATED)
         return root
 
     return _once(spark, sf_dir, "built twice", run)

@@ -43,6 +43,10 @@ HARVEY_EXPECTATIONS = [
 ]
 
 
+#: Options of :func:`build` for sources that are not the whole public ones.
+UNGATED = {"minimum_rows": {}, "expectations": ()}
+
+
 @dataclass(frozen=True)
 class Tolerance:
     """allow_extra: rows with surplus trailing fields are sound.  share: a greater part of rejected rows fails the build."""
@@ -76,17 +80,19 @@ class Landing:
         return cls(text, series, frozenset(multi_line))
 
 
-def build(spark: SparkSession, landing: Landing, root: str, minimum_rows: Mapping[str, int] | None = None,
-          expectations: Sequence[Expectation] = ()) -> dict[str, DataFrame]:
+def build(spark: SparkSession, landing: Landing, root: str, minimum_rows: Mapping[str, int] = MINIMUM_ROWS,
+          expectations: Sequence[Expectation] = HARVEY_EXPECTATIONS) -> dict[str, DataFrame]:
     """Build, check and publish all tables under ``root``; returns the published tables.
 
+    The row-count and expected-value gates are those of the public sources unless others are given; ``**UNGATED`` switches them off.
+
     A broken rule raises and leaves the published build as it was, and so does a build that another one overtook
     (:class:`daypanel.plans.store.PublishConflict`).  What the build read, left out and stored is kept with it, see
     :func:`daypanel.plans.store.open_report`.
     """
     build_id, follows = store.begin(spark, root)
     try:
-        tables = _build(spark, landing, root, build_id, minimum_rows or {}, expectations)
+        tables = _build(spark, landing, root, build_id, minimum_rows, expectations)
         store.publish(spark, root, build_id, follows)
     except BaseException:
         store.give_up(spark, root, build_id)

@@ -1,6 +1,7 @@
 """The whole job over invented sources."""
 
 import datetime as dt
+from functools import partial
 
 import pyarrow.parquet as pq
 import pytest
@@ -10,7 +11,7 @@ from daypanel.__main__ import main
 from daypanel.operators.panel import with_next_day
 from daypanel.operators.quality import QualityError
 from daypanel.plans import store
-from daypanel.plans.build import HARVEY_EXPECTATIONS, MINIMUM_ROWS, Landing, build, build_and_register
+from daypanel.plans.build import HARVEY_EXPECTATIONS, MINIMUM_ROWS, UNGATED, Landing, build, build_and_register
 from daypanel.plans.case_facts import (
     CDATASET_LOC, CDATASET_RAW, location_keys, prepare_sources, series_spans, series_violations,
 )
@@ -20,6 +21,7 @@ from daypanel.sources import contracts
 from daypanel.sources.case_series import MANDATORY, OPTIONAL
 
 JD = 2458923  # 2020-03-14
+ungated = partial(build, **UNGATED)
 
 
 def _line(contract, **values):
@@ -99,7 +101,7 @@ def landed(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def built(spark, landed, tmp_path_factory):
-    return build(spark, landed, str(tmp_path_factory.mktemp("store")))
+    return ungated(spark, landed, str(tmp_path_factory.mktemp("store")))
 
 
 def test_the_whole_job(spark, tmp_path, landed, rows):
@@ -175,18 +177,21 @@ def test_the_command_line_job(spark, tmp_path, landed):
 
 def test_a_broken_build_is_not_published(spark, tmp_path, landed):
     root = str(tmp_path / "store")
-    build(spark, landed, root)
+    ungated(spark, landed, root)
     first = store.published_build(spark, root)
     with pytest.raises(QualityError, match="too few rows"):
-        build(spark, landed, root, minimum_rows=MINIMUM_ROWS)
+        ungated(spark, landed, root, minimum_rows=MINIMUM_ROWS)
     assert store.published_build(spark, root) == first
-    build(spark, landed, root)
+    with pytest.raises(QualityError):  # the gates are on unless they are switched off
+        build(spark, landed, root)
+    assert store.published_build(spark, root) == first
+    ungated(spark, landed, root)
     assert store.published_build(spark, root) != first
 
 
 def test_facts_are_laid_out_by_day(spark, tmp_path, landed):
     root = tmp_path / "store"
-    tables = build(spark, landed, str(root))
+    tables = ungated(spark, landed, str(root))
     assert {r["dataset"] for r in tables["cdataset_raw"].select("dataset").distinct().collect()} == {"d1", "d2", "d3"}
     files = list(root.glob("builds/*/cdataset_raw/dataset=*/*.parquet"))
     assert files
@@ -200,8 +205,8 @@ def test_quoted_line_breaks_in_the_job(spark, tmp_path, landed):
     broken = {"date": "2020-03-14", "county": '"H\nX"', "state": "K", "fips": 20079, "cases": 1, "deaths": 0}
     text = _text(tmp_path, nytcounties_raw=[broken])
     with pytest.raises(Exception):
-        build(spark, Landing(text, landed.case_series), str(tmp_path / "s1"))
-    tables = build(spark, Landing(text, landed.case_series, frozenset({"nytcounties_raw"})), str(tmp_path / "s2"))
+        ungated(spark, Landing(text, landed.case_series), str(tmp_path / "s1"))
+    tables = ungated(spark, Landing(text, landed.case_series, frozenset({"nytcounties_raw"})), str(tmp_path / "s2"))
     assert [r["county"] for r in tables["nytcounties_raw"].collect()] == ["H\nX"]
     with pytest.raises(ValueError, match="no such text source"):
         Landing.of_folder(spark, str(tmp_path), [], multi_line=["nowhere"])
@@ -211,14 +216,14 @@ def test_duplicate_keys_stop_the_build(spark, tmp_path, landed):
     double = [{"date": "2020-03-14", "county": "H", "state": "K", "cases": 1}] * 2
     broken = Landing(_text(tmp_path, nytcounties_raw=double), landed.case_series)
     with pytest.raises(QualityError, match="nytcounties_raw: .*duplicate key"):
-        build(spark, broken, str(tmp_path / "s1"))
+        ungated(spark, broken, str(tmp_path / "s1"))
     twice = Landing(_text(tmp_path), [_series(spark, [("d1", "x", "2020-03-14", 1, None)] * 2)])
     with pytest.raises(Exception, match="duplicate panel key"):
-        build(spark, twice, str(tmp_path / "s2"))
+        ungated(spark, twice, str(tmp_path / "s2"))
     # The same dataset and location in two sources collide in the fact table.
     one = _series(spark, [("d1", "x", "2020-03-14", 1, None)])
     with pytest.raises(QualityError, match="case series: .*covered_twice"):
-        build(spark, Landing(_text(tmp_path), [one, one]), str(tmp_path / "s3"))
+        ungated(spark, Landing(_text(tmp_path), [one, one]), str(tmp_path / "s3"))
 
 
 def test_sources_may_follow_each_other(spark, rows):
@@ -250,13 +255,13 @@ def test_dates_must_agree(spark):
 def test_missing_values_stop_the_build(spark, tmp_path, landed):
     hole = _series(spark, [("d1", "x", "2020-03-14", 1, None)]).withColumn("day_index_1", F.lit(None).cast("int"))
     with pytest.raises(QualityError, match="NULL in required column: {'day_index_1': 1}"):
-        build(spark, Landing(landed.text, [hole]), str(tmp_path / "s"))
+        ungated(spark, Landing(landed.text, [hole]), str(tmp_path / "s"))
 
 
 def test_wrong_figures_stop_the_build(spark, tmp_path, landed):
     wrong = [{"date": "2020-07-19", "kdhe_neg_results": 51}]
     with pytest.raises(QualityError, match="unexpected value"):
-        build(spark, Landing(_text(tmp_path, harveycodata_raw=wrong), landed.case_series), str(tmp_path / "s"),
+        ungated(spark, Landing(_text(tmp_path, harveycodata_raw=wrong), landed.case_series), str(tmp_path / "s"),
               expectations=HARVEY_EXPECTATIONS)
 
 

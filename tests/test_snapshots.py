@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from daypanel.operators import panel
 from daypanel.operators.quality import Expectation, QualityError
 from daypanel.plans import store
-from daypanel.plans.build import Landing, Tolerance, build, build_and_register
+from daypanel.plans.build import Landing, Tolerance, build_and_register
 from daypanel.plans.catalog_views import publish_catalog
 from daypanel.plans.views import VIEWS, view
 from daypanel.sources import contracts
-from tests.test_build import _series, _text
+from tests.test_build import _series, _text, ungated
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +24,7 @@ def series(spark):
 @pytest.fixture(scope="module")
 def root(spark, series, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("store"))
-    build(spark, Landing(_text(tmp_path_factory.mktemp("landing")), series), folder)
+    ungated(spark, Landing(_text(tmp_path_factory.mktemp("landing")), series), folder)
     return folder
 
 
@@ -80,7 +80,7 @@ def test_a_build_that_was_overtaken_is_not_published(spark, series, root, tmp_pa
 
     monkeypatch.setattr(store, "begin", overtaken)
     with pytest.raises(store.PublishConflict):
-        build(spark, Landing(_text(tmp_path), series), str(tmp_path / "s"))
+        ungated(spark, Landing(_text(tmp_path), series), str(tmp_path / "s"))
     assert store.published_build(spark, str(tmp_path / "s")) == other["id"]
 
 
@@ -131,7 +131,7 @@ def test_a_day_filter_reads_few_row_groups(spark, series, tmp_path):
     session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     session.conf.set("spark.sql.shuffle.partitions", "40")
     root = str(tmp_path / "s")
-    build(session, Landing(_text(tmp_path, nytcounties_raw=many), series), root)
+    ungated(session, Landing(_text(tmp_path, nytcounties_raw=many), series), root)
     whole = view("nytcounties", store.open_dated(spark, root))
     day = whole.where("date = '2020-07-19'")
     assert scanned(whole) >= 2 * len(many)
@@ -161,7 +161,7 @@ def test_damaged_rows_are_put_aside(spark, series, tmp_path, rows):
     lines = ["2020-03-14,H,K,20079,1,0", "2020-03-15,H,K,20079,4,1,more,\"a,b\"", "2020-03-15,U,K", "2020-03-16,H,K,20079,x,y", ",H,K,1,1,1", "2020-03-17,H,K,20079,,1"]
     text = _ragged(tmp_path, lines)
     root = str(tmp_path / "s")
-    tables = build(spark, Landing(text, series, tolerance={"nytcounties_raw": Tolerance(True, 0.5)}), root)
+    tables = ungated(spark, Landing(text, series, tolerance={"nytcounties_raw": Tolerance(True, 0.5)}), root)
     assert rows(tables["nytcounties_raw"], "date_julian", "cases") == [(2458923, 1), (2458924, 4)]
     report = store.open_report(spark, root)
     found = rows(report["rejects"], "source", "line", "reason")
@@ -172,19 +172,19 @@ def test_damaged_rows_are_put_aside(spark, series, tmp_path, rows):
     assert [counts["nytcounties_raw", m] for m in ("rows_read", "rejects", "blank_leads", "rows_stored")] == [6, 3, 1, 2]
     assert counts["owid_raw", "blank_leads"] == 1 and counts["location_map", "repeated_keys"] == 1
     with pytest.raises(QualityError, match="3 of 6 rows rejected"):
-        build(spark, Landing(text, series, tolerance={"nytcounties_raw": Tolerance(True, 0.4)}), root)
+        ungated(spark, Landing(text, series, tolerance={"nytcounties_raw": Tolerance(True, 0.4)}), root)
     with pytest.raises(QualityError, match="4 of 6 rows rejected"):  # surplus fields are damage, too
-        build(spark, Landing(text, series, tolerance={"nytcounties_raw": Tolerance(False, 0.5)}), root)
+        ungated(spark, Landing(text, series, tolerance={"nytcounties_raw": Tolerance(False, 0.5)}), root)
     with pytest.raises(Exception):
-        build(spark, Landing(text, series), root)
+        ungated(spark, Landing(text, series), root)
     assert store.commits(spark, root) == [1]
 
 
 def test_a_tolerant_lookup_keeps_its_order(spark, series, tmp_path):
     text = _text(tmp_path)
     tolerant = Landing(text, series, tolerance={"loc_lookup": Tolerance(), "location_map": Tolerance()})
-    tables = build(spark, tolerant, str(tmp_path / "s"))
-    strict = build(spark, Landing(text, series), str(tmp_path / "s"))
+    tables = ungated(spark, tolerant, str(tmp_path / "s"))
+    strict = ungated(spark, Landing(text, series), str(tmp_path / "s"))
     for name in ("loc_lookup", "cdataset_loc", "cdataset_raw"):
         assert Counter(map(tuple, tables[name].collect())) == Counter(map(tuple, strict[name].collect())), name
 
@@ -201,11 +201,11 @@ def test_gates_go_by_what_was_written(spark, series, tmp_path, monkeypatch):
     held = [Expectation("harveycodata", "date = '2020-08-15'", "harveyco_neg_results", 28), Expectation("harveycodata", "date = '2020-07-19'", "harveyco_pos_results", None)]
     build_and_register(spark, landing, str(tmp_path / "s"), minimum_rows={"cdataset": 5, "harveycodata": 3, "loc_lookup": 3}, expectations=held)
     with pytest.raises(QualityError, match="too few rows: {'harveycodata': 3}"):
-        build(spark, landing, str(tmp_path / "s"), minimum_rows={"harveycodata": 4})
+        ungated(spark, landing, str(tmp_path / "s"), minimum_rows={"harveycodata": 4})
     with pytest.raises(QualityError, match="unexpected value: .*harveyco_neg_results is 28 in 1 rows, not 27"):
-        build(spark, landing, str(tmp_path / "s"), expectations=[Expectation("harveycodata", "date = '2020-08-15'", "harveyco_neg_results", 27)])
+        ungated(spark, landing, str(tmp_path / "s"), expectations=[Expectation("harveycodata", "date = '2020-08-15'", "harveyco_neg_results", 27)])
     with pytest.raises(QualityError, match="in 0 rows"):
-        build(spark, landing, str(tmp_path / "s"), expectations=[Expectation("harveycodata", "date = '1999-01-01'", "harveyco_neg_results", None)])
+        ungated(spark, landing, str(tmp_path / "s"), expectations=[Expectation("harveycodata", "date = '1999-01-01'", "harveyco_neg_results", None)])
 
 
 def test_without_new_locations_no_fact_is_read_for_them(spark, tmp_path, monkeypatch, rows):
@@ -215,9 +215,9 @@ def test_without_new_locations_no_fact_is_read_for_them(spark, tmp_path, monkeyp
     extend = case_facts.extend_locations
     monkeypatch.setattr(case_facts, "extend_locations", lambda base, facts: asked.append(facts) or extend(base, facts))
     known = [_series(spark, [("d1", "a", "2020-03-14", 10, None), ("d2", "b", "2020-03-12", 7, None)])]
-    tables = job.build(spark, Landing(_text(tmp_path), known), str(tmp_path / "s"))
+    tables = job.build(spark, Landing(_text(tmp_path), known), str(tmp_path / "s"), **job.UNGATED)
     assert not asked and rows(tables["cdataset_loc"], "locid") == [(1,), (2,), (3,)]
     some = [_series(spark, [("d1", "a", "2020-03-14", 10, None), ("d1", "z", "2020-03-12", 7, None)])]
-    tables = job.build(spark, Landing(_text(tmp_path), some), str(tmp_path / "s"))
+    tables = job.build(spark, Landing(_text(tmp_path), some), str(tmp_path / "s"), **job.UNGATED)
     assert rows(tables["cdataset_loc"], "locid") == [(1,), (2,), (3,), (4,)]
     assert any("EqualTo(is_new,true)" in f for f in pushed(asked[0].where("is_new")))

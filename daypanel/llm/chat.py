@@ -1,10 +1,10 @@
 r"""Chat formatting by prefix-target expansion.
 
 Every assistant turn is an example of its own: all turns before it are context, and its reply alone is trainable.
-An example is a prefix of the formatted conversation, so the conversation is written once, in one segment per turn, and
-an example is three offsets into it: where its reply begins and ends (the loss mask) and where the example ends.  Writing
-every prefix out would square the size of a long conversation; :func:`example_texts` does that for the examples a
-trainer asks for.
+:func:`format_conversations` writes a conversation once, in one segment per turn; an example is a prefix of it and three offsets:
+where its reply begins and ends (the loss mask) and where the example ends.  :func:`expanded` writes every example out, as a
+trainer gets it.  That squares the size of a long conversation, which is the method's output; :func:`example_texts` does it for chosen
+examples alone.
 
 Template (a turn's markers depend on its role; any other role is written between role markers):
 ``[INST] user [/INST]``, ``<<SYS>> system <</SYS>>``, ``<s>assistant</s>``, ``[ROLE]name[/ROLE] text [/TEXT]``.
@@ -20,11 +20,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from daypanel.llm.frames import staged
 from daypanel.session import durable
 
 _TAILS = r"/?INST\]|/?ROLE\]|/TEXT\]|/?s>|</?SYS>>"
 _PLAIN = rf"([\[<])(\\*)(?={_TAILS})"
 _ESCAPED = rf"([\[<])(\\*)\\(?={_TAILS})"
+# No closing marker stands inside a text or role name, so the first one ends the turn.
+_SEGMENT = r"(?s)\[INST\] .*? \[/INST\]|<<SYS>> .*? <</SYS>>|<s>.*?</s>|\[ROLE\].*?\[/ROLE\] .*? \[/TEXT\]"
 _WRAP = {"user": ("[INST] ", " [/INST]"), "system": ("<<SYS>> ", " <</SYS>>"), "assistant": ("<s>", "</s>")}
 
 
@@ -107,8 +110,52 @@ def example_texts(formatted: DataFrame, wanted: DataFrame) -> DataFrame:
     w = wanted.withColumn("wanted_conv", F.col("conv_id")).drop("conv_id")
     pieces = w.join(formatted.select("conv_id", "position", "segment"),
                     w["wanted_conv"].eqNullSafe(formatted["conv_id"]) & (F.col("position") <= F.col("target")))
-    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("position", "segment"))), lambda x: x["segment"]), "")
-    return pieces.groupBy("conv_id", "target", "chars", "loss_start", "loss_end").agg(whole.alias("text"))
+    return pieces.groupBy("conv_id", "target", "chars", "loss_start", "loss_end").agg(_joined().alias("text"))
+
+
+def expanded(formatted: DataFrame) -> DataFrame:
+    """Every example written out: ``conv_id, target, first, text, loss_start, loss_end``, one row per assistant turn.
+
+    ``text`` is the whole context and the reply, offsets count from its begin, and ``first`` is 0.  What follows a conversation's last reply is
+    in no example; it makes a row of its own, with a null ``target`` and from turn ``first`` on.  Runs a job.  The texts are put together per
+    example, so those of a long conversation are spread over tasks.
+    """
+    kept = staged(formatted, "formatted")
+    nothing = F.lit(None).cast("bigint")
+    reply = F.when(F.col("loss_start").isNotNull(), F.col("position"))
+    ends = kept.groupBy("conv_id").agg(F.max(reply).alias("replied"), F.max("position").alias("last"))
+    rest = ends.where(F.col("replied").isNull() | (F.col("replied") < F.col("last"))).select(
+        F.col("conv_id").alias("conv"), nothing.alias("target"), F.coalesce(F.col("replied") + 1, F.lit(0)).alias("first"), "last",
+        nothing.alias("loss_start"), nothing.alias("loss_end"))
+    wanted = examples(kept).select(F.col("conv_id").alias("conv"), "target", F.lit(0).cast("bigint").alias("first"), F.col("target").alias("last"),
+                                   "loss_start", "loss_end").unionByName(rest)
+    pieces = wanted.join(kept.select("conv_id", "position", "segment"), F.col("conv").eqNullSafe(F.col("conv_id"))
+                         & F.col("position").between(F.col("first"), F.col("last")))
+    return pieces.groupBy("conv_id", "target", "first", "loss_start", "loss_end").agg(_joined().alias("text")).select(
+        "conv_id", "target", "first", "text", "loss_start", "loss_end")
+
+
+def read_back_examples(examples: DataFrame) -> DataFrame:
+    """The columns of :func:`read_back`, from the texts of :func:`expanded`: every text is taken apart at its markers.
+
+    A turn is taken from the first example that holds it: of each those after the reply before its own.
+    """
+    segments = F.regexp_extract_all("text", F.lit(_SEGMENT), F.lit(0))
+    parsed = examples.withColumn("segments", segments)
+    n = F.size("segments")
+    # From the end, without the example's own reply: how far back the reply before it is.
+    back = F.array_position(F.transform(F.reverse(F.slice("segments", F.lit(1), n - 1)), lambda s: s.startswith("<s>")), True).cast("int")
+    size = F.when(F.col("target").isNull() | (back == 0), n).otherwise(back)
+    parsed = parsed.withColumn("size", size)
+    own = F.slice("segments", n - F.col("size") + 1, F.col("size"))
+    masked = F.substring(F.col("text"), (F.col("loss_start") + 1).cast("int"), (F.col("loss_end") - F.col("loss_start")).cast("int"))
+    turns = parsed.select(
+        "conv_id", "target", "first", "size", unescape(masked).alias("masked"), F.length("text").cast("bigint").alias("chars"),
+        own.alias("own")).select("*", F.posexplode_outer("own").alias("k", "segment")).drop("own")
+    position = F.coalesce(F.col("target") + 1 - F.col("size"), F.col("first")) + F.col("k")
+    at_reply = position == F.col("target")
+    return turns.select("conv_id", position.alias("position"), *_turn(F.col("segment")), F.when(at_reply, F.col("masked")).alias("trainable"),
+                        F.length("segment").cast("bigint").alias("n_chars"), F.when(at_reply, F.col("chars")).alias("example_chars"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -117,22 +164,32 @@ def read_back(formatted: DataFrame) -> DataFrame:
     ``trainable`` is the text that the loss mask covers, unescaped; null outside assistant turns.
     """
     seg = F.col("segment")
-    other = r"(?s)^\[ROLE\](.*?)\[/ROLE\] (.*) \[/TEXT\]$"
-    role, text = F.regexp_extract(seg, other, 1), F.regexp_extract(seg, other, 2)
-    for name, (before, after) in _WRAP.items():
-        mine = seg.startswith(before)
-        role = F.when(mine, F.lit(name)).otherwise(role)
-        text = F.when(mine, F.substring(seg, F.lit(len(before) + 1), F.length(seg) - len(before) - len(after))).otherwise(text)
     masked = F.substring(seg, (F.col("loss_start") - F.col("start") + 1).cast("int"),
                          (F.col("loss_end") - F.col("loss_start")).cast("int"))
-    return formatted.select("conv_id", "position", unescape(role).alias("role"), unescape(text).alias("text"),
+    return formatted.select("conv_id", "position", *_turn(seg),
                             F.when(F.col("loss_start").isNotNull(), unescape(masked)).alias("trainable"),
                             F.length(seg).cast("bigint").alias("n_chars"),
                             F.when(F.col("loss_start").isNotNull(), F.col("end")).alias("example_chars"))
 
 
+def _turn(segment: Column) -> tuple[Column, Column]:
+    """Role and text of one segment."""
+    other = r"(?s)^\[ROLE\](.*?)\[/ROLE\] (.*) \[/TEXT\]$"
+    role, text = F.regexp_extract(segment, other, 1), F.regexp_extract(segment, other, 2)
+    for name, (before, after) in _WRAP.items():
+        mine = segment.startswith(before)
+        role = F.when(mine, F.lit(name)).otherwise(role)
+        text = F.when(mine, F.substring(segment, F.lit(len(before) + 1), F.length(segment) - len(before) - len(after))).otherwise(text)
+    return unescape(role).alias("role"), unescape(text).alias("text")
+
+
+def _joined() -> Column:
+    """The segments of a group in order, as one text."""
+    return F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("position", "segment"))), lambda x: x["segment"]), "")
+
+
 def digests(turns: DataFrame) -> DataFrame:
-    """One row per conversation of :func:`read_back`: counts and SHA-256 digests.
+    """One row per conversation of :func:`read_back` or :func:`read_back_examples`: counts and SHA-256 digests.
 
     A digest is sequential by nature, so a conversation's turns stream through one task in order, one batch at a time.
     """

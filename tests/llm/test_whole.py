@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from daypanel.llm import blob_ledger, frames, latent, notices, windows
+from daypanel.llm import blob_ledger, chat, frames, latent, notices, queries, windows
 from tests.llm.test_operators import SF, WORDS, prose
 
 
@@ -241,3 +241,36 @@ def test_notices_far_apart_and_in_long_rows():
         line.append(said)
     found = [(h.first_word, h.label) for h in notices.notice_hits(" ".join(line)) if h.label in ("all-rights-notice", "spdx-tag")]
     assert found == want
+
+
+# chat formatting
+
+def test_every_reply_is_an_example_written_out_and_read_back(spark, monkeypatch):
+    rnd = random.Random(31)
+    bits = ["[INST]", "[/INST]", " [/INST]", "<s>", "</s>", "<", "[", "\\", "<<SYS>> ", " <</SYS>>", "[ROLE]", "[/ROLE] ", " [/TEXT]", "\n", " ", "x", "é😀"]
+    rows = [(c if c else None, t, rnd.choice(["user", "assistant", "system", "tool", "", "a[/ROLE] b"]),
+             "".join(rnd.choices(bits, k=rnd.randrange(8)))) for c in range(60) for t in range(rnd.randrange(1, 12))]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    formatted = chat.format_conversations(frame).cache()
+    whole, replies = {}, Counter()
+    for r in sorted(formatted.collect(), key=lambda r: r["position"]):
+        whole[r["conv_id"]] = whole.get(r["conv_id"], "") + r["segment"]
+        replies[r["conv_id"]] += r["role"] == "assistant"
+    found = chat.expanded(formatted).collect()
+    written = [r for r in found if r["target"] is not None]
+    assert Counter(r["conv_id"] for r in written) == +replies
+    for r in written:
+        assert whole[r["conv_id"]].startswith(r["text"]) and r["text"][:r["loss_start"]].endswith("<s>") and r["text"][r["loss_end"]:] == "</s>"
+    longest = {c: max((r["text"] for r in written if r["conv_id"] == c), key=len, default="") for c in whole}
+    for c, text in whole.items():
+        assert [r["text"] for r in found if r["conv_id"] == c and r["target"] is None] == ([text[len(longest[c]):]] if text != longest[c] else [])
+    # The same digests as from the segments themselves.
+    by_text, by_segment = (Counter(tuple(r) for r in chat.digests(x).collect())
+                           for x in (chat.read_back_examples(chat.expanded(formatted)), chat.read_back(formatted)))
+    assert by_text == by_segment and len(by_text) == 60
+    # The query takes this way.
+    given = []
+    monkeypatch.setattr(chat, "read_back_examples", lambda x, f=chat.read_back_examples: given.append(x) or f(x))
+    query = queries.op2_chat_format(spark, SF).collect()
+    assert given[0].where("target is not null").count() == sum(r["n_examples"] for r in query) > 0
+    assert given[0].where("target is not null").agg(F.sum(F.length("text"))).first()[0] == sum(r["example_chars"] for r in query)

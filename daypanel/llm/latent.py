@@ -8,8 +8,8 @@ The benchmark is taken in blocks of bounded size; the steps below run for each b
    all passages.
 3. A randomised SVD of the passage-by-word matrix is computed by distributed sums: A'A applied to a random matrix, its
    orthonormal basis, and the Gram matrix inside that basis.  What comes to the driver is vocabulary x rank numbers.
-   The basis is the only thing fitted to a sample: documents chosen by a hash of their id, about ``FIT_PASSAGES`` passages.
-   All documents are projected and searched.
+   The basis is fitted to all passages: tasks count once which words stand together in a passage, the non-zeros of their part of A'A,
+   and multiply those.
 4. Passages whose latent cosine with an item reaches ``MIN_COSINE`` are candidates; there is no limit on their number.
    A passage of fixed width says little about much shorter or longer items, so the second source of candidates is a bound that no
    leak can miss, whatever its length: of the item's words without its commonest ones, so many must stand around the passage as the
@@ -37,12 +37,14 @@ from daypanel.llm.frames import staged
 WINDOW, STRIDE = 32, 16
 RANK, OVERSAMPLE = 160, 16
 MIN_COSINE = 0.6
+#: Passages whose words a task counts before it gives the counts out.  The basis is fitted to all passages, whatever this is.
 FIT_PASSAGES = 400_000
 #: A leak: this share of the item's words in order; or a paraphrase: the lower share, and that share of the answer's words.
 EXACT_LCS, PARAPHRASE_LCS, ANSWER_LCS = 0.8, 0.6, 0.8
 LEAST_WORDS = 8
 BLOCK_CHARS = 200_000
 _CHUNK = 50_000
+_PAIRS = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -116,9 +118,7 @@ def _block_leaks(texts: DataFrame, block: Block, min_cosine: float) -> DataFrame
     counted = known.mapInArrow(_passage_counts(size), "part int, block int, sums binary")
     counts = _summed(counted, size + 1, 1)[:, 0]
     weights = np.log((1.0 + counts[-1]) / (1.0 + counts[:-1])) ** 2
-    share = min(1.0, FIT_PASSAGES / max(1.0, float(counts[-1])))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(math.ceil(share * (1 << 20)))
-    basis = latent_basis(known.where(chosen), weights)
+    basis = latent_basis(known, weights)
     rare = spark.sparkContext.broadcast(_rare_words(block, counts[:-1] / max(1.0, float(counts[-1]))))
     return known.mapInArrow(
         _search(shared, spark.sparkContext.broadcast((basis * weights[:, None]).astype(np.float32)), rare, min_cosine),
@@ -129,10 +129,11 @@ def latent_basis(known: DataFrame, weights: np.ndarray, rank: int = RANK, oversa
     """Right singular vectors (vocabulary x rank) of the weighted passage-by-word matrix."""
     size = len(weights)
     width = min(rank + oversample, size)
+    together = staged(known.mapInArrow(_together(size, FIT_PASSAGES), "pairs binary, times binary"), "words-together")
     start = np.random.default_rng(7).standard_normal((size, width))
-    sketch = _summed(known.mapInArrow(_gram_times(_weighted(known, weights, start), size), _SUMS), size, width)
+    sketch = _summed(together.mapInArrow(_gram_times(_weighted(known, weights, start), size), _SUMS), size, width)
     basis, _ = np.linalg.qr(sketch * weights[:, None])
-    gram = _summed(known.mapInArrow(_gram_inside(_weighted(known, weights, basis)), _SUMS), width, width)
+    gram = _summed(together.mapInArrow(_gram_inside(_weighted(known, weights, basis), size), _SUMS), width, width)
     values, vectors = np.linalg.eigh(gram)
     return basis @ vectors[:, np.argsort(-values)[:min(rank, width)]]
 
@@ -283,29 +284,77 @@ def _passage_counts(size: int):
     return run
 
 
+def _together(size: int, passages: int):
+    """The non-zeros of a task's part of A'A: ``a * size + b`` for words ``a <= b`` of one stride, and how often they stand there together.
+
+    A pair of unlike words counts for both triangles.
+    """
+    def counted(pairs: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        keys, place = np.unique(np.concatenate(pairs), return_inverse=True)
+        return keys, np.bincount(place, weights=np.concatenate(times), minlength=len(keys)).astype(np.int64)
+
+    def row(pairs: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = counted(pairs, times)
+        return pa.RecordBatch.from_arrays([pa.array([keys.tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], ["pairs", "times"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: list[np.ndarray] = []
+        times: list[np.ndarray] = []
+        taken = 0
+        for c in _chunks(batches):
+            word = c.word.astype(np.int64)
+            found, weight = [word * (size + 1)], [np.ones(len(word), np.int64)]
+            for after in range(1, STRIDE):
+                k = np.flatnonzero(c.stride[after:] == c.stride[:-after])
+                a, b = word[k], word[k + after]
+                found.append(np.minimum(a, b) * size + np.maximum(a, b))
+                weight.append(np.where(a == b, 2, 1))
+            keys, n = counted(found, weight)
+            pairs.append(keys)
+            times.append(n)
+            taken += c.strides
+            if sum(map(len, pairs)) > _PAIRS:
+                keys, n = counted(pairs, times)
+                pairs, times = [keys], [n]
+            if taken >= passages or len(pairs) == 1 and len(pairs[0]) > _PAIRS // 2:
+                yield row(pairs, times)
+                pairs, times, taken = [], [], 0
+        if pairs:
+            yield row(pairs, times)
+
+    return run
+
+
+def _applied(batches: Iterator[pa.RecordBatch], m: np.ndarray, size: int) -> np.ndarray:
+    """A'(A M) of the batches' words that stand together."""
+    total = np.zeros((size, m.shape[1]))
+    for batch in batches:
+        for pairs, times in zip(batch.column("pairs").to_pylist(), batch.column("times").to_pylist(), strict=True):
+            a, b = np.divmod(np.frombuffer(pairs, np.int64), size)
+            n = np.frombuffer(times, np.int64).astype(np.float32)
+            unlike = a != b
+            for rows, others, n_of in ((a, b, n), (b[unlike], a[unlike], n[unlike])):
+                order = np.argsort(rows, kind="stable")
+                for lo in range(0, len(order), _ROWS * 16):
+                    k = order[lo:lo + _ROWS * 16]
+                    starts = np.flatnonzero(np.diff(rows[k], prepend=-1))
+                    total[rows[k[starts]]] += np.add.reduceat(m[others[k]] * n_of[k, None], starts, axis=0)
+    return total
+
+
 def _gram_times(matrix, size: int):
     """A'(A M) without the weights of the outer A', which the caller multiplies in."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = matrix.value
-        total = np.zeros((size, m.shape[1]))
-        for c in _chunks(batches):
-            passages = _stride_sums(m, c)
-            order = np.argsort(c.word, kind="stable")
-            total += _group_sums(passages[c.stride[order]], c.word[order].astype(np.int64), size)
-        yield from _emitted(_in_blocks(total))
+        yield from _emitted(_in_blocks(_applied(batches, matrix.value, size)))
 
     return run
 
 
-def _gram_inside(matrix):
+def _gram_inside(matrix, size: int):
     """(A M)'(A M)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = matrix.value
-        total = np.zeros((m.shape[1], m.shape[1]))
-        for c in _chunks(batches):
-            passages = _stride_sums(m, c)
-            total += passages.T @ passages
-        yield from _emitted(_in_blocks(total))
+        yield from _emitted(_in_blocks(m.T.astype(np.float64) @ _applied(batches, m, size)))
 
     return run
 

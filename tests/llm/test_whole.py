@@ -6,6 +6,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from daypanel.llm import blob_ledger, chat, frames, latent, notices, queries, windows
@@ -94,6 +95,37 @@ def test_leaks_of_items_of_every_length(spark, docs, monkeypatch):
                 assert found == ((i, block.ids[j]) in got)
 
 
+def test_the_basis_is_fitted_to_all_passages(spark, docs, monkeypatch):
+    monkeypatch.setattr(latent, "FIT_PASSAGES", 1)
+    fitted = []
+    monkeypatch.setattr(latent, "latent_basis", lambda known, weights, real=latent.latent_basis: (fitted.append(known.count()), real(known, weights))[1])
+    rows = [(k, " ".join(random.Random(k).choices(WORDS, k=40))) for k in range(60)]
+    bench = spark.createDataFrame([(1, " ".join(WORDS[:20]))], "item_id bigint, text string")
+    latent.contaminated(docs(rows), bench).count()
+    assert fitted == [60]
+
+
+def test_sums_of_words_that_stand_together(spark, monkeypatch):
+    """A'(A M) and (A M)'(A M) against the dense matrix of strides, words that stand twice in a stride and parts that are given out early included."""
+    monkeypatch.setattr(latent, "_PAIRS", 200)
+    monkeypatch.setattr(latent, "_CHUNK", 300)
+    rng, size = np.random.default_rng(4), 30
+    rows, dense = [], []
+    for k in range(90):
+        n = int(rng.integers(0, 70))
+        at = np.sort(rng.choice(n, int(rng.integers(0, n + 1)), replace=False)).astype(np.int32)
+        word = (rng.integers(0, size, len(at)) * rng.random(len(at))).astype(np.int32)
+        rows.append((k, n, at.tobytes(), word.tobytes()))
+        for s in range(max(1, -(-n // latent.STRIDE))):
+            dense.append(np.bincount(word[at // latent.STRIDE == s], minlength=size))
+    batch = pa.RecordBatch.from_pylist([dict(zip(("doc_id", "n_words", "at", "word"), r)) for r in rows])
+    a, m = np.array(dense, float), rng.standard_normal((size, 7))
+    for passages in (20, 10_000):
+        together = list(latent._together(size, passages)(iter([batch])))
+        assert len(together) > 1
+        assert np.allclose(latent._applied(iter(together), m.astype(np.float32), size), a.T @ (a @ m), rtol=1e-4, atol=1e-3)
+
+
 # 3: substring dedup
 
 def test_passages_with_parts_that_stand_twice():

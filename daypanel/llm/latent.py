@@ -303,13 +303,13 @@ def _together(size: int, passages: int):
         taken = 0
         for c in _chunks(batches):
             word = c.word.astype(np.int64)
-            found, weight = [word * (size + 1)], [np.ones(len(word), np.int64)]
+            found = [word * (size + 1)]
             for after in range(1, STRIDE):
                 k = np.flatnonzero(c.stride[after:] == c.stride[:-after])
                 a, b = word[k], word[k + after]
-                found.append(np.minimum(a, b) * size + np.maximum(a, b))
-                weight.append(np.where(a == b, 2, 1))
-            keys, n = counted(found, weight)
+                both = np.minimum(a, b) * size + np.maximum(a, b)
+                found += [both, both[a == b]]
+            keys, n = np.unique(np.concatenate(found), return_counts=True)
             pairs.append(keys)
             times.append(n)
             taken += c.strides

@@ -214,6 +214,40 @@ def test_edits_at_the_joint_of_two_common_lines(spark, docs):
     assert all(classes[i] == i for i in range(1200))
 
 
+def test_edited_passages_of_seeds_that_many_documents_share(spark, docs):
+    """Every line stands in dozens of documents and every two in a row in ten, each edited elsewhere: no seed and no chain of seeds has
+    few documents, and no 50 words are equal."""
+    rng = np.random.default_rng(29)
+
+    def prose(n):
+        return [f"w{x}" for x in rng.integers(0, 50_000, n)]
+
+    lines = [prose(30) for _ in range(6)]
+    rows = [(100 * n + k, prose(40) + line + prose(40)) for n, line in enumerate(lines) for k in range(60)]
+    orders = list(itertools.combinations(range(6), 2))
+    for g, (x, y) in enumerate(orders):
+        for k in range(10):
+            edited = lines[x] + lines[y]
+            edited[26 + k % 8] = f"changed{g}of{k}"
+            rows.append((1000 + g + 100 * k, prose(30 + k) + edited + prose(40)))
+    frame = docs([(i, " ".join(t)) for i, t in rows])
+    passages = windows.repeated_passages(frame)
+    classes = {r["doc_id"]: r["class_id"] for r in windows.passage_classes(frame, passages).collect()}
+    texts = {i: [tuple(t[j:j + 5]) for j in range(len(t) - 4)] for i, t in rows}
+    # Brute force over the edited stretches: who is similar to whom, and what hangs together by that.
+    alike = {i: i for i in texts}
+    for g in range(len(orders)):
+        mine = [(1000 + g + 100 * k, set(texts[1000 + g + 100 * k][30 + k:30 + k + 56])) for k in range(10)]
+        for (i, a), (j, b) in itertools.combinations(mine, 2):
+            if len(a & b) >= 0.8 * len(a | b):
+                alike[j] = min(alike[j], alike[i])
+        assert all(alike[i] == 1000 + g for i, _ in mine)
+    assert classes == alike
+    for r in passages.collect():
+        a, b = (set(texts[r[f"{s}"]][r[f"start_{s}"]:r[f"end_{s}"] - 4]) for s in "ab")
+        assert len(a & b) >= 0.8 * len(a | b) - 1e-9
+
+
 def test_pairs_left_out_by_the_count_of_common_shingles():
     """No pair with a passage is left out before verification, repeats or none."""
     rnd = random.Random(23)

@@ -1,6 +1,6 @@
 """Phrase collocation mining by SON partitioning: local mining at lowered support, union, exact count.
 
-A shard is up to ``SHARD_BYTES`` of consecutive texts of one task, and ends earlier with ``MOST_KEYS`` different phrases.  A phrase with at least ``support`` occurrences has in some shard at least
+A shard is up to ``SHARD_BYTES`` of texts of one task (smaller partitions are put together for it), and ends earlier with ``MOST_KEYS`` different phrases.  A phrase with at least ``support`` occurrences has in some shard at least
 ``support`` times the shard's share of all text, so mining every shard completely at that local support misses none.
 
 1. Local mining.  Every task sorts the hashes of its shard's phrases, ``PART_BYTES`` of text at a time, and gives out those that reach the
@@ -251,12 +251,16 @@ def phrase_counts(docs: DataFrame, support: int, longest: int, shard_bytes: int
     all_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     schema = "key bigint, words int, n bigint, slack bigint"
     part = min(PART_BYTES, shard_bytes)
-    short = _candidates(texts.mapInArrow(_miner((1, 2), support, all_bytes, shard_bytes, part, None), schema), support, "short-phrases")
+    # A shard ends with its task, and the larger a shard the higher its local support: tasks hold two thirds of the most a shard may, so that
+    # uneven ones leave no small shard at their end, whose local support would be low.
+    tasks = max(context.defaultParallelism, -(-3 * all_bytes // (2 * shard_bytes)))
+    shards = texts.coalesce(tasks)
+    short = _candidates(shards.mapInArrow(_miner((1, 2), support, all_bytes, shard_bytes, part, None), schema), support, "short-phrases")
     pairs = context.broadcast(_bitmap(short.where("words = 2")))
     longer = tuple(range(3, longest + 1))
     found = short
     if longer:
-        found = short.unionByName(_candidates(texts.mapInArrow(_miner(longer, support, all_bytes, shard_bytes, part, pairs), schema), support, "long-phrases"))
+        found = short.unionByName(_candidates(shards.mapInArrow(_miner(longer, support, all_bytes, shard_bytes, part, pairs), schema), support, "long-phrases"))
     candidates = context.broadcast(_bitmap(found))
     counted = texts.mapInArrow(_counter((1, 2, *longer), part, candidates, pairs), "lang string, phrase string, words int, n bigint")
     sums = staged(counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")), "phrase-counts")

@@ -73,6 +73,24 @@ def test_shards_of_all_sizes(spark, support, shard, parts, top):
     assert found == brute(rows, support, top=top)
 
 
+def test_small_partitions_make_no_small_shards(spark, monkeypatch):
+    """What the shards give out goes by their size, not by the number of partitions that the texts lie in."""
+    rnd = random.Random(3)
+    rows = [("en", " ".join(f"w{rnd.randrange(60)}" for _ in range(80))) for _ in range(320)]
+    given, candidates = [], collocations._candidates
+
+    def counted(mined, support, label):
+        given.append(mined.count())
+        return candidates(mined, support, label)
+
+    monkeypatch.setattr(collocations, "_candidates", counted)
+    found = []
+    for parts in (4, 160):
+        found.append(got(collocations.collocations(table(spark, rows, parts), support=60)))
+    assert found[0] == found[1] == brute(rows, 60)
+    assert given[2] + given[3] <= 3 * (given[0] + given[1])
+
+
 def test_shards_of_many_parts(spark, monkeypatch):
     monkeypatch.setattr(collocations, "PART_BYTES", 150)
     rnd = random.Random(5)

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from daypanel.catalog import expected
 from daypanel.functions.calendar import julian_day
 from daypanel.functions.numeric import round_half_away
 from daypanel.plans.build import UNGATED, Landing, Tolerance, build
 from daypanel.plans.catalog_views import publish_catalog
-from daypanel.session import scratch_path
+from daypanel.session import scratch_path, tuned
 from daypanel.sources.case_series import MANDATORY, OPTIONAL
 from daypanel.sources.contract import INT, SourceContract
 from daypanel.sources.contracts import (
@@ -26,6 +27,8 @@ from daypanel.sources.contracts import (
 # The event types as five sources; any other type belongs to the last.
 SERIES_TYPES = ["click", "error", "purchase", "signup"]
 SERIES_COUNT = len(SERIES_TYPES) + 1
+# Rows of the panel that are worth a task of their own.
+_LEAST_ROWS = 5000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +53,38 @@ def dated_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def counted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event count per user and day, the panel that the landed sources are computed from: aggregated once per session."""
+    return _counted(spark, sf_dir)[1]
+
+
+def counted_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same per series (see ``SERIES_TYPES``), user and day."""
+    return _counted(spark, sf_dir)[0]
+
+
+def _counted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both panels as written by one reading of the events, the second from the first.
+
+    The files are as many as tasks pay for: each of the wide text sources is then written by that many tasks, however few bytes the panel has.
+    """
+    def write() -> tuple[str, str]:
+        kinds, days = scratch_path(spark, "counted_kinds"), scratch_path(spark, "counted_days")
+        kind = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(i)) for i, t in enumerate(SERIES_TYPES)], F.lit(len(SERIES_TYPES)))
+        panel = table(spark, sf_dir, "events").groupBy(kind.alias("s"), "user_id", F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"))
+        seen = Observation()
+        panel.observe(seen, F.count("*").alias("rows")).write.parquet(kinds)
+        tasks = max(1, min(2 * spark.sparkContext.defaultParallelism, seen.get["rows"] // _LEAST_ROWS))
+        by_day = spark.read.schema(panel.schema).parquet(kinds).groupBy("user_id", "day").agg(F.sum("n").alias("n"))
+        by_day.repartition(tasks, "user_id", "day").write.parquet(days)
+        return kinds, days
+
+    kinds, days = _once(spark, sf_dir, "counted", write)
+    user = table(spark, sf_dir, "events").schema["user_id"].dataType.simpleString()
+    schema = f"user_id {user}, day date, n bigint"
+    return spark.read.schema(f"s int, {schema}").parquet(kinds), spark.read.schema(schema).parquet(days)
+
+
 def order_panel(spark: SparkSession, sf_dir: str, by_nation: bool = False) -> DataFrame:
     """Few entities on a long time axis: order count per priority (and the customer's nation) and day."""
     orders, entity = table(spark, sf_dir, "orders"), ["o_orderpriority"]
@@ -66,7 +101,7 @@ def _text(c: str) -> Column:
 
 
 def nytcounties_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dated_panel(spark, sf_dir).select(
+    return counted_days(spark, sf_dir).select(
         F.date_format("day", "yyyy-MM-dd").alias("date"),
         F.concat(F.lit('County "No", '), _text("user_id")).alias("county"),
         F.concat(F.lit("S"), (F.col("user_id") % 50).cast("string")).alias("state"),
@@ -131,7 +166,7 @@ def covidtracking_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         value = F.col("n") * (i + 1) if f.kind == INT else F.concat(F.lit(f"t{i} "), _text("n"))
         return F.when(present, value)
 
-    return _by_header(dated_panel(spark, sf_dir), COVIDTRACKING, fixed, column).toDF(*expected.STATES)
+    return _by_header(counted_days(spark, sf_dir), COVIDTRACKING, fixed, column).toDF(*expected.STATES)
 
 
 def owid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +182,7 @@ def owid_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def column(i: int, f) -> Column:
         return F.when((F.col("user_id") + i) % 3 != 0, F.col("n") + F.lit(i / 4))
 
-    return _by_header(dated_panel(spark, sf_dir), OWID, fixed, column).toDF(*expected.WORLD)
+    return _by_header(counted_days(spark, sf_dir), OWID, fixed, column).toDF(*expected.WORLD)
 
 
 def rtlive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,7 +197,7 @@ def rtlive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "new_cases": F.when(F.col("user_id") % 3 == 0, F.col("n") + F.lit(0.75)),
         "new_deaths": F.when(F.col("user_id") % 5 == 0, F.lit(0.49999999999999994)),
     }
-    return _by_header(dated_panel(spark, sf_dir), RTLIVE, fixed, lambda i, f: F.col("n") + F.lit(i / 4))
+    return _by_header(counted_days(spark, sf_dir), RTLIVE, fixed, lambda i, f: F.col("n") + F.lit(i / 4))
 
 
 def location_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,12 +223,7 @@ def location_map_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def case_series_rows(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Five case series, one per event type; two datasets each, and optional columns in every second one."""
-    events = table(spark, sf_dir, "events")
-    kind = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(i)) for i, t in enumerate(SERIES_TYPES)],
-                      F.lit(len(SERIES_TYPES)))
-    panel = events.groupBy(kind.alias("s"), "user_id", F.col("ts").cast("date").alias("day")).agg(
-        F.count("*").alias("n")
-    )
+    panel = counted_kinds(spark, sf_dir)
     user, n, day = F.col("user_id"), F.col("n"), F.col("day")
     index = F.dayofmonth(day)
     values = {
@@ -277,21 +307,22 @@ def land_headers(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 def land_series(spark: SparkSession, sf_dir: str) -> list[str]:
     """Write the case series as Parquet folders, once per session."""
     def write() -> list[str]:
-        paths = []
-        for s, rows in enumerate(case_series_rows(spark, sf_dir)):
-            path = scratch_path(spark, f"series{s}")
-            rows.write.parquet(path)
-            paths.append(path)
+        series = case_series_rows(spark, sf_dir)
+        paths = [scratch_path(spark, f"series{s}") for s in range(len(series))]
+        with ThreadPoolExecutor(len(series)) as pool:
+            list(pool.map(lambda rows, path: rows.write.parquet(path), series, paths))
         return paths
 
     return _once(spark, sf_dir, "case_series", write)
 
 
 def landing(spark: SparkSession, sf_dir: str) -> Landing:
-    """All sources, landed."""
-    text = {name: land_text(spark, sf_dir, contract) for name, contract in CONTRACTS.items()}
-    series = [spark.read.parquet(path) for path in land_series(spark, sf_dir)]
-    return Landing(text, series)
+    """All sources, landed: their jobs share the cluster instead of queueing."""
+    with tuned(spark), ThreadPoolExecutor(len(CONTRACTS) + 1) as pool:
+        _counted(spark, sf_dir)
+        series = pool.submit(land_series, spark, sf_dir)
+        text = dict(zip(CONTRACTS, pool.map(lambda contract: land_text(spark, sf_dir, contract), CONTRACTS.values())))
+        return Landing(text, [spark.read.parquet(path) for path in series.result()])
 
 
 def built_root(spark: SparkSession, sf_dir: str) -> str:

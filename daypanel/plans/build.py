@@ -8,7 +8,7 @@ figures that gates ask for, are observed while its rows pass by.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -104,14 +104,15 @@ def _build(spark: SparkSession, landing: Landing, root: str, build_id: str, mini
            expectations: Sequence[Expectation]) -> dict[str, DataFrame]:
     tables = {"build_meta": store.write_meta(spark, store.table_path(root, build_id, "build_meta"))}
     report: list[tuple[str, str, int]] = []
-    # The text sources do not depend on each other: their jobs share the cluster instead of queueing.
-    with ThreadPoolExecutor(len(CONTRACTS)) as pool:
-        ingested = pool.map(lambda c: _ingest(spark, c, landing, root, build_id, report, expectations), CONTRACTS.values())
-        staged = dict(zip(CONTRACTS, ingested))
+    # The text sources do not depend on each other, and the cases on two of them: their jobs share the cluster instead of queueing.
+    with ThreadPoolExecutor(len(CONTRACTS) + 1) as pool:
+        ingested = {name: pool.submit(_ingest, spark, c, landing, root, build_id, report, expectations) for name, c in CONTRACTS.items()}
+        cases = pool.submit(_build_cases, landing.case_series, ingested, root, build_id, report)
+        staged = {name: done.result() for name, done in ingested.items()}
+        built = cases.result()
     tables |= {name: df for name, df in staged.items() if name in store.SCHEMAS}
-    fips = case_facts.fips_population(staged["loc_lookup"])
     tables["loc_lookup"] = _write(staged["loc_lookup"].drop(*ROW_ORDER), root, build_id, "loc_lookup")
-    tables |= _build_cases(landing.case_series, staged["location_map"], fips, root, build_id, report)
+    tables |= built
     _write_report(spark, landing, root, build_id, report)
     stored = {source: value for source, measure, value in report if measure == "rows_stored"}
     gates(tables, minimum_rows, [e for e in expectations if e.table not in _IN_PASS], stored)
@@ -249,7 +250,7 @@ def _write(df: DataFrame, root: str, build_id: str, name: str, required: Sequenc
     return store.write_table(df, path, store.PARTITIONS.get(name, ()), required=required, hidden=hidden)
 
 
-def _build_cases(case_series: Sequence[DataFrame], location_rows: DataFrame, fips: DataFrame, root: str,
+def _build_cases(case_series: Sequence[DataFrame], ingested: Mapping[str, Future], root: str,
                  build_id: str, report: list[tuple[str, str, int]]) -> dict[str, DataFrame]:
     def counted(name: str, df: DataFrame, *more: Column, **write) -> DataFrame:
         seen = Observation()
@@ -257,8 +258,11 @@ def _build_cases(case_series: Sequence[DataFrame], location_rows: DataFrame, fip
         report.extend((name.removesuffix("_staged"), measure, value) for measure, value in seen.get.items())
         return out
 
+    location_rows = ingested[LOCATION_MAP.name].result()
     # Written once: every later step reads the same rows, and the sources no more.  Rows of unknown locations are found on the way.
-    flagged = case_facts.flag_unknown(case_facts.prepare_sources(case_series), location_rows)
+    # The days to fill are found on the way too, so the wide rows are shuffled and sorted for it once.
+    series = case_facts.find_next_days(case_facts.prepare_sources(case_series))
+    flagged = case_facts.flag_unknown(series, location_rows)
     series = counted("case_series_staged", flagged, F.count_if(case_facts.IS_NEW).alias("rows_of_new_keys"))
     stop_on("case series", case_facts.series_violations(case_facts.series_spans(series)))
     locations = case_facts.base_locations(location_rows)
@@ -270,10 +274,11 @@ def _build_cases(case_series: Sequence[DataFrame], location_rows: DataFrame, fip
     dimension = locations.select(*case_facts.CDATASET_LOC)
     dimension = counted("cdataset_loc", dimension, required=case_facts.CDATASET_LOC_REQUIRED)
     publish_gate(dimension, "cdataset_loc", ["locid"])
+    fips = case_facts.fips_population(ingested[LOC_LOOKUP.name].result())
     keys = counted("location_keys_staged", case_facts.location_keys(locations, fips))
     by_measure = {(source, measure): value for source, measure, value in report}
     report.append(("location_map", "repeated_keys", by_measure["cdataset_loc", "rows_stored"] - by_measure["location_keys", "rows_stored"]))
-    # Gap filling refuses duplicate keys, and no two sources cover the same days: the key is unique.
-    facts = case_facts.by_day(_dated(case_facts.facts(series, keys), "cdataset_raw"))
+    # Finding the next days refused duplicate keys, and no two sources cover the same days: the key is unique.
+    facts = case_facts.by_day(_dated(case_facts.facts(series, keys), "cdataset_raw"), case_facts.day_sizes(series))
     facts = counted("cdataset_raw", facts, required=case_facts.CDATASET_RAW_REQUIRED, hidden=["date"])
     return {"cdataset_loc": dimension, "cdataset_raw": facts}

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from daypanel.functions.calendar import julian_day, julian_from_ymd, parse_day
+from daypanel.functions.calendar import day_text, julian_day, julian_from_ymd, parse_day
 from daypanel.functions.numeric import require_value
 from daypanel.functions.text import null_to_empty, null_to_zero
 from daypanel.operators.dims import assign_dense_ids, last_wins_lookup, lookup_left_join, upsert_dimension
 from daypanel.operators.panel import fill_to_next, per_capita, with_next_day
+from daypanel.session import durable
 from daypanel.sources.case_series import MANDATORY, OPTIONAL, SOURCE, align_schema, union_sources
 from daypanel.sources.contract import ROW_ORDER
 
@@ -18,6 +19,8 @@ DAY = "date_julian"
 HORIZON = "horizon"
 NEXT = "next_day"
 IS_NEW = "is_new"
+_BEFORE = "__before"
+_FILE = "__file"
 SERIES_KEY = [SOURCE, "dataset", "location_key", DAY]
 
 # Columns of the fact table by their role on an added day, and in table order.
@@ -42,6 +45,7 @@ CDATASET_RAW = """
     factbook_area factbook_population factbook_death_rate factbook_median_age""".split()
 CDATASET_RAW_KEY = ["dataset", "locid", DAY]
 _LAID_OUT = ["dataset", DAY, "locid"]
+_FILE_ROWS, _LEAST_FILE_ROWS = 500_000, 20_000
 CDATASET_RAW_REQUIRED = ["dataset", "locid", DAY, "day_index_0", "day_index_1", *COUNTS]
 CDATASET_LOC = """
     locid xtype label country_code country_normalized province_normalized administrative_normalized
@@ -74,6 +78,14 @@ def prepare_sources(sources: Sequence[DataFrame]) -> DataFrame:
     return union_sources(prepared)
 
 
+def find_next_days(series: DataFrame) -> DataFrame:
+    """``series`` with the next observed day of its dataset, location and source.
+
+    Dealt out by location alone, so that a join by location to a large map needs no second shuffle.  A NULL or second key fails the job.
+    """
+    return with_next_day(series.repartition("location_key"), ["location_key", SOURCE, "dataset"], DAY, NEXT)
+
+
 def flag_unknown(series: DataFrame, location_rows: DataFrame) -> DataFrame:
     """``series`` with ``is_new``: whether the location map lacks the row's key.
 
@@ -86,7 +98,8 @@ def flag_unknown(series: DataFrame, location_rows: DataFrame) -> DataFrame:
 
 def series_spans(series: DataFrame) -> DataFrame:
     """Per dataset, location and source: the days its filled rows will cover.  Reduced in each task."""
-    stated = julian_day(parse_day("date"))
+    # Most texts are the day as it would be written, which spares them the parser.
+    stated = F.when((F.col("date") == day_text(DAY)) & (F.col("date_year") > 0), F.col(DAY)).otherwise(julian_day(parse_day("date")))
     return series.groupBy("dataset", "location_key", SOURCE).agg(
         F.min(DAY).alias("first_day"),
         F.greatest(F.max(DAY), F.max(HORIZON)).alias("last_day"),
@@ -149,10 +162,10 @@ def fips_population(loc_lookup_rows: DataFrame) -> DataFrame:
 def facts(series: DataFrame, keys: DataFrame) -> DataFrame:
     """A row for every day of every dataset and location, in table order.
 
-    The days to fill are found before the locations are joined, from the sources' key columns alone;
+    The days to fill are found before the locations are joined, if :func:`find_next_days` has not stored them with the rows;
     the rows multiply only after the join.
     """
-    dated = with_next_day(series, SERIES_KEY[:-1], DAY, NEXT)
+    dated = series if NEXT in series.columns else with_next_day(series, SERIES_KEY[:-1], DAY, NEXT)
     filled = fill_to_next(
         observed_facts(dated, keys), DAY, NEXT, HORIZON,
         zero=ZERO_ON_FILL, null=NULL_ON_FILL, advance=ADVANCE_ON_FILL,
@@ -160,12 +173,31 @@ def facts(series: DataFrame, keys: DataFrame) -> DataFrame:
     return filled.select(*[F.col(c).cast("bigint") if c in ADVANCE_ON_FILL else F.col(c) for c in CDATASET_RAW])
 
 
-def by_day(facts: DataFrame) -> DataFrame:
+def day_sizes(series: DataFrame) -> DataFrame:
+    """How many facts each dataset and day will have, as ``dataset, date_julian, n``: from four columns of series with their next days."""
+    days = fill_to_next(series.select("dataset", DAY, NEXT, HORIZON), DAY, NEXT, HORIZON)
+    return durable(days.groupBy("dataset", DAY).agg(F.count("*").alias("n")))
+
+
+def by_day(facts: DataFrame, sizes: DataFrame, file_rows: int = _FILE_ROWS) -> DataFrame:
     """Facts as they are laid out: a file holds few days of a dataset, so that day filters prune.
 
-    The ranges go down to the location, so a dataset or a day with most of the rows is spread over as many files as it fills.
+    The borders of the files come from ``sizes`` (:func:`day_sizes`), so the facts are computed once; ranges would be found by a sample, which computes
+    them all once more.  A day with more rows than a file may have is spread over several by location.  What is broadcast is one row per dataset and day.
     """
-    return facts.repartitionByRange(*_LAID_OUT).sortWithinPartitions(*_LAID_OUT)
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tasks = 2 * facts.sparkSession.sparkContext.defaultParallelism
+    file_rows = max(1, min(file_rows, max(_LEAST_FILE_ROWS, -(-total // tasks))))
+    # One task, but over one row per dataset only.
+    datasets = sizes.groupBy("dataset").agg(F.sum("n").alias("rows"))
+    earlier = Window.orderBy("dataset").rowsBetween(Window.unboundedPreceding, -1)
+    starts = datasets.select("dataset", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"))
+    days = Window.partitionBy("dataset").orderBy(DAY).rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn(_BEFORE, F.coalesce(F.sum("n").over(days), F.lit(0))).join(starts, "dataset")
+    before = before.select("dataset", DAY, (F.col("start") + F.col(_BEFORE)).alias(_BEFORE), "n")
+    place = F.col(_BEFORE) + F.pmod(F.xxhash64("locid"), F.col("n"))
+    placed = facts.join(F.broadcast(before), ["dataset", DAY], "left").select(*[facts[c] for c in facts.columns], F.floor(place / file_rows).cast("int").alias(_FILE))
+    return placed.repartitionById(max(1, -(-total // file_rows)), _FILE).drop(_FILE).sortWithinPartitions(*_LAID_OUT)
 
 
 def observed_facts(series: DataFrame, keys: DataFrame) -> DataFrame:

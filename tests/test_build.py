@@ -1,19 +1,22 @@
 """The whole job over invented sources."""
 
 import datetime as dt
+from collections import Counter
 from functools import partial
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from daypanel.__main__ import main
+from daypanel.catalog import inputs
 from daypanel.operators.panel import with_next_day
 from daypanel.operators.quality import QualityError
 from daypanel.plans import store
 from daypanel.plans.build import HARVEY_EXPECTATIONS, MINIMUM_ROWS, UNGATED, Landing, build, build_and_register
 from daypanel.plans.case_facts import (
-    CDATASET_LOC, CDATASET_RAW, location_keys, prepare_sources, series_spans, series_violations,
+    CDATASET_LOC, CDATASET_RAW, by_day, day_sizes, facts, find_next_days, location_keys, prepare_sources, series_spans, series_violations,
 )
 from daypanel.plans.schemas import SCHEMAS
 from daypanel.plans.views import VIEWS, view
@@ -201,6 +204,53 @@ def test_facts_are_laid_out_by_day(spark, tmp_path, landed):
     assert len(list(root.glob("builds/*/case_series_staged/*.parquet"))) > 0
 
 
+def test_facts_are_dealt_out_without_being_computed_twice(spark):
+    """A sample for ranges would compute them a second time; the sizes of days do without."""
+    wide = spark.range(3 * 20 * 50).select(
+        F.concat(F.lit("d"), (F.col("id") % 3).cast("string")).alias("dataset"), (F.floor(F.col("id") / 3) % 50).alias("locid"),
+        (JD + F.floor(F.col("id") / 150)).cast("int").alias("date_julian"))
+    hot = spark.range(900).select(F.lit("d1").alias("dataset"), (F.col("id") + 50).alias("locid"), F.lit(JD + 4).alias("date_julian"))
+    rows_ = wide.unionByName(hot)
+    laid = by_day(rows_, rows_.groupBy("dataset", "date_julian").agg(F.count("*").alias("n")), 200)
+    assert "rangepartitioning" not in laid._jdf.queryExecution().toString()
+    assert laid.columns == rows_.columns
+    assert sorted(map(tuple, laid.collect())) == sorted(map(tuple, rows_.collect()))
+    placed = laid.withColumn("p", F.spark_partition_id())
+    sizes = [r["count"] for r in placed.groupBy("p").count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 300  # the hot day of 950 rows is in several
+    spread = placed.where("locid < 50").groupBy("dataset", "date_julian").agg(F.countDistinct("p").alias("files"))
+    assert {r["files"] for r in spread.where(f"date_julian <> {JD + 4}").collect()} <= {1, 2}
+    assert by_day(rows_.limit(0), rows_.limit(0).groupBy("dataset", "date_julian").agg(F.count("*").alias("n"))).count() == 0
+
+
+def test_next_days_are_stored_with_the_series(spark, rows):
+    """Facts over the staged series need no window, and so no second shuffle of the wide rows."""
+    series = prepare_sources([_series(spark, [("d", "x", "2020-03-14", 1, None), ("d", "x", "2020-03-16", 2, None), ("d", "y", "2020-03-15", 1, None)])])
+    keys = spark.createDataFrame([("x", 1, 5), ("y", 2, None)], "location_key string, locid bigint, county_population bigint")
+    dated = find_next_days(series)
+    assert rows(dated, "location_key", "date_julian", "next_day") == [("x", JD, JD + 2), ("x", JD + 2, None), ("y", JD + 1, None)]
+    stored = spark.createDataFrame(dated.collect(), dated.schema)
+    assert "Window" not in facts(stored, keys)._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(facts(stored, keys)) == rows(facts(series, keys)) and facts(stored, keys).count() == 5
+    assert rows(day_sizes(dated)) == rows(facts(series, keys).groupBy("dataset", "date_julian").agg(F.count("*").alias("n")))
+
+
+def test_sources_are_landed_by_many_tasks(spark, tmp_path):
+    """However few bytes their panel has: the text sources are much wider than that."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    kinds = F.element_at(F.array(*[F.lit(k) for k in ("click", "view", "signup")], F.lit(None)), (F.col("id") % 4 + 1).cast("int"))
+    events = session.range(40000).select(
+        F.when(F.col("id") % 17 != 0, F.col("id") % 9000).alias("user_id"), kinds.alias("event_type"), F.lit(0.5).alias("value"),
+        F.timestamp_seconds(1704067200 + F.col("id") * 60).alias("ts"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    path = inputs.land_text(session, str(tmp_path), contracts.COVIDTRACKING)
+    assert len(list(Path(path).glob("part-*.csv"))) > 1
+    direct = inputs.dated_panel(session, str(tmp_path)).drop("cents")
+    assert Counter(map(tuple, inputs.counted_days(session, str(tmp_path)).select(*direct.columns).collect())) == Counter(map(tuple, direct.collect()))
+    assert inputs.counted_kinds(session, str(tmp_path)).agg(F.sum("n")).first()[0] == 40000
+
+
 def test_quoted_line_breaks_in_the_job(spark, tmp_path, landed):
     broken = {"date": "2020-03-14", "county": '"H\nX"', "state": "K", "fips": 20079, "cases": 1, "deaths": 0}
     text = _text(tmp_path, nytcounties_raw=[broken])

@@ -1,22 +1,21 @@
-"""Phrase collocation mining by SON partitioning: local mining at lowered support, union, exact count.
+"""Phrase collocation mining by SON partitioning: local counts of shards, union, exact second count.
 
-A shard is up to ``SHARD_BYTES`` of texts of one task (smaller partitions are put together for it), and ends earlier with ``MOST_KEYS`` different phrases.  A phrase with at least ``support`` occurrences has in some shard at least
-``support`` times the shard's share of all text, so mining every shard completely at that local support misses none.
+A shard is up to ``SHARD_BYTES`` of texts of one task (smaller partitions are put together for it), and ends earlier with ``MOST_KEYS`` different phrases.
+The local support is one.  A higher one would be ``support`` times the shard's share of all text; as shards are of bounded size, that falls
+as the input grows, and every shard would give out more the more of them there are.  So what a shard gives out depends on its own text.
 
-1. Local mining.  Every task sorts the hashes of its shard's phrases, ``PART_BYTES`` of text at a time, and gives out those that reach the
-   local support, with their count.
-   Words and pairs come first; longer phrases then only where all their pairs can still be frequent.
-2. Union.  The local counts of a phrase are added up.  What shards that did not give it out can still hold is known as well, so a phrase
-   that cannot reach the support any more is no candidate.
-3. Global count.  A second reading counts every phrase that hits the candidates' bitmap and gives it out with its text; after the sum over
-   shards the counts are exact, and whatever hit the bitmap by chance has an exact count too.  The support is applied to these.
+1. Local mining, level by level: words; pairs whose words are both frequent; longer phrases whose pairs are all frequent.  Every task sorts the
+   hashes of its shard's phrases, ``PART_BYTES`` of text at a time, and gives them out with their count.
+2. Union.  The local counts of a phrase are added up; those that reach the support are the candidates.
+3. Global count.  A second reading counts every phrase that hits the candidates' bitmap and gives it out with its text, once a task; after the
+   sum over tasks the counts are exact by text, and whatever hit a bitmap by chance has an exact count too.  The support is applied to these.
 
 Scores, containment and ranks are joins, aggregates and a limited window over the frequent phrases.
 
 Size.  A task holds the words of one part (or one text, if that is longer) and the different phrases of one shard.  What is broadcast are two bitmaps of ``BITMAP_BITS``
 bits, whatever the number of candidates: with more candidates more phrases pass that are no candidates, which costs time and changes
-no result.  A very common phrase is one row per shard or part.  Beyond ``support`` shards the local support is 1: then the first sums are exact already and
-the shards prune nothing, but pairs still prune the longer phrases.
+no result.  A very common phrase is one row per shard or part.  Rows shuffled in the first passes are at most the different phrases of every shard, so
+they grow with the text.
 
 Phrases are told apart inside a shard by 64-bit hashes of language and words (chance of a shared hash about 2**-58 a pair), in the result by text.
 
@@ -42,6 +41,7 @@ SHARD_BYTES = 64 << 20
 PART_BYTES = 8 << 20
 MOST_KEYS = 6_000_000
 BITMAP_BITS = 1 << 24
+COUNTING = 2  # tasks a core in the second reading
 _CHUNK = 1 << 20
 _BUCKET = 1 << 15  # bits of one row of bitmap_construct_agg
 
@@ -76,15 +76,17 @@ class _Part:
             np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, t)
             for k, t in enumerate((np.uint64, np.int32, np.int32, np.int32, np.int32)))
 
-    def phrases(self, n: int, pairs: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of all phrases of ``n`` words with the places of their first words; of those whose pairs hit the bitmap, if one is given."""
+    def phrases(self, n: int, inner: int = 0, bitmap: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of all phrases of ``n`` words with the places of their first words; of those alone whose phrases of ``inner`` words, if these
+        are fewer, all hit the bitmap.
+        """
         m = len(self.hashes) - n + 1
         if m <= 0:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         keep = self.pieces[:m] == self.pieces[n - 1:]
-        if pairs is not None and n > 2:
-            hit = self._pair_hits(pairs)
-            for k in range(n - 1):
+        if 0 < inner < n:
+            hit = self._inner_hits(inner, bitmap)
+            for k in range(n - inner + 1):
                 keep &= hit[k:k + m]
         at = np.flatnonzero(keep)
         return self._keys(n, at), at
@@ -95,11 +97,11 @@ class _Part:
             total = total * np.uint64(_BASE) + self.hashes[at + k]
         return mix(total ^ self.salts[self.codes[at]])
 
-    def _pair_hits(self, pairs: np.ndarray) -> np.ndarray:
-        if not hasattr(self, "_hit"):
-            at = np.flatnonzero(self.pieces[:-1] == self.pieces[1:])
+    def _inner_hits(self, n: int, bitmap: np.ndarray) -> np.ndarray:
+        if not hasattr(self, "_hit"):  # a part is read for one bitmap
+            keys, at = self.phrases(n)
             self._hit = np.zeros(len(self.hashes), bool)
-            self._hit[at] = _hits(pairs, self._keys(2, at))
+            self._hit[at] = _hits(bitmap, keys)
         return self._hit
 
 
@@ -154,33 +156,23 @@ def _hits(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _miner(lengths: tuple[int, ...], support: int, all_bytes: int, shard_bytes: int, part_bytes: int, pairs: Broadcast | None):
-    """Rows of (key, words, local count, slack): slack is what a shard may hold of a phrase that it does not give out; key null: of the shard."""
-    names = ["key", "words", "n", "slack"]
-
-    def rows(found: dict[int, tuple[np.ndarray, np.ndarray]], size: int) -> Iterator[pa.RecordBatch]:
-        least = max(1, -(-support * size // max(all_bytes, 1)))
-        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int32()), pa.array([0], pa.int64()),
-                                          pa.array([least - 1], pa.int64())], names)
-        for words, (keys, n) in found.items():
-            keys, n = keys[n >= least], n[n >= least]
+def _miner(lengths: tuple[int, ...], shard_bytes: int, part_bytes: int, inner: int = 0, bitmap: Broadcast | None = None):
+    """Rows of (key, local count) of the shards' phrases."""
+    def rows(found: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for keys, n in found.values():
             for lo in range(0, len(keys), 100_000):
-                some = keys[lo:lo + 100_000].view(np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(some), pa.array(np.full(len(some), words, np.int32)), pa.array(n[lo:lo + 100_000]),
-                    pa.array(np.full(len(some), least - 1, np.int64))], names)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[lo:lo + 100_000].view(np.int64)), pa.array(n[lo:lo + 100_000])], ["key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, size = {}, 0
         for part in _parts(batches, part_bytes):
             size += len(part.data)
             for words in lengths:
-                found[words] = _added(found.get(words), part.phrases(words, pairs and pairs.value)[0])
+                found[words] = _added(found.get(words), part.phrases(words, inner, bitmap and bitmap.value)[0])
             if size >= shard_bytes or sum(len(keys) for keys, _ in found.values()) >= MOST_KEYS:
-                yield from rows(found, size)
+                yield from rows(found)
                 found, size = {}, 0
-        if found:
-            yield from rows(found, size)
+        yield from rows(found)
 
     return run
 
@@ -198,38 +190,58 @@ def _added(counted: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray) -> t
     return keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _counter(lengths: tuple[int, ...], part_bytes: int, candidates: Broadcast, pairs: Broadcast):
-    """Rows of (lang, phrase, words, count) of the phrases that hit the candidates; without a phrase: the number of all words."""
+def _counter(lengths: tuple[int, ...], part_bytes: int, most: int, candidates: Broadcast, pairs: Broadcast):
+    """Rows of (lang, phrase, words, count) of the phrases that hit the candidates, once a task or ``most`` phrases; without a phrase: the number of all words."""
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, slots, counts, said = none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), ()
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            at = 0
+            for columns in said:
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[at:at + len(columns[0])])], schema=schema)
+                at += len(columns[0])
+
         for part in _parts(batches, part_bytes):
             sizes = np.bincount(part.codes, minlength=len(part.langs))
-            none = len(part.langs)
-            yield pa.RecordBatch.from_arrays([pa.array(part.langs, pa.string()), pa.nulls(none, pa.string()),
-                                              pa.array([0] * none, pa.int32()), pa.array(sizes.astype(np.int64))], schema=schema)
+            langs = len(part.langs)
+            yield pa.RecordBatch.from_arrays([pa.array(part.langs, pa.string()), pa.nulls(langs, pa.string()),
+                                              pa.array([0] * langs, pa.int32()), pa.array(sizes.astype(np.int64))], schema=schema)
             for words in lengths:
-                keys, at = part.phrases(words, pairs.value)
-                hit = _hits(candidates.value, keys)
-                _, first, n = np.unique(keys[hit], return_index=True, return_counts=True)
-                first = at[hit][first]
-                for lo in range(0, len(first), 50_000):
-                    some = first[lo:lo + 50_000]
-                    texts = [b" ".join(part.data[a:b].lower().split()) for a, b in
-                             zip(part.starts[some].tolist(), part.ends[some + words - 1].tolist())]
-                    langs = [part.langs[c] for c in part.codes[some].tolist()]
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(langs, pa.string()), pa.array(texts, pa.binary()).cast(pa.string()),
-                        pa.array(np.full(len(some), words, np.int32)), pa.array(n[lo:lo + 50_000].astype(np.int64))], schema=schema)
+                mine, at = part.phrases(words, 2, pairs.value)
+                hit = _hits(candidates.value, mine)
+                mine, first, n = np.unique(mine[hit], return_index=True, return_counts=True)
+                place = np.searchsorted(keys, mine)
+                new = np.append(keys, np.uint64(0))[place] != mine
+                new |= place == len(keys)
+                counts[slots[place[~new]]] += n[~new]
+                said = (*said, *_said(part, words, at[hit][first[new]]))  # in the order of the slots
+                slots = np.insert(slots, place[new], len(counts) + np.arange(np.count_nonzero(new)))
+                keys, counts = np.insert(keys, place[new], mine[new]), np.concatenate([counts, n[new].astype(np.int64)])
+            if len(keys) >= most:
+                yield from rows()
+                keys, slots, counts, said = none
+        yield from rows()
 
     return run
 
 
+def _said(part: _Part, words: int, first: np.ndarray) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
+    """Language, text and number of words of the phrases that begin at the words ``first``, some at a time."""
+    for lo in range(0, len(first), 50_000):
+        some = first[lo:lo + 50_000]
+        texts = [b" ".join(part.data[a:b].lower().split()) for a, b in
+                 zip(part.starts[some].tolist(), part.ends[some + words - 1].tolist())]
+        langs = [part.langs[c] for c in part.codes[some].tolist()]
+        yield pa.array(langs, pa.string()), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(np.full(len(some), words, np.int32))
+
+
 def _candidates(mined: DataFrame, support: int, label: str) -> DataFrame:
-    """``key, words`` of the phrases that can still reach the support: local counts plus what the other shards may hold."""
-    sums = staged(mined.groupBy("key", "words").agg(F.sum("n").alias("n"), F.sum("slack").alias("slack")), label)
-    slack = sums.where(F.col("key").isNull()).agg(F.coalesce(F.sum("slack"), F.lit(0))).scalar()
-    return sums.where(F.col("key").isNotNull()).where(F.col("n") + slack - F.col("slack") >= support).select("key", "words")
+    """``key`` of the phrases whose local counts reach the support together."""
+    # Keys differ inside a shard: they are dealt out as they are, since adding them up in the task before would only take memory.
+    sums = mined.repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
+    return staged(sums.where(F.col("n") >= support).select("key"), label)
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -249,20 +261,26 @@ def phrase_counts(docs: DataFrame, support: int, longest: int, shard_bytes: int
     texts = docs.select("lang", "text")
     context = docs.sparkSession.sparkContext
     all_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    schema = "key bigint, words int, n bigint, slack bigint"
     part = min(PART_BYTES, shard_bytes)
-    # A shard ends with its task, and the larger a shard the higher its local support: tasks hold two thirds of the most a shard may, so that
-    # uneven ones leave no small shard at their end, whose local support would be low.
+    # A shard ends with its task, and the larger a shard the more often its phrases repeat in it: tasks hold two thirds of the most a shard may,
+    # so that uneven ones leave no small shard at their end.
     tasks = max(context.defaultParallelism, -(-3 * all_bytes // (2 * shard_bytes)))
     shards = texts.coalesce(tasks)
-    short = _candidates(shards.mapInArrow(_miner((1, 2), support, all_bytes, shard_bytes, part, None), schema), support, "short-phrases")
-    pairs = context.broadcast(_bitmap(short.where("words = 2")))
+
+    def level(lengths: tuple[int, ...], label: str, inner: int = 0, bitmap: Broadcast | None = None) -> DataFrame:
+        return _candidates(shards.mapInArrow(_miner(lengths, shard_bytes, part, inner, bitmap), "key bigint, n bigint"), support, label)
+
+    words = level((1,), "words")
+    twos = level((2,), "pairs", 1, context.broadcast(_bitmap(words)))
+    pairs = context.broadcast(_bitmap(twos))
     longer = tuple(range(3, longest + 1))
-    found = short
+    found = words.unionByName(twos)
     if longer:
-        found = short.unionByName(_candidates(shards.mapInArrow(_miner(longer, support, all_bytes, shard_bytes, part, pairs), schema), support, "long-phrases"))
+        found = found.unionByName(level(longer, "long-phrases", 2, pairs))
     candidates = context.broadcast(_bitmap(found))
-    counted = texts.mapInArrow(_counter((1, 2, *longer), part, candidates, pairs), "lang string, phrase string, words int, n bigint")
+    # A task gives out a phrase once, so with as many tasks as the cores pay for the rows grow as the candidates do.
+    counting = texts.coalesce(max(1, round(COUNTING * context.defaultParallelism)))
+    counted = counting.mapInArrow(_counter((1, 2, *longer), part, MOST_KEYS // 3, candidates, pairs), "lang string, phrase string, words int, n bigint")
     sums = staged(counted.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")), "phrase-counts")
     return (sums.where(F.col("phrase").isNotNull() & (F.col("n") >= support)), sums.where(F.col("phrase").isNull()).select("lang", "n"))
 

@@ -91,6 +91,50 @@ def test_small_partitions_make_no_small_shards(spark, monkeypatch):
     assert given[2] + given[3] <= 3 * (given[0] + given[1])
 
 
+def test_rows_of_the_shards_grow_with_the_text(spark, monkeypatch):
+    """Rows of a shard depend on its own text, not on the share of all text that it is."""
+    given, candidates = [], collocations._candidates
+
+    def counted(mined, support, label):
+        given.append(mined.count())
+        return candidates(mined, support, label)
+
+    monkeypatch.setattr(collocations, "_candidates", counted)
+    made = []
+    for times in (1, 8):
+        rnd = random.Random(4)
+        rows = [("en", " ".join(f"w{rnd.randrange(40)}" for _ in range(80)) + ", new york") for _ in range(60 * times)]
+        given.clear()
+        found = got(collocations.collocations(table(spark, rows, 4 * times), support=40, shard_bytes=8000))
+        assert found == brute(rows, 40) and found
+        made.append(sum(given))
+    assert made[1] <= 8 * 1.5 * made[0]
+
+
+def test_tasks_count_a_phrase_once(spark, monkeypatch):
+    """The second reading gives out a row per task and phrase, not one per part of a task; with too many phrases it begins anew."""
+    rnd = random.Random(6)
+    rows = [("en", " ".join(f"w{rnd.randrange(20)}" for _ in range(80)) + ", new york") for _ in range(200)]
+    made, counter = spark.sparkContext.accumulator(0), collocations._counter
+
+    def counted(*args):
+        def run(batches):
+            for batch in counter(*args)(batches):
+                made.add(batch.num_rows)
+                yield batch
+        return run
+
+    monkeypatch.setattr(collocations, "_counter", counted)
+    monkeypatch.setattr(collocations, "PART_BYTES", 1000)
+    monkeypatch.setattr(collocations, "COUNTING", 1 / spark.sparkContext.defaultParallelism)
+    for most in (6_000_000, 300):
+        monkeypatch.setattr(collocations, "MOST_KEYS", most)
+        before = made.value
+        assert got(collocations.collocations(table(spark, rows, 3), support=20)) == brute(rows, 20)
+        if most > 300:
+            assert 0 < made.value - before < 1000
+
+
 def test_shards_of_many_parts(spark, monkeypatch):
     monkeypatch.setattr(collocations, "PART_BYTES", 150)
     rnd = random.Random(5)

@@ -263,6 +263,37 @@ def test_pairs_left_out_by_the_count_of_common_shingles():
     assert left_out > 20
 
 
+def test_proposals_that_the_different_shingles_do_not_allow(monkeypatch):
+    """They are not tried one by one, and every passage is found as before."""
+    rnd, longest, counted = random.Random(29), windows._longest, [0, 0]
+    count_nonzero = np.count_nonzero
+
+    def without(*args):
+        return longest(*args[:10])
+
+    def counting(*args, **kwargs):
+        counted[way] += 1
+        return count_nonzero(*args, **kwargs)
+
+    monkeypatch.setattr(windows.np, "count_nonzero", counting)
+    for _ in range(120):
+        lines = [[rnd.randrange(1000) for _ in range(rnd.randrange(3, 12))] for _ in range(40)]
+        base, other = ([x for _ in range(50) for x in rnd.choice(lines[k:k + 30])] for k in (0, 8))
+        a, b = (np.array(x, np.uint32) for x in (base, other))
+        found = []
+        for way, tried in enumerate((without, longest)):
+            monkeypatch.setattr(windows, "_longest", tried)
+            found.append(windows.matching_passages(a, b, 46, 0.8))
+        assert found[0] == found[1]
+        before, shared = windows._earlier(a, b)
+        begin = np.array([rnd.randrange(len(a)) for _ in range(20)])
+        end = np.array([rnd.randrange(x, len(a)) for x in begin])
+        every, both = windows._different(before, shared, begin, end)
+        parts = [set(base[x:y + 1]) for x, y in zip(begin, end, strict=True)]
+        assert (every.tolist(), both.tolist()) == ([len(x) for x in parts], [len(x & set(other)) for x in parts])
+    assert counted[1] < counted[0] / 2, counted
+
+
 # 9: license notices
 
 def test_every_notice_of_several_in_a_row():

@@ -294,6 +294,38 @@ def test_proposals_that_the_different_shingles_do_not_allow(monkeypatch):
     assert counted[1] < counted[0] / 2, counted
 
 
+def test_runs_by_brute_force():
+    """All runs of equal shingles, in one block or in many."""
+    rng = np.random.default_rng(41)
+    for _ in range(150):
+        kinds = int(rng.choice([1, 2, 5, 40]))
+        left, right = (np.repeat(rng.integers(0, kinds, int(rng.integers(1, 40))), int(rng.integers(1, 4))) for _ in range(2))
+        want = []
+        for i, j in itertools.product(range(len(left)), range(len(right))):
+            if left[i] == right[j] and (not i or not j or left[i - 1] != right[j - 1]):
+                n = 1
+                while i + n < len(left) and j + n < len(right) and left[i + n] == right[j + n]:
+                    n += 1
+                want.append((i, j, n))
+        for most in (1, 7, 60, 4_000_000):
+            blocks = list(windows._all_runs(left, right, most))
+            assert sorted(x for b in blocks for x in zip(*(c.tolist() for c in b), strict=True)) == want
+            assert len(blocks) == 1 or most < 4_000_000
+
+
+def test_passage_of_a_line_that_stands_everywhere():
+    """A line stands 451 times on both sides, over four million pairs of places; only its last place on both sides is part of a passage."""
+    rng = np.random.default_rng(1)
+
+    def prose(n):
+        return rng.integers(0, 1 << 31, n).tolist()
+
+    line, rest = prose(25), prose(40)
+    left, right = ([x for _ in range(450) for x in line + prose(8)] + prose(n) + line + rest + prose(20) for n in (30, 70))
+    left, right = (windows.shingles(" ".join(map(str, x))) for x in (left, prose(30) + right))
+    assert windows.matching_passages(left, right, 46, 0.8) == [(14880, 14940, 14950, 15010, 1.0)]
+
+
 # 9: license notices
 
 def test_every_notice_of_several_in_a_row():

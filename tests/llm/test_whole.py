@@ -294,6 +294,71 @@ def test_proposals_that_the_different_shingles_do_not_allow(monkeypatch):
     assert counted[1] < counted[0] / 2, counted
 
 
+def test_pairs_that_share_a_repeated_word_are_not_searched():
+    """Stretches of a word over and over share one shingle; without another no passage of 46 places is possible, and none with one is left out."""
+    rnd = random.Random(37)
+
+    def text(words, most):
+        return [x for w in words for x in [w] * rnd.randrange(5, most)]
+
+    lefts, rights, alone = [], [], []
+    for _ in range(300):
+        words = rnd.sample(range(40), 8)
+        a, b = text([1000, *words], 40), text([*rnd.sample(range(100, 140), 8), 1000], 40)
+        if rnd.random() < 0.3:
+            b += [x if rnd.random() < 0.95 else 7 for x in a]
+        if rnd.random() < 0.2:
+            a, b = a + [1000] * 60, [1000] * 60 + b
+        x, y = (windows.shingles(" ".join(map(str, t))).astype(np.uint32) for t in (a, b))
+        lefts, rights = [*lefts, x], [*rights, y]
+        alone.append(windows._may_match(x, y, 46, 0.8))
+    able = windows._able(lefts, rights, 46, 0.8)
+    assert able.tolist() == alone
+    found = [bool(windows.matching_passages(x, y, 46, 0.8)) for x, y in zip(lefts, rights, strict=True)]
+    assert all(a or not f for a, f in zip(alone, found, strict=True)) and 60 < sum(found) < 200
+    assert sum(alone) < 1.5 * sum(found)
+
+
+def test_places_of_crowded_seeds_meet_in_one_task_or_by_joins(spark):
+    """Groups that fit in memory and larger ones give the same pairs."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for key in range(30):
+        pool = rng.integers(-(1 << 62), 1 << 62, int(rng.choice([8, 60, 400])))
+        for doc in rng.choice(90, int(rng.integers(1, 25)), replace=False).tolist():
+            grams = np.unique(rng.choice(pool, min(len(pool), 50), replace=False)).tolist()
+            lo = int(rng.integers(0, 300))
+            rows.append((key, doc, lo, lo + 14, int(rng.integers(1, 12)), grams))
+    regions = spark.createDataFrame(rows, "key bigint, doc_id bigint, lo int, hi int, need int, grams array<bigint>").cache()
+    state = spark.createDataFrame([(d, d % 3, [(0, 150 + d)]) for d in range(90)], "id bigint, class_id bigint, passages array<struct<start:int,end:int>>")
+    pair = windows._pair(50, 5)
+    known = windows._known(regions, state, "key", "need", "grams").select("key", "need", "grams", "m.*")
+    for way in (windows._with_first, windows._all_pairs):
+        want = way(windows._known(windows._rarest(regions), state, "key", "gram"), pair).distinct().collect()
+        got = known.repartition(3, "key").sortWithinPartitions("key").mapInArrow(
+            windows._meetings(100, 5, way is windows._with_first), "a bigint, b bigint, lo_a int, hi_a int, lo_b int, hi_b int, h tinyint").distinct().collect()
+        assert set(got) == set(want) and len(got) == len(want) > 100
+
+
+def test_crowded_groups_of_any_size(spark, docs, monkeypatch):
+    rng = np.random.default_rng(30)
+
+    def prose(n):
+        return [f"w{x}" for x in rng.integers(0, 50_000, n)]
+
+    lines, rows = [prose(30) for _ in range(2)], []
+    rows = [(100 * n + k, prose(40) + line + prose(40)) for n, line in enumerate(lines) for k in range(20)]
+    for k in range(12):
+        edited = lines[0] + lines[1]
+        edited[26 + k % 8] = f"changed{k}"
+        rows.append((1000 + k, prose(30 + k) + edited + prose(40)))
+    frame, results = docs([(i, " ".join(t)) for i, t in rows]), []
+    for grouped in (512, 1):
+        monkeypatch.setattr(windows, "GROUPED", grouped)
+        results.append({tuple(r) for r in windows.repeated_passages(frame).collect()})
+    assert results[0] == results[1] and len(results[0]) >= 11
+
+
 def test_runs_by_brute_force():
     """All runs of equal shingles, in one block or in many."""
     rng = np.random.default_rng(41)
